@@ -101,7 +101,8 @@ def mark_late(
 
     schema = pa.schema([("_bucket", pa.int64()), (SLICE, pa.int32()), ("_carried", pa.timestamp("us"))])
     columns = [pa.array(column, field.type) for column, field in zip(zip(*unsure), schema)]
-    carry = df.sparkSession.createDataFrame(pa.Table.from_arrays(columns, schema=schema))
+    table = pa.Table.from_arrays(columns, schema=schema)
+    carry = df.sparkSession.createDataFrame(table, f"_bucket bigint, {SLICE} int, _carried timestamp_ntz")
     carry = F.broadcast(carry)  # at most one row per range
     keys = ["_bucket", SLICE] if hot else ["_bucket"]
     order = W.partitionBy(*keys).orderBy(*arrival).rowsBetween(W.unboundedPreceding, W.currentRow)

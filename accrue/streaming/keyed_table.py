@@ -23,13 +23,13 @@ _PART, _GONE, _AGE = "_part", "_gone", "_age"
 
 
 class KeyedTable:
-    """``partition`` is an expression over key columns, by which reads can be pruned."""
+    """``partition`` is a SQL expression over key columns, by which reads can be pruned."""
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: list[str], partition: Column | None = None, merge_every: int = 16
+        self, spark: SparkSession, path: str, keys: list[str], partition: str = "'all'", merge_every: int = 16
     ):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.partition = F.lit(None).cast("string") if partition is None else partition.cast("string")
+        self.partition = partition
         self.merge_every = merge_every
         self._versions = Records(spark, f"{self.path}/versions")
 
@@ -103,7 +103,7 @@ class KeyedTable:
         return self.upsert(last.withColumn("_is_gone", gone).drop(op), token, F.col("_is_gone"))
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        rows.withColumn(_PART, self.partition).write.partitionBy(_PART).parquet(f"{self.path}/rows/{folder}")
+        rows.withColumn(_PART, F.expr(self.partition).cast("string")).write.partitionBy(_PART).parquet(f"{self.path}/rows/{folder}")
 
 
 def merge_into(delta: DataFrame, table: str, keys: list[str]) -> None:

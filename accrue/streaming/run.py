@@ -34,7 +34,7 @@ from accrue.streaming.watermarks import Progress
 TRIGGER = "10 seconds"
 IDLE_SECONDS = 2.0
 
-_PART = F.col("window_start").cast("date")
+LINES_BY_DAY = "CAST(window_start AS DATE)"
 
 
 class Consolidation:
@@ -65,7 +65,7 @@ class Consolidation:
         self.delay, self.idle_after, self.model = delay, idle_after, model
         self.emit, self.clock = emit, clock
         self._progress = Records(spark, f"{self.state}/progress")
-        self._totals = KeyedTable(spark, f"{self.state}/totals", model.line_keys, _PART)
+        self._totals = KeyedTable(spark, f"{self.state}/totals", model.line_keys, LINES_BY_DAY)
         self._run_id = self._identify()
 
     def _identify(self) -> str:
@@ -124,7 +124,7 @@ class Consolidation:
 
             facts = released(buffer, m.event_time, until)
             touched = self._keyed(facts).select(*m.line_keys).distinct()
-            parts = [str(row[0]) for row in touched.select(_PART).distinct().collect()]
+            parts = [str(row[0]) for row in touched.select(F.expr(LINES_BY_DAY)).distinct().collect()]
             if parts:
                 delta = self._enriched_totals(facts, log)
                 old = self._totals.read(parts, touched, before=str(batch_id))
