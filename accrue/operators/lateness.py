@@ -2,15 +2,17 @@
 
 The rule orders all rows by arrival, which must not become one sort in one task.
 Arrival is cut into at most ``MAX_BUCKETS`` ranges; one cheap aggregation gives
-each range's newest and oldest event time, the running maximum over that small
+each range's newest and oldest event time, the running maximum over that bounded
 table is carried on the driver, and only ranges that may hold a late row order
-their rows, each range by itself. A range with very many rows is cut further.
+their rows, each range by itself. Input that arrives nearly in order is not
+shuffled at all. A range with very many rows is cut further.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
@@ -20,8 +22,8 @@ from pyspark.sql import types as T
 from accrue.functions.timestamps import seconds_interval, utc_column
 from accrue.operators.slices import MAX_SLICES, SLICE, SLICE_ROWS, cut_groups
 
-MAX_BUCKETS = 65_536
-BUCKET_ROWS = 4_096  # fewer ranges for few rows
+MAX_BUCKETS = 2**20  # 32 MB of summary; a month in ranges of under 3 s
+BUCKET_ROWS = 1_024  # fewer ranges for few rows
 LATE = "_late"
 
 
@@ -53,6 +55,7 @@ def mark_late(
     delay: float,
     seen: datetime | None = None,
     max_buckets: int = MAX_BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add the boolean ``_late``.
@@ -64,59 +67,60 @@ def mark_late(
     rows = df.withColumn("_t", utc_column(F.col(event_time), df.schema[event_time].dataType))
     number = _ascending_number(df, arrival[0])
     first, last, total = rows.agg(F.min(number), F.max(number), F.count(F.lit(1))).first()
-    buckets = max(1, min(max_buckets, total // BUCKET_ROWS))
+    buckets = max(1, min(max_buckets, total // bucket_rows))
     width = 1 if first is None else (last - first) // buckets + 1
     steps = F.call_function("div", number - F.lit(first or 0), F.lit(width))
-    bucket = F.coalesce(steps, F.lit(-1)).cast("bigint")
-    rows = rows.withColumn("_bucket", bucket)
+    rows = rows.withColumn("_bucket", F.coalesce(steps, F.lit(-1)).cast("bigint"))
 
-    def summarise(part: DataFrame, *keys: str) -> list[dict]:
-        found = part.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.max("_t").alias("newest"), F.min("_t").alias("oldest")
-        )
-        return [{SLICE: 0, **row} for row in found.toArrow().to_pylist()]
+    def summarise(part: DataFrame, slice_number: Column, *keys: str) -> pd.DataFrame:
+        newest, oldest = F.max("_t").alias("newest"), F.min("_t").alias("oldest")
+        found = part.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), newest, oldest)
+        columns = ["_bucket", slice_number.alias(SLICE), "n", "newest", "oldest"]
+        return found.select(*columns).toArrow().to_pandas()
 
-    ranges = summarise(rows, "_bucket")  # at most max_buckets + 2 rows
+    ranges = summarise(rows, F.lit(0), "_bucket")  # at most max_buckets + 2 rows
     limit = max(slice_rows, total // MAX_SLICES)
-    hot = [r for r in ranges if r["n"] > limit]
-    if hot:
-        hot_keys = [Row(_bucket=r["_bucket"]) for r in hot]
-        cuts = cut_groups(rows, ["_bucket"], arrival, hot_keys, limit)
+    hot = ranges[ranges["n"] > limit]
+    keys = ["_bucket"]
+    if len(hot):
+        keys.append(SLICE)
+        cuts = cut_groups(rows, ["_bucket"], arrival, [Row(_bucket=int(b)) for b in hot["_bucket"]], limit)
         rows = cuts.apply(rows)
-        cut_ranges = summarise(cuts.only_hot(rows), "_bucket", SLICE)
-        ranges = [r for r in ranges if r["n"] <= limit] + cut_ranges
-
-    carried, cells = seen, []
-    for r in sorted(ranges, key=lambda r: (r["_bucket"], r[SLICE])):
-        newest = max((t for t in (carried, r["newest"]) if t is not None), default=None)
-        settled = r["oldest"] is None or r["oldest"] >= newest - timedelta(seconds=delay)
-        cells.append((r["_bucket"], r[SLICE], carried, settled, r["n"]))
-        carried = newest
-
-    unsure = [cell for cell in cells if not cell[3]]
-    if not unsure:
+        cut_ranges = summarise(cuts.only_hot(rows), F.col(SLICE), *keys)
+        ranges = pd.concat([ranges[ranges["n"] <= limit], cut_ranges])
+
+    ranges = _carry(ranges.sort_values(["_bucket", SLICE]), seen, delay)
+    unsure = ranges[ranges["unsure"]]
+    if not len(unsure):
         return df.withColumn(LATE, F.col(event_time).isNull())
-    if 2 * sum(cell[4] for cell in unsure) > sum(cell[4] for cell in cells):
-        unsure = cells  # most rows need ordering: one pass over all beats a second scan
-
-    schema = pa.schema([("_bucket", pa.int64()), (SLICE, pa.int32()), ("_carried", pa.timestamp("us"))])
-    columns = [pa.array(column, field.type) for column, field in zip(zip(*unsure), schema)]
-    table = pa.Table.from_arrays(columns, schema=schema)
-    carry = df.sparkSession.createDataFrame(table, f"_bucket bigint, {SLICE} int, _carried timestamp_ntz")
-    carry = F.broadcast(carry)  # at most one row per range
-    keys = ["_bucket", SLICE] if hot else ["_bucket"]
+    if 2 * unsure["n"].sum() > ranges["n"].sum():
+        unsure = ranges  # most rows need ordering: one pass over all beats a second scan
+
+    schema = f"_bucket bigint, {SLICE} int, _carried timestamp_ntz"
+    table = pa.Table.from_pandas(unsure[["_bucket", SLICE, "_carried"]], preserve_index=False)
+    carry = F.broadcast(df.sparkSession.createDataFrame(table, schema))  # at most one row per range
     order = W.partitionBy(*keys).orderBy(*arrival).rowsBetween(W.unboundedPreceding, W.currentRow)
     newest = F.greatest("_carried", F.max("_t").over(order))
     checked = rows.join(carry.select(*keys, "_carried"), keys).withColumn(
         LATE, F.coalesce(F.col("_t") < newest - seconds_interval(delay), F.lit(True))
     )
     checked = checked.select(*df.columns, LATE)
-    if len(unsure) == len(cells):
+    if len(unsure) == len(ranges):
         return checked
     settled = rows.join(carry.select(*keys), keys, "left_anti").withColumn(LATE, F.col("_t").isNull())
     return checked.unionByName(settled.select(*df.columns, LATE))
 
 
+def _carry(ranges: pd.DataFrame, seen: datetime | None, delay: float) -> pd.DataFrame:
+    """Add ``_carried``, the newest event time before each range, and whether it may hold a late row."""
+    start = pd.Series([pd.NaT if seen is None else pd.Timestamp(seen)], dtype="datetime64[us]")
+    reached = pd.concat([start, ranges["newest"].astype("datetime64[us]")], ignore_index=True).cummax().ffill()
+    behind = ranges["oldest"].astype("datetime64[us]").to_numpy() < (
+        reached[1:] - pd.Timedelta(seconds=delay)
+    ).to_numpy()
+    return ranges.assign(_carried=reached[:-1].to_numpy(), unsure=behind)
+
+
 def drop_late(df: DataFrame, event_time: str, arrival: list[str], delay: float, **options) -> tuple[DataFrame, DataFrame]:
     """Split rows into (kept, late), see :func:`mark_late`."""
     marked = mark_late(df, event_time, arrival, delay, **options)

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_ROWS = 2_000_000  # rows one task may order by itself
-MAX_SLICES = 4096  # upper bound of hot groups, and of their slices together (times two)
-_SAMPLES = 32  # sampled rows per slice
+MAX_SLICES = 16_384  # upper bound of hot groups, and of their slices together (times two)
+_SAMPLES = 16  # sampled rows per slice, so at most 262144 rows reach the driver
 
 SLICE = "_slice"
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,14 +77,26 @@ class KeyedTable:
             return None
         return self._current(T.StructType.fromJson(json.loads(head["schema"])), folders, parts, only)
 
-    def upsert(self, delta: DataFrame, token: str, gone: Column | None = None) -> DataFrame:
+    def upsert(self, delta: DataFrame, token: str) -> DataFrame:
         """Add or replace the delta's rows (one per key). Returns the written rows."""
+        return self._put(delta.withColumn(_GONE, F.lit(False)), token)
+
+    def apply_changes(self, changes: DataFrame, token: str, order: list[str], op: str = "op") -> DataFrame:
+        """Upserts and deletes (``op = 'd'``), the last change per key by ``order``."""
+        head = self._head()
+        columns = [c for c in changes.columns if c != op]
+        if head is not None:
+            columns = T.StructType.fromJson(json.loads(head["schema"])).names
+        last = latest_per_key(changes, self.keys, order)
+        return self._put(last.select(*columns, (F.col(op) == DELETE).alias(_GONE)), token)
+
+    def _put(self, rows: DataFrame, token: str) -> DataFrame:
         head = self._head()
+        schema = rows.drop(_GONE).schema
         parent = self._folders(head, token)
         folder = uuid.uuid4().hex
-        self._write(delta.withColumn(_GONE, F.lit(False) if gone is None else gone), folder)
+        self._write(rows, folder)
         folders = [*parent, folder]
-        schema = delta.schema
         if len(folders) > self.merge_every:
             merged = uuid.uuid4().hex
             self._write(self._current(schema, folders).withColumn(_GONE, F.lit(False)), merged)
@@ -96,12 +108,6 @@ class KeyedTable:
         )
         return self._current(schema, [folder])
 
-    def apply_changes(self, changes: DataFrame, token: str, order: list[str], op: str = "op") -> DataFrame:
-        """Upserts and deletes (``op = 'd'``), the last change per key by ``order``."""
-        last = latest_per_key(changes, self.keys, order)
-        gone = F.col(op) == DELETE
-        return self.upsert(last.withColumn("_is_gone", gone).drop(op), token, F.col("_is_gone"))
-
     def _write(self, rows: DataFrame, folder: str) -> None:
         rows.withColumn(_PART, F.expr(self.partition).cast("string")).write.partitionBy(_PART).parquet(f"{self.path}/rows/{folder}")
 
