@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from accrue.functions.timestamps import from_epoch, to_utc
+from accrue.functions.timestamps import to_utc
 from accrue.plans.model import Model
 
 DELAY_SECONDS = 600
@@ -24,21 +23,19 @@ TAX_IDS = {
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as tax facts; ``arr`` is a made-up arrival second, out of event order."""
     events = to_utc(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
-    rate = (F.lit(2) + F.col("event_id") % 3 * F.expr("1.5BD")).cast("decimal(5,2)")
-    tax_id = F.create_map(*[F.lit(x) for pair in TAX_IDS.items() for x in pair])[F.col("event_type")]
-    return (
-        events.select(
-            F.col("event_id").alias("id"),
-            F.col("user_id").cast("string").alias("cuit"),
-            tax_id.alias("tax_id"),
-            rate.alias("tax_rate"),
-            F.col("value").cast("decimal(18,2)").alias("base_tax"),
-            F.unix_timestamp("ts").alias("e"),
-        )
-        .withColumn("tax_amount", (F.col("base_tax") * F.col("tax_rate") * F.expr("0.01BD")).cast("decimal(18,2)"))
-        .withColumn("created_at", from_epoch(F.col("e")))
-        .withColumn("arr", F.col("e") + F.col("id") * 7919 % 1200)
-        .drop("e")
+    tax_id = " ".join(f"WHEN '{event}' THEN '{tax}'" for event, tax in TAX_IDS.items())
+    return events.selectExpr(
+        "event_id AS id",
+        "CAST(user_id AS STRING) AS cuit",
+        f"CASE event_type {tax_id} END AS tax_id",
+        "CAST(2 + event_id % 3 * 1.5BD AS DECIMAL(5,2)) AS tax_rate",
+        "CAST(value AS DECIMAL(18,2)) AS base_tax",
+        "unix_timestamp(ts) AS e",
+    ).selectExpr(
+        "* EXCEPT (e)",
+        "CAST(base_tax * tax_rate * 0.01BD AS DECIMAL(18,2)) AS tax_amount",
+        "TIMESTAMP_NTZ '1970-01-01 00:00:00' + INTERVAL '1' SECOND * e AS created_at",
+        "e + id * 7919 % 1200 AS arr",
     )
 
 
@@ -48,29 +45,24 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some customers are no merchants, so their facts find no version. The others
     have a snapshot row, some two updates at one time, some a delete.
     """
-    key, name = F.col("c_custkey"), F.col("c_name")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").where(key % 11 != 5)
-
-    def establishment(offset: int):
-        return (key + offset).cast("string")
 
-    def change(op: str, at, suffix: str | None, offset: int, present):
-        label = F.lit(None).cast("string") if suffix is None else F.concat(name, F.lit(suffix))
-        number = F.lit(None).cast("string") if suffix is None else establishment(offset)
-        row = F.struct(
-            F.lit(op).alias("op"), at.alias("op_ts"), label.alias("name"), number.alias("establishment")
-        )
-        return F.when(present, row)
+    def change(op: str, at: str, suffix: str | None, offset: int) -> str:
+        name = "CAST(NULL AS STRING)" if suffix is None else f"concat(c_name, '{suffix}')"
+        number = "CAST(NULL AS STRING)" if suffix is None else f"CAST(c_custkey + {offset} AS STRING)"
+        return f"named_struct('op', '{op}', 'op_ts', {at}, 'name', {name}, 'establishment', {number})"
 
-    updated_at = F.expr("TIMESTAMP_NTZ '2024-01-10 12:00:00'") + F.expr("INTERVAL '1' MINUTE") * (key % 600)
-    changes = F.array(
-        change("r", F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'"), "", 10000, F.lit(True)),
-        change("u", updated_at, " II", 20000, key % 3 == 0),
-        change("u", updated_at, " III", 30000, key % 6 == 0),
-        change("d", F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'"), None, 0, key % 7 == 0),
-    )
+    updated_at = "TIMESTAMP_NTZ '2024-01-10 12:00:00' + INTERVAL '1' MINUTE * (c_custkey % 600)"
+    changes = f"""posexplode(array(
+        {change("r", "TIMESTAMP_NTZ '2024-01-02 00:00:00'", "", 10000)},
+        IF(c_custkey % 3 = 0, {change("u", updated_at, " II", 20000)}, NULL),
+        IF(c_custkey % 6 = 0, {change("u", updated_at, " III", 30000)}, NULL),
+        IF(c_custkey % 7 = 0, {change("d", "TIMESTAMP_NTZ '2024-01-20 00:00:00'", None, 0)}, NULL))) AS (k, c)"""
     return (
-        customers.select(key.cast("string").alias("cuit"), key, F.posexplode(changes).alias("k", "c"))
-        .where(F.col("c").isNotNull())
-        .select("cuit", "c.name", "c.establishment", "c.op", "c.op_ts", (key * 10 + F.col("k")).alias("seq"))
+        spark.read.parquet(f"{sf_dir}/customer.parquet")
+        .where("c_custkey % 11 <> 5")
+        .selectExpr("c_custkey", changes)
+        .where("c IS NOT NULL")
+        .selectExpr(
+            "CAST(c_custkey AS STRING) AS cuit", "c.name", "c.establishment", "c.op", "c.op_ts", "c_custkey * 10 + k AS seq"
+        )
     )

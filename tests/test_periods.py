@@ -56,6 +56,16 @@ def test_period_bounds(spark, at, spec, start, end):
     assert window(spark, at, spec) == (utc(start), utc(end))
 
 
+@pytest.mark.parametrize("spec", ["7s", "daily", "monthly"])
+@pytest.mark.parametrize("zone", [BA, "Asia/Kolkata", "America/New_York"])
+def test_the_fixed_offset_path_equals_the_zone_rules(spark, monkeypatch, spec, zone):
+    moments = [(datetime(2005, 1, 1) + timedelta(hours=37 * i, seconds=i),) for i in range(2000)]
+    df = spark.createDataFrame(moments, "t timestamp_ntz")
+    found = [tuple(r) for r in with_period(df, "t", spec, zone).collect()]
+    monkeypatch.setattr("accrue.functions.periods._fixed_era", lambda zone: None)
+    assert found == [tuple(r) for r in with_period(df, "t", spec, zone).collect()]
+
+
 def test_a_day_may_last_23_hours(spark):
     assert window(spark, "2024-03-10 12:00:00", "daily", "America/New_York") == (
         utc("2024-03-10 05:00:00"),
