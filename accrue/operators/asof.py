@@ -57,6 +57,7 @@ def asof_join(
     versions_per_key: int = VERSIONS_PER_KEY,
     slice_rows: int = SLICE_ROWS,
     size: LogSize | None = None,
+    gauge: DataFrame | None = None,
 ) -> DataFrame:
     """LEFT join to the last change with ``time <= event_time`` of the same key.
 
@@ -66,7 +67,8 @@ def asof_join(
     ``interval`` joins validity intervals, broadcast only when their measured size
     allows. ``union`` sorts facts and changes together by key and time and cuts
     hot keys into slices. ``auto`` takes the first where it can broadcast. ``size``
-    is the log's :func:`measure`, if already taken.
+    is the log's :func:`measure`, if already taken. ``gauge`` may stand in for the
+    facts where hot keys are looked for, a cheaper plan with much the same rows.
     """
     if strategy not in ("auto", "interval", "union"):
         raise ValueError(f"strategy must be 'auto', 'interval' or 'union', got {strategy!r}")
@@ -76,7 +78,8 @@ def asof_join(
     if small or strategy == "interval":
         intervals = to_intervals(log, on, attributes, time, seq, op, slice_rows, size.largest)
         return _interval_join(facts, F.broadcast(intervals) if small else intervals, on, attributes, event_time)
-    return _union_join(facts, log, on, attributes, event_time, time, seq, op, slice_rows)
+    gauge = facts if gauge is None else gauge
+    return _union_join(facts, log, on, attributes, event_time, time, seq, op, slice_rows, gauge)
 
 
 def _interval_join(
@@ -103,6 +106,7 @@ def _union_join(
     seq: str,
     op: str,
     slice_rows: int,
+    gauge: DataFrame,
 ) -> DataFrame:
     # a deleted version stays a (non-null) struct, so it is not skipped as a missing one
     version = F.struct(F.col(op).alias("op"), F.col(time).alias("since"), *attributes)
@@ -110,14 +114,16 @@ def _union_join(
         *on, F.col(time).alias("_t"), F.lit(0).alias("_side"), F.col(seq).cast("bigint").alias("_seq"),
         version.alias("_version"),
     )
-    at = utc_column(F.col(event_time), facts.schema[event_time].dataType)
-    rows = facts.select(
-        "*", at.alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_seq")
-    ).unionByName(changes, allowMissingColumns=True)
+
+    def placed(facts: DataFrame, *columns: str) -> DataFrame:
+        at = utc_column(F.col(event_time), facts.schema[event_time].dataType)
+        zero = F.lit(0).cast("bigint")
+        return facts.select(*columns, at.alias("_t"), F.lit(1).alias("_side"), zero.alias("_seq"))
 
     order = ["_t", "_side", "_seq"]
     keys = list(on)
-    cuts = find_cuts(rows, on, order, slice_rows)
+    rows = placed(facts, "*").unionByName(changes, allowMissingColumns=True)
+    cuts = find_cuts(placed(gauge, *on).unionByName(changes.select(*on, *order)), on, order, slice_rows)
     if cuts is not None:
         keys.append(SLICE)
         # the last version before each slice joins the slice as one more row

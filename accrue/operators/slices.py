@@ -10,7 +10,6 @@ fixed on the driver once, so a recomputed task sees the same slices.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -32,23 +31,6 @@ def same_group(left: DataFrame, right: DataFrame, group: list[str]) -> Column:
     return condition
 
 
-def count_not_above(bounds: Column, point: Column, longest: int) -> Column:
-    """How many of the sorted ``bounds`` are <= ``point`` (binary search)."""
-
-    def halve(state: Column, _: Column) -> Column:
-        lo, hi = state["lo"], state["hi"]
-        middle = F.shiftright(lo + hi, 1)
-        right = F.coalesce((lo < hi) & (F.get(bounds, middle) <= point), F.lit(False))
-        left = (lo < hi) & ~right
-        return F.struct(
-            F.when(right, middle + 1).otherwise(lo).alias("lo"), F.when(left, middle).otherwise(hi).alias("hi")
-        )
-
-    steps = F.array(*[F.lit(i) for i in range(math.ceil(math.log2(longest + 1)) + 1)])
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return F.aggregate(steps, start, halve, lambda state: state["lo"])
-
-
 @dataclass(frozen=True)
 class Cuts:
     """Cut points of the hot groups: a small local table (group columns, bounds array)."""
@@ -62,11 +44,16 @@ class Cuts:
         """Add the slice number; groups that are not hot are one slice."""
         cuts = F.broadcast(self.table)
         point = F.struct(*[F.col(name) for name in self.order])
-        number = F.when(F.col("_bounds").isNull(), 0).otherwise(
-            count_not_above(F.col("_bounds"), point, self.longest)
-        )
-        joined = df.join(cuts, same_group(df, cuts, self.group), "left")
-        return joined.select(*[df[name] for name in df.columns], number.alias(SLICE))
+        rows = df.join(cuts, same_group(df, cuts, self.group), "left")
+        rows = rows.select(*[df[name] for name in df.columns], "_bounds", point.alias("_point"), F.lit(0).alias(SLICE))
+        # binary search for the number of bounds <= point; one projection per step keeps
+        # the search in generated code, where a higher-order function would be interpreted
+        step = 1 << max(0, self.longest.bit_length() - 1)
+        while step and self.longest:
+            reached = F.get("_bounds", F.col(SLICE) + (step - 1)) <= F.col("_point")
+            rows = rows.withColumn(SLICE, F.col(SLICE) + F.when(reached, step).otherwise(0))
+            step //= 2
+        return rows.drop("_bounds", "_point")
 
     def only_hot(self, df: DataFrame) -> DataFrame:
         cuts = F.broadcast(self.table)
@@ -113,11 +100,10 @@ def find_cuts(
     """
     if largest is not None and largest <= slice_rows:
         return None
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max(slice_rows, (total or 0) // MAX_SLICES)
-    if (largest or 0) <= limit:
+    size = F.count(F.lit(1)).alias("_n")
+    sizes = df.groupBy(*group).agg(size).where(F.col("_n") > slice_rows)
+    hot = sizes.orderBy(F.desc("_n")).limit(MAX_SLICES).collect()
+    if not hot:
         return None
-    # fewer than total / limit <= MAX_SLICES groups can be above the limit
-    hot = sizes.where(F.col("_n") > limit).collect()
+    limit = max(slice_rows, sum(row["_n"] for row in hot) // MAX_SLICES)
     return cut_groups(df, group, order, hot, limit)

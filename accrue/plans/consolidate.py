@@ -92,7 +92,7 @@ def consolidate(
     needed = [*model.groups, *model.measures, model.event_time]
     size = measure(log, [model.key], list(model.attributes))
     enriched = asof_join(
-        accepted.select(*needed), log, [model.key], [], model.event_time, strategy=strategy, size=size
+        accepted.select(*needed), log, [model.key], [], model.event_time, strategy=strategy, size=size, gauge=facts
     )
     lines = with_attributes(line_totals(enriched, period, zone, model, anchor), log, size, model)
     end = period_end(F.col("window_start"), period, zone, anchor)
