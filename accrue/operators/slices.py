@@ -11,7 +11,6 @@ fixed on the driver once, so a recomputed task sees the same slices.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -73,18 +72,20 @@ def cut_groups(df: DataFrame, group: list[str], order: list[str], hot: list[Row]
     keys = T.StructType([fields[name] for name in group])
     hot_table = F.broadcast(spark.createDataFrame([tuple(row[name] for name in group) for row in hot], keys))
     fraction = min(1.0, _SAMPLES / slice_rows)
+    # a bounded sample, so its lists are bounded; sorted by Spark's own order
     sample = (
         df.join(hot_table, same_group(df, hot_table, group), "left_semi")
         .select(*group, *order)
         .sample(fraction=fraction, seed=7)
-        .orderBy(*group, *order)
+        .groupBy(*group)
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_points"))
         .collect()
     )
     step = max(1, round(fraction * slice_rows))
     rows = []
-    for key, members in groupby(sample, key=lambda row: tuple(row[name] for name in group)):
-        points = [tuple(row[name] for name in order) for row in members][step::step]
-        rows.append((*key, list(dict.fromkeys(points))))
+    for row in sample:
+        points = [tuple(point) for point in row["_points"]][step::step]
+        rows.append((*(row[name] for name in group), list(dict.fromkeys(points))))
     point = T.StructType([fields[name] for name in order])
     schema = T.StructType([*keys.fields, T.StructField("_bounds", T.ArrayType(point))])
     longest = max((len(row[-1]) for row in rows), default=0)
