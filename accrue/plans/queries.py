@@ -13,6 +13,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accrue.functions.periods import DEFAULT_ZONE, period_start, with_period
 from accrue.functions.timestamps import to_utc, utc_literal
@@ -27,7 +28,7 @@ from accrue.plans.consolidate import consolidate, on_time_facts
 from accrue.sources import sample
 from accrue.sources.changelog import decode_changes, encode_changes, merge_snapshot_and_log, stamp_snapshot
 from accrue.sources.landing import fan_out, land_in_waves, work_folder
-from accrue.sources.schemas import MERCHANT
+from accrue.sources.schemas import FACTS, MERCHANT
 from accrue.streaming.keyed_table import KeyedTable
 from accrue.streaming.run import LINES_BY_DAY, Consolidation, run_with_restarts
 
@@ -246,9 +247,10 @@ def apply_change_log(spark, sf):
 
 def crossjoin_fanout(spark, sf):
     """One fact per part and tax of a fixed list."""
-    parts = _table(spark, sf, "part").select("p_partkey")
-    taxes = spark.sql("SELECT * FROM VALUES ('RET_IVA', 3.50BD), ('RET_IVA', 5.00BD), ('RET_GANANCIAS', 3.00BD) AS t(tax_id, tax_rate)")
-    return fan_out(parts, taxes.withColumn("tax_rate", F.col("tax_rate").cast("decimal(5,2)")))
+    taxes = [("RET_IVA", "3.50"), ("RET_IVA", "5.00"), ("RET_GANANCIAS", "3.00")]
+    lines = [{"tax_id": tax_id, "tax_rate": rate} for tax_id, rate in taxes]
+    schema = T.StructType([FACTS["tax_id"], FACTS["tax_rate"]])
+    return fan_out(_table(spark, sf, "part").select("p_partkey"), lines, schema)
 
 
 # -- checks --------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from accrue.functions.timestamps import from_epoch, utc_literal
 from accrue.operators.intervals import DELETE
-from accrue.operators.keyed import latest_per_key
+from accrue.operators.keyed import upsert
 
 
 def envelope(row: T.StructType) -> T.StructType:
@@ -97,7 +97,7 @@ def merge_snapshot_and_log(
     """Snapshot and log of one table without the rows both hold.
 
     ``key`` identifies a record, for facts their id, for changes the row key and
-    the log position. The log's copy wins, then the last by ``order``.
+    the log position. The log's copy wins, the last by ``order`` or, where copies
+    are alike, any.
     """
-    both = snapshot.withColumn("_log", F.lit(0)).unionByName(log.withColumn("_log", F.lit(1)))
-    return latest_per_key(both, key, ["_log", *(order or [])]).drop("_log")
+    return upsert(snapshot, log.dropDuplicates(key) if order is None else log, key, order)

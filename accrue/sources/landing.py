@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
@@ -18,9 +19,10 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"{label}-")
 
 
-def fan_out(transactions: DataFrame, lines: DataFrame) -> DataFrame:
-    """Every transaction with every line of a short fixed list (fixture rows of one transaction)."""
-    return transactions.crossJoin(F.broadcast(lines))
+def fan_out(transactions: DataFrame, lines: list[dict[str, object]], schema: T.StructType) -> DataFrame:
+    """Every transaction with every line of a fixed list: fixture rows of one transaction each."""
+    rows = [F.struct(*[F.lit(line[f.name]).cast(f.dataType).alias(f.name) for f in schema]) for line in lines]
+    return transactions.select("*", F.inline(F.array(*rows)))
 
 
 def land_in_waves(facts: DataFrame, folder: str, waves: int, arrival: str) -> Iterator[int]:

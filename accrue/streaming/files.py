@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+KEPT = 1000  # records a folder keeps, so listing it stays cheap
+
+
 class Records:
     """A folder of numbered JSON records; a record appears whole or not at all."""
 
@@ -21,11 +24,13 @@ class Records:
     def _file(self, name: str):
         return self._path(self._folder, name)
 
-    def last(self) -> int | None:
+    def names(self) -> list[str]:
         if not self._fs.exists(self._folder):
-            return None
-        names = [status.getPath().getName() for status in self._fs.listStatus(self._folder)]
-        return max((int(n[:-5]) for n in names if n.endswith(".json")), default=None)
+            return []
+        return [status.getPath().getName() for status in self._fs.listStatus(self._folder)]
+
+    def last(self) -> int | None:
+        return max((int(name[:-5]) for name in self.names() if name.endswith(".json")), default=None)
 
     def get(self, number: int) -> dict | None:
         file = self._file(f"{number:012d}.json")
@@ -46,6 +51,10 @@ class Records:
             stream.close()
         if not self._fs.rename(draft, self._file(f"{number:012d}.json")):
             raise OSError(f"record {number} exists already in {self._folder}")
+        self.delete(f"{number - KEPT:012d}.json")
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._file(name), True)
 
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))

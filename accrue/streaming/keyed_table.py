@@ -1,9 +1,9 @@
 """A keyed Parquet target for upserts, where no table format is at hand.
 
 An upsert writes only its own rows, as one more folder, and then a version record
-that lists the folders in force; readers take the last row per key. Every few
-versions the folders are merged into one. Versions carry a token: writing the
-same token again replaces that version, so a replayed micro-batch changes nothing.
+that lists the folders in force; readers take the last row per key. Small folders are
+merged into larger ones by levels. Versions carry a token: writing the same token
+again replaces that version, so a replayed micro-batch changes nothing.
 """
 
 from __future__ import annotations
@@ -26,42 +26,41 @@ class KeyedTable:
     """``partition`` is a SQL expression over key columns, by which reads can be pruned."""
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: list[str], partition: str = "'all'", merge_every: int = 16
+        self, spark: SparkSession, path: str, keys: list[str], partition: str = "'all'", merge_every: int = 8
     ):
+        if merge_every < 2:
+            raise ValueError("merge_every must be at least 2")
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.partition = partition
-        self.merge_every = merge_every
+        self.partition, self.merge_every = partition, merge_every
         self._versions = Records(spark, f"{self.path}/versions")
 
     def _head(self) -> dict | None:
         last = self._versions.last()
         return None if last is None else self._versions.get(last)
 
-    def _folders(self, head: dict | None, before: str | None) -> list[str]:
+    def _folders(self, head: dict | None, before: str | None) -> list[list]:
+        """[folder, level] from the oldest to the newest."""
         if head is None:
             return []
         return head["parent"] if before is not None and head["token"] == before else head["folders"]
 
-    def _rows(self, schema: T.StructType, folders: list[str], parts: list[str] | None) -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField(_GONE, T.BooleanType()), T.StructField(_PART, T.StringType())])
-        frames = []
-        for age, folder in enumerate(folders):
-            rows = self.spark.read.schema(stored).parquet(f"{self.path}/rows/{folder}")
-            if parts is not None:
-                rows = rows.where(F.col(_PART).isin(parts))
-            frames.append(rows.withColumn(_AGE, F.lit(age)))
-        rows = frames[0]
-        for other in frames[1:]:
-            rows = rows.unionByName(other)
-        return rows
-
-    def _current(self, schema, folders, parts=None, only: DataFrame | None = None) -> DataFrame:
-        rows = self._rows(schema, folders, parts)
+    def _latest(
+        self, schema: T.StructType, folders: list[list], parts: list[str] | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
+        """The last row per key, deleted ones included."""
+        hidden = [(_GONE, T.BooleanType()), (_AGE, T.LongType()), ("_folder", T.StringType()), (_PART, T.StringType())]
+        stored = T.StructType([*schema.fields, *[T.StructField(name, kind) for name, kind in hidden]])
+        paths = [f"{self.path}/rows/_folder={folder}" for folder, _ in folders]
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/rows").parquet(*paths)
+        if parts is not None:
+            rows = rows.where(F.col(_PART).isin(parts))
         if only is not None:
             rows = rows.join(only, self.keys, "left_semi")
-        if len(folders) > 1:
-            rows = latest_per_key(rows, self.keys, [_AGE])
-        return rows.where(~F.col(_GONE)).select(*schema.names)
+        rows = rows.select(*schema.names, _GONE, _AGE)
+        return latest_per_key(rows, self.keys, [_AGE]) if len(folders) > 1 else rows
+
+    def _current(self, schema: T.StructType, folders: list[list], *pruning) -> DataFrame:
+        return self._latest(schema, folders, *pruning).where(~F.col(_GONE)).select(*schema.names)
 
     def read(
         self, parts: list[str] | None = None, only: DataFrame | None = None, before: str | None = None
@@ -92,24 +91,34 @@ class KeyedTable:
 
     def _put(self, rows: DataFrame, token: str) -> DataFrame:
         head = self._head()
+        number = 0 if head is None else head["number"] + 1
         schema = rows.drop(_GONE).schema
         parent = self._folders(head, token)
+        new = [self._write(rows.withColumn(_AGE, F.lit(number).cast("bigint"))), 0]
+        folders = [*parent, new]
+        # as many folders of one level become one of the next, so a row is rewritten
+        # once per level and not with every merge
+        while len({level for _, level in folders[-self.merge_every:]}) == 1 and len(folders) >= self.merge_every:
+            run, folders = folders[-self.merge_every:], folders[: -self.merge_every]
+            folders.append([self._write(self._latest(schema, run)), run[0][1] + 1])
+        record = {"number": number, "token": token, "folders": folders, "parent": parent, "schema": schema.json()}
+        self._versions.put(number, record)
+        return self._current(schema, [new])
+
+    def _write(self, rows: DataFrame) -> str:
         folder = uuid.uuid4().hex
-        self._write(rows, folder)
-        folders = [*parent, folder]
-        if len(folders) > self.merge_every:
-            merged = uuid.uuid4().hex
-            self._write(self._current(schema, folders).withColumn(_GONE, F.lit(False)), merged)
-            folders = [merged]
-        number = 0 if head is None else head["number"] + 1
-        self._versions.put(
-            number,
-            {"number": number, "token": token, "folders": folders, "parent": parent, "schema": schema.json()},
-        )
-        return self._current(schema, [folder])
-
-    def _write(self, rows: DataFrame, folder: str) -> None:
-        rows.withColumn(_PART, F.expr(self.partition).cast("string")).write.partitionBy(_PART).parquet(f"{self.path}/rows/{folder}")
+        rows = rows.withColumn(_PART, F.expr(self.partition).cast("string"))
+        rows.write.partitionBy(_PART).parquet(f"{self.path}/rows/_folder={folder}")
+        return folder
+
+    def vacuum(self) -> None:
+        """Delete row folders the newest version does not need. No older version may be in use."""
+        head = self._head() or {"folders": [], "parent": []}
+        needed = {folder for folder, _ in [*head["folders"], *head["parent"]]}
+        rows = Records(self.spark, f"{self.path}/rows")
+        for name in rows.names():
+            if name.startswith("_folder=") and name.removeprefix("_folder=") not in needed:
+                rows.delete(name)
 
 
 def merge_into(delta: DataFrame, table: str, keys: list[str]) -> None:

@@ -109,9 +109,10 @@ class Consolidation:
         batch = batch.persist()
         buffer = None
         try:
-            progress, before = self._advance(batch, batch_id)
-            changes = batch.where(F.col("change").isNotNull()).select("change.*")
-            changes.write.mode("overwrite").parquet(f"{self.state}/log/batch_id={batch_id}")
+            progress, before, changed = self._advance(batch, batch_id)
+            if changed or not self._progress.exists(f"{self.state}/log"):
+                changes = batch.where(F.col("change").isNotNull()).select("change.*")
+                changes.write.mode("overwrite").parquet(f"{self.state}/log/batch_id={batch_id}")
             log = self._log(batch_id)
 
             facts = batch.where(F.col("fact").isNotNull()).select("fact.*")
@@ -121,6 +122,8 @@ class Consolidation:
             until = datetime.max if self.emit == "eager" else progress.watermark
             waiting = pending(buffer, m.event_time, until)
             waiting.write.mode("overwrite").parquet(f"{self.state}/pending/batch_id={batch_id}")
+            # a replay needs the batch before, nothing older
+            Records(self.spark, f"{self.state}/pending").delete(f"batch_id={batch_id - 2}")
 
             facts = released(buffer, m.event_time, until)
             touched = self._keyed(facts).select(*m.line_keys).distinct()
@@ -135,17 +138,17 @@ class Consolidation:
             if buffer is not None:
                 buffer.unpersist()
 
-    def _advance(self, batch: DataFrame, batch_id: int) -> tuple[Progress, Progress]:
-        """(progress of this batch, progress of the batch before)."""
+    def _advance(self, batch: DataFrame, batch_id: int) -> tuple[Progress, Progress, bool]:
+        """(progress of this batch, of the batch before, whether there are dimension changes)."""
         earlier = self._progress.get(batch_id - 1)
-        before = Progress() if earlier is None else Progress.from_json(earlier)
-        recorded = self._progress.get(batch_id)
-        if recorded is not None:  # a replay: the clock must not decide anew
-            return Progress.from_json(recorded), before
-        newest = batch.agg(F.max(f"fact.{self.model.event_time}"), F.max("change.op_ts")).first()
-        progress = before.advance(self.clock(), newest[0], newest[1], self.delay, self.idle_after)
-        self._progress.put(batch_id, progress.to_json())
-        return progress, before
+        before = Progress() if earlier is None else Progress.from_json(earlier["progress"])
+        record = self._progress.get(batch_id)  # there already in a replay: the clock must not decide anew
+        if record is None:
+            newest = batch.agg(F.max(f"fact.{self.model.event_time}"), F.max("change.op_ts")).first()
+            progress = before.advance(self.clock(), newest[0], newest[1], self.delay, self.idle_after)
+            record = {"progress": progress.to_json(), "changed": newest[1] is not None}
+            self._progress.put(batch_id, record)
+        return Progress.from_json(record["progress"]), before, record["changed"]
 
     def _log(self, batch_id: int) -> DataFrame:
         log = self.spark.read.parquet(f"{self.state}/log")
@@ -193,7 +196,7 @@ class Consolidation:
 
     def progress(self) -> Progress | None:
         last = self._progress.last()
-        return None if last is None else Progress.from_json(self._progress.get(last))
+        return None if last is None else Progress.from_json(self._progress.get(last)["progress"])
 
     def lines(self, flush: bool = False) -> DataFrame | None:
         """Rate lines so far; ``flush`` counts the held-back facts too (end of a bounded input)."""

@@ -15,11 +15,12 @@ from accrue.sources.schemas import CHANGES, FACTS  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "4g")
         # no result may depend on the session zone
         .config("spark.sql.session.timeZone", "Asia/Tokyo")

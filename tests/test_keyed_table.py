@@ -35,16 +35,34 @@ def test_the_same_token_replaces_its_version(spark, tmp_path):
     assert content(table) == [("a", 2), ("b", 3)]
 
 
-@pytest.mark.parametrize("merge_every", [1, 2, 3])
+@pytest.mark.parametrize("merge_every", [2, 3])
 def test_merging_folders_keeps_the_rows(spark, tmp_path, merge_every):
     table = KeyedTable(spark, str(tmp_path), ["k"], merge_every=merge_every)
     expected = {}
-    for i in range(6):
+    for i in range(7):
         delta = {f"k{i % 4}": i, "always": i}
-        table.upsert(rows(spark, *delta.items()), str(i))
+        if i % 3 == 0:
+            table.upsert(rows(spark, ("always", -1), ("wrong", -1)), str(i))
         table.upsert(rows(spark, *delta.items()), str(i))
         expected |= delta
         assert content(table) == sorted(expected.items())
+        assert len(table._head()["folders"]) <= 3
+    before = len(list((tmp_path / "rows").glob("_folder=*")))
+    table.vacuum()
+    assert len(list((tmp_path / "rows").glob("_folder=*"))) < before
+    assert content(table) == sorted(expected.items())
+    table.upsert(rows(spark, ("always", 99)), "6")
+    assert dict(content(table))["always"] == 99
+
+
+def test_a_delete_survives_merging(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), ["k"], merge_every=2)
+    table.upsert(rows(spark, ("a", 1)), "1")
+    table.upsert(rows(spark, ("b", 1)), "2")
+    table.upsert(rows(spark, ("c", 1)), "3")
+    table.apply_changes(spark.createDataFrame([("a", None, "d", 1)], "k string, v int, op string, seq int"), "4", ["seq"])
+    table.upsert(rows(spark, ("d", 1)), "5")
+    assert content(table) == [("b", 1), ("c", 1), ("d", 1)]
 
 
 def test_deletes(spark, tmp_path):
