@@ -8,7 +8,7 @@ from accrue.functions.periods import (
     period_start,
     with_period,
 )
-from accrue.functions.timestamps import from_epoch, to_utc, utc_column
+from accrue.functions.timestamps import from_epoch, now_utc, to_utc, utc_column
 
 __all__ = [
     "DEFAULT_PERIOD",
@@ -17,6 +17,7 @@ __all__ = [
     "exact_sum",
     "from_epoch",
     "last_non_null",
+    "now_utc",
     "parse_period",
     "period_end",
     "period_start",

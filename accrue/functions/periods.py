@@ -43,7 +43,7 @@ def parse_period(spec: str | Period | None) -> Period:
     if digits and 1 <= int(digits[1]) <= _MAX_SECONDS:
         return Period("seconds", int(digits[1]), spec)
     raise ValueError(
-        f"Invalid period {spec!r}: expected '<n>s' with n >= 1 (e.g. '60s', '1s'), 'daily' or 'monthly'"
+        f"Unknown period {spec!r}; use '<n>s' (whole seconds from 1 up, like '90s'), 'daily' or 'monthly'"
     )
 
 

@@ -40,6 +40,11 @@ def utc_column(column: Column, data_type: T.DataType) -> Column:
     raise TypeError(f"expected a timestamp column, got {data_type.simpleString()}")
 
 
+def now_utc() -> Column:
+    """The time of the query, for ``closed(lines, now_utc())``."""
+    return utc_column(F.current_timestamp(), T.TimestampType())
+
+
 def to_utc(df: DataFrame, *names: str) -> DataFrame:
     """Normalise the named time columns to UTC wall clocks."""
     changed = {

@@ -97,7 +97,8 @@ def find_cuts(
 ) -> Cuts | None:
     """Cut points of every group larger than one task should order; None if there is none.
 
-    A known size of the ``largest`` group spares the count.
+    A known size of the ``largest`` group spares the count. At most MAX_SLICES groups
+    are cut, the largest first; any left whole holds less than 1 / MAX_SLICES of the rows.
     """
     if largest is not None and largest <= slice_rows:
         return None

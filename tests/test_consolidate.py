@@ -6,8 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from accrue.functions import exact_sum, last_non_null
-from accrue.plans import certificates, closed, consolidate, enriched_keys, final, line, report, still_open
+from accrue.functions import exact_sum, last_non_null, now_utc
+from accrue.plans import Model, certificates, closed, consolidate, enriched_keys, final, line, report, still_open
 from accrue.sources.schemas import RATE_LINES
 from conftest import fact, line_set, utc
 
@@ -179,3 +179,41 @@ def test_plan_prunes_and_carries_no_texts_through_the_shuffle(spark, tmp_path, f
         assert unused not in scan
     assert "StartsWith(tax_id, RET_)" in scan.replace("StringStartsWith", "StartsWith").replace("tax_id,RET_", "tax_id, RET_")
     assert "SortAggregate" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_closed_by_the_clock(spark, facts_of, log_of):
+    clock = spark.sql("SELECT unix_timestamp() AS e").select("e", now_utc().alias("n")).first()
+    assert abs((clock.n - datetime(1970, 1, 1)).total_seconds() - clock.e) < 60
+    lines = consolidate(facts_of(fact(1, PLATA, "RET_IVA", "5.00", "10.00", "0.50", s(10))), log_of())
+    assert closed(lines, now_utc()).count() == 1 and still_open(lines, now_utc()).count() == 0
+
+
+def test_other_column_names(spark):
+    """Times with zone, no group but the rate, one measure, another family."""
+    model = Model(
+        key="shop",
+        group=(),
+        rate="level",
+        measures={"paid": "total_paid"},
+        attributes={"owner": "owner_name"},
+        event_time="at",
+        arrival=("arrived", "n"),
+        family_column="kind",
+        family="SALE-",
+    )
+    facts = spark.sql(
+        """SELECT * FROM VALUES
+          (1, TIMESTAMP '2024-01-01 00:00:10Z', 's', 'SALE-a', 1, 10.00BD, TIMESTAMP '2024-01-01 00:00:05Z'),
+          (2, TIMESTAMP '2024-01-01 00:00:11Z', 's', 'SALE-b', 1, 20.00BD, TIMESTAMP '2024-01-01 00:00:25Z'),
+          (3, TIMESTAMP '2024-01-01 00:00:12Z', 's', 'RENT-a', 1, 40.00BD, TIMESTAMP '2024-01-01 00:00:40Z'),
+          (4, TIMESTAMP '2024-01-01 00:00:13Z', 's', 'SALE-a', 1, 80.00BD, TIMESTAMP '2024-01-01 00:00:34Z')
+        AS t(n, arrived, shop, kind, level, paid, at)"""
+    )
+    log = spark.sql(
+        """SELECT * FROM VALUES ('s', 'Ann', 'r', TIMESTAMP '2024-01-01 00:00:00Z', 1L),
+           ('s', 'Bob', 'u', TIMESTAMP '2024-01-01 00:00:20Z', 2L) AS t(shop, owner, op, op_ts, seq)"""
+    )
+    row = consolidate(facts, log, "60s", zone="UTC", model=model).collect()
+    assert [tuple(r) for r in row] == [
+        ("s", datetime(2024, 1, 1), 1, "Bob", datetime(2024, 1, 1, 0, 1), Decimal("30.00"))
+    ]

@@ -8,7 +8,7 @@ import pytest
 from accrue.operators.quality import differences
 from accrue.plans import TAXES, consolidate
 from accrue.sources.schemas import CHANGES, FACTS
-from accrue.streaming import Consolidation, KeyedTable, Progress, run_with_restarts
+from accrue.streaming import TRIGGER, Consolidation, KeyedTable, Progress, run_with_restarts
 from conftest import fact, line_set
 
 M = datetime(2024, 5, 6, 15, 0, 0)
@@ -229,6 +229,7 @@ def test_outage_restart_and_cold_run(spark, tmp_path, facts_of, log_of):
 
 
 def test_a_checkpoint_is_required(run):
+    assert TRIGGER == "10 seconds"
     r = run()
     with pytest.raises(ValueError, match="checkpoint"):
         r.job.start(r.facts_of(), r.log_of(), "")
