@@ -108,7 +108,8 @@ class KeyedTable:
     def _write(self, rows: DataFrame) -> str:
         folder = uuid.uuid4().hex
         rows = rows.withColumn(_PART, F.expr(self.partition).cast("string"))
-        rows.write.partitionBy(_PART).parquet(f"{self.path}/rows/_folder={folder}")
+        # few files per part, and a large part still split over tasks
+        rows.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/rows/_folder={folder}")
         return folder
 
     def vacuum(self) -> None:
