@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accrue.llm.decontaminate import contamination
 from accrue.llm.language import fit_profiles, identify
 from accrue.llm.quality import fit_quality, score_quality, word_vectors
 from accrue.llm.split import held_out
+from accrue.llm.substring import remove_repeats
 from accrue.sources.ship import ship_library
 
 
@@ -18,6 +20,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside phrases of the benchmark, and the items they come from."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span.end - span.first)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows that begin in an earlier document."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; labels are learned from the rows that are not held out, word vectors from all texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out"))
@@ -35,6 +57,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
 }

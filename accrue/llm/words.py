@@ -168,3 +168,23 @@ def ragged(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def string_array(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Texts from their bytes and where each begins."""
+    return pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.string())
+
+
+def joined(words: Words, kept: np.ndarray) -> pa.Array:
+    """Of each row its kept words, joined by one space."""
+    doc, lengths = words.doc[kept], (words.ends - words.starts)[kept]
+    spaced = np.zeros(len(doc), dtype=np.int64)
+    spaced[:-1] = doc[1:] == doc[:-1]
+    after = np.cumsum(lengths + spaced)
+    out = np.full(int(after[-1]) if len(after) else 0, 32, dtype=np.uint8)
+    letters = np.ones(len(out), dtype=bool)
+    letters[after[spaced == 1] - 1] = False
+    held = words.data[words.inside]
+    out[letters] = held if kept.all() else held[np.repeat(kept, words.ends - words.starts)]
+    at = np.concatenate(([0], after))[np.searchsorted(doc, np.arange(len(words.counts) + 1))]
+    return string_array(out, at)
