@@ -22,8 +22,22 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to a shared folder and read from there: nothing before has to run again."""
-    folder = shared_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """The rows written to a shared folder and read from there: nothing before has to run again.
+
+    So the shuffle files of what came before are of no more use and go as soon as the rows are written.
+    """
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession, label)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(folder)
