@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accrue.llm.decontaminate import contamination
+from accrue.llm.jaccard import similar_groups
 from accrue.llm.language import fit_profiles, identify
 from accrue.llm.quality import fit_quality, score_quality, word_vectors
 from accrue.llm.split import held_out
@@ -40,6 +41,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose sets of 3-word shingles are 0.9 similar."""
+    return similar_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; labels are learned from the rows that are not held out, word vectors from all texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out"))
@@ -59,6 +65,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
 }
