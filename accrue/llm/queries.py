@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accrue.llm.decontaminate import contamination
 from accrue.llm.jaccard import similar_groups
 from accrue.llm.language import fit_profiles, identify
+from accrue.llm.packing import pack, pieces
 from accrue.llm.quality import fit_quality, score_quality, word_vectors
 from accrue.llm.split import held_out
 from accrue.llm.substring import remove_repeats
+from accrue.llm.tokenfile import read_token_files, write_token_files
+from accrue.sources.shared import shared_folder
 from accrue.sources.ship import ship_library
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_library(spark)
@@ -41,6 +47,20 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces packed into sequences of 2048 ids."""
+    packed = pack(pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+    return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written to token files and read back."""
+    docs = table(spark, sf_dir, "documents")
+    path = shared_folder(spark, "token-files")
+    write_token_files(docs, path, public_tokenizers.path(TOKENIZER))
+    return read_token_files(spark, path, docs.schema["doc_id"].dataType).withColumnRenamed("id", "doc_id")
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents whose sets of 3-word shingles are 0.9 similar."""
     return similar_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
@@ -65,6 +85,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_packing": op5_packing,
+    "op6_token_files": op6_token_files,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
