@@ -16,6 +16,7 @@ from accrue.llm.quality import fit_quality, score_quality, word_vectors
 from accrue.llm.split import held_out
 from accrue.llm.substring import remove_repeats
 from accrue.llm.tokenfile import read_token_files, write_token_files
+from accrue.llm.warc import deduplicate_archives, read_archives, resolve_revisits, write_archives
 from accrue.sources.shared import shared_folder
 from accrue.sources.ship import ship_library
 
@@ -41,6 +42,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, deduplicated, and read back with revisits joined to their responses."""
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    captured, kept = shared_folder(spark, "warc"), shared_folder(spark, "warc")
+    write_archives(pages, captured)
+    deduplicate_archives(spark, captured, kept, kind)
+    return resolve_revisits(read_archives(spark, kept, kind))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of windows that begin in an earlier document."""
     kept = remove_repeats(table(spark, sf_dir, "documents"))
@@ -84,6 +95,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc_revisits": op2_warc_revisits,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
