@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from accrue.llm.decontaminate import contamination
 from accrue.llm.jaccard import similar_groups
 from accrue.llm.language import fit_profiles, identify
+from accrue.llm.lm import fit, score, vocabulary, word_counts
 from accrue.llm.packing import pack, pieces
 from accrue.llm.quality import fit_quality, score_quality, word_vectors
 from accrue.llm.split import held_out
@@ -58,6 +59,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents; counts and model come from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 7, 2).alias("held_out"))
+    training = docs.where("NOT held_out")
+    counts = word_counts(training)
+    known = vocabulary(counts)
+    scored = score(docs, counts, known, fit(training, known))
+    return scored.withColumn("held_out", held_out("doc_id", 7, 2))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces packed into sequences of 2048 ids."""
     packed = pack(pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
@@ -97,6 +108,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc_revisits": op2_warc_revisits,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
     "op8_ngram_jaccard": op8_ngram_jaccard,
