@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrue.llm.components import components
@@ -37,24 +37,27 @@ VERIFY_COST = 0.05  # of comparing one n-gram of a candidate, against one entry
 _TOP = np.uint64(1 << 63)
 
 
+def _grams(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The n-grams of each text of a column, as hashes below 2^63, their rows, and the number of rows."""
+    words = Words(column, lower=True)
+    hashes = words.hashes()
+    grams, doc = [], []
+    for n in range(1, size + 1):
+        runs = rolling(hashes, n)
+        own = words.doc[: len(runs)]
+        first, last = np.arange(len(runs)), words.first[own + 1] if len(own) else own
+        # whole texts of fewer words are one n-gram
+        fits = first + n <= last if n == size else (first == words.first[own]) & (first + n == last)
+        grams.append(mixed(runs[fits] + np.uint64(n)) >> np.uint64(1))
+        doc.append(own[fits])
+    return np.concatenate(grams), np.concatenate(doc), len(words.counts)
+
+
 class _Sets:
-    """The distinct n-grams of each text of a column, as hashes below 2^63, in order of text and hash."""
+    """The distinct n-grams of each text of a column, in order of text and hash."""
 
     def __init__(self, column: pa.Array, size: int):
-        words = Words(column, lower=True)
-        hashes = words.hashes()
-        grams, doc = [], []
-        for n in range(1, size + 1):
-            runs = rolling(hashes, n)
-            first = np.arange(len(runs))
-            own = words.doc[: len(runs)]
-            last = words.first[own + 1] if len(own) else own
-            # whole texts of fewer words are one n-gram
-            fits = first + n <= last if n == size else (first == words.first[own]) & (first + n == last)
-            grams.append(mixed(runs[fits] + np.uint64(n)) >> np.uint64(1))
-            doc.append(own[fits])
-        self.rows = len(words.counts)
-        key, at = np.concatenate(grams), np.concatenate(doc)
+        key, at, self.rows = _grams(column, size)
         order = np.lexsort((key, at))
         key, at = key[order], at[order]
         new = np.ones(len(key), bool)
@@ -67,7 +70,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for held in batches:
         for batch in blocks(held, "text"):
-            more, n = counted(_Sets(batch.column(0), size).key)
+            more, n = counted(_grams(batch.column(0), size)[0])
             keys, counts = counted(np.concatenate((keys, more)), np.concatenate((counts, n)))
             if len(keys) > MAX_COUNTED:
                 keys, counts = keys[counts > 1], counts[counts > 1]
@@ -116,38 +119,54 @@ def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([batch.column(0), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "grams"])
 
 
-def _chosen(percent: int, longest: int) -> Column:
-    """l of the least estimated cost: entries of the lists met, and n-grams compared for candidates (entries / l)."""
-    least = F.ceil(F.col("n") * percent / 100)
-    costs = []
-    for l in range(1, longest + 1):
-        inside = F.filter("live", lambda x, l=l: x.place < F.col("n") - least + l)
-        entries = F.aggregate(inside, F.lit(0.0), lambda total, x: total + x.lists)
-        costs.append(F.struct((entries * (1 + F.col("n") * VERIFY_COST / l) + F.when(l > least, float("inf")).otherwise(0.0)).alias("cost"), F.lit(l).alias("l")))
-    return F.array_min(F.array(*costs)).getField("l")
-
-
-def _candidates(profiles: DataFrame, percent: int, longest: int) -> DataFrame:
-    """(a, b): pairs of classes that may be similar enough, each once; `profiles` has one row per class."""
-    posted = profiles.select("id", F.posexplode("prefix").alias("place", "gram"))
+def _entries(batches: Iterator[pa.RecordBatch], percent: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """The list entries of each row with its l: that of the least estimated cost, which is the entries of the lists met,
+    and the n-grams compared for the candidates (entries / l)."""
+    for batch in batches:
+        at = {name: i for i, name in enumerate(batch.schema.names)}
+        n = batch.column(at["n"]).to_numpy()
+        live = batch.column(at["live"])
+        row = np.repeat(np.arange(len(batch)), live.value_lengths().to_numpy())
+        place, gram, lists = (live.flatten().field(k).to_numpy() for k in range(3))
+        least = -(-percent * n // 100)
+        costs = []
+        for l in range(1, longest + 1):
+            entries = np.bincount(row, weights=lists * (place < (n - least + l)[row]), minlength=len(batch))
+            costs.append(np.where(l > least, np.inf, entries * (1 + n * VERIFY_COST / l)))
+        best = 1 + np.argmin(np.stack(costs), axis=0)
+        inside = place < (n - least + best)[row]
+        row = row[inside]
+        take = pa.array(row)
+        kept = [batch.column(at[c]).take(take) for c in ("id", "s1", "n", "b1", "b2", "b3", "b4")]
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array(best[row], pa.int64()), pa.array(place[inside], pa.int32()), pa.array(gram[inside], pa.int64())], names=["id", "s1", "n", "b1", "b2", "b3", "b4", "l", "place", "gram"]
+        )
+
+
+def _candidates(heads: DataFrame, percent: int, longest: int) -> DataFrame:
+    """(a, b): pairs of classes that may be similar enough, each once; `heads` has one row per class."""
+    kind = heads.schema["id"].dataType.simpleString()
+    node = ["id", "s1"]  # rows of one id may have several sets
+    posted = heads.select(*node, F.posexplode("prefix").alias("place", "gram"))
     lists = posted.groupBy("gram").agg(F.count("*").alias("lists")).where("lists > 1")
-    live = posted.join(lists, "gram").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("place", "gram", "lists"))).alias("live"))
-    docs = profiles.drop("prefix").join(live, "id").withColumn("l", _chosen(percent, longest))
-    # lists are joined on 32 bits of the n-gram; texts in which two of these are equal ask for one match only
-    short = F.transform("live", lambda x: F.hash(x.gram))
-    docs = docs.withColumn("live", F.filter("live", lambda x: x.place < F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("l"))).withColumn("short", short)
-    docs = docs.withColumn("l", F.when(F.size(F.array_distinct("short")) < F.size("short"), 1).otherwise(F.col("l")))
-    entry = F.posexplode(F.col("live.place")).alias("k", "place")
-    entries = docs.select("id", "n", "l", "b1", "b2", "b3", "b4", "short", entry)
-    entries = entries.select("id", "n", "l", "b1", "b2", "b3", "b4", "place", F.get("short", F.col("k")).alias("key"), F.slice("short", F.lit(1), F.col("k")).alias("before"))
-    x, y = entries.alias("x"), entries.alias("y")
+    live = posted.join(lists, "gram").groupBy(*node).agg(F.collect_list(F.struct("place", "gram", "lists")).alias("live"))
+    docs = heads.drop("prefix").join(live, node)
+    schema = f"id {kind}, s1 long, n long, b1 long, b2 long, b3 long, b4 long, l long, place int, gram long"
+    entries = written(docs.mapInArrow(lambda it: _entries(it, percent, longest), schema), "entries")
+
     need = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
     apart = " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(1, 5))
-    pairs = x.join(
-        y,
+    may = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND {apart} <= x.n + y.n - 2 * {need}"
+    # entries that meet no other class of a fitting size and sketch fall out before n-grams are compared
+    entries = written(entries.alias("x").join(entries.alias("y"), F.expr(f"x.gram = y.gram AND x.id != y.id AND {may}"), "left_semi"), "entries")
+    grams = entries.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("all"))
+    kept = entries.select("id", "s1", "n", "l", "b1", "b2", "b3", "b4").distinct().join(grams, node)
+    kept = kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("all.gram").alias("grams"), F.posexplode("all").alias("k", "at"))
+    kept = written(kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("at.place").alias("place"), F.col("at.gram").alias("gram"), F.slice("grams", F.lit(1), F.col("k")).alias("before")), "entries")
+    pairs = kept.alias("x").join(
+        kept.alias("y"),
         F.expr(
-            f"""x.key = y.key AND (x.n < y.n OR (x.n = y.n AND x.id < y.id)) AND 100 * x.n >= {percent} * y.n
-            AND {apart} <= x.n + y.n - 2 * {need}
+            f"""x.gram = y.gram AND (x.n < y.n OR (x.n = y.n AND x.id < y.id)) AND {may}
             AND least(x.l, y.l) + least(x.n - x.place, y.n - y.place) - 1 >= {need}
             AND size(array_intersect(x.before, y.before)) = least(x.l, y.l) - 1"""
         ),
@@ -183,8 +202,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     profiles = written(rows.mapInArrow(lambda it: _prefixes(it, size, percent, longest, shared.value), schema), "prefixes")
     classes = profiles.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("class"))
     # one row per class; a class that an id has twice counts once
-    heads = profiles.join(classes.select("s1", "s2", "n", F.col("class").alias("id")), ["s1", "s2", "n", "id"]).dropDuplicates(["id", "s1", "s2", "n"])
-    pairs = written(_candidates(heads.drop("s1", "s2"), percent, longest).distinct(), "candidates")
+    heads = profiles.join(classes.select("s1", "s2", "n", F.col("class").alias("id")), ["s1", "s2", "n", "id"])
+    heads = written(heads.dropDuplicates(["id", "s1", "s2", "n"]).drop("s2"), "heads")
+    pairs = written(_candidates(heads, percent, longest).distinct(), "candidates")
     met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, grams array<long>").distinct(), "sets")
 
