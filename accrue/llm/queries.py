@@ -14,6 +14,7 @@ from accrue.llm.language import fit_profiles, identify
 from accrue.llm.lm import fit, score, vocabulary, word_counts
 from accrue.llm.packing import pack, pieces
 from accrue.llm.quality import fit_quality, score_quality, word_vectors
+from accrue.llm.simhash import edited_fingerprints
 from accrue.llm.split import held_out
 from accrue.llm.substring import remove_repeats
 from accrue.llm.tokenfile import read_token_files, write_token_files
@@ -83,6 +84,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, docs.schema["doc_id"].dataType).withColumnRenamed("id", "doc_id")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, compared, and searched in permuted block tables."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents whose sets of 3-word shingles are 0.9 similar."""
     return similar_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
@@ -111,6 +117,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm_scoring": op4_lm_scoring,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
+    "op7_simhash": op7_simhash,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
