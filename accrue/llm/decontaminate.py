@@ -11,7 +11,7 @@ blocks of benchmark items of at most `block_bytes` text together (or one item);
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -146,32 +146,40 @@ def _pass(docs: DataFrame, names: list[str], text: str, phrases: Phrases) -> Dat
     return docs.mapInArrow(search, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = PHRASE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = PHRASE, block_bytes: int = BLOCK_BYTES, carry: Sequence[str] = ()
+) -> DataFrame:
     """Per row of `docs`: its id, n_words, the merged spans of words inside occurrences, and the items that occur.
 
     Null and empty texts have no words. Items without id, text or words have no phrases; rows of one item id are one item.
-    Rows of `docs` that repeat are all returned. Item ids come as strings, in order.
+    Rows of `docs` that repeat are all returned. Item ids come as strings, in order. `carried` is a struct of the columns
+    named by `carry`.
     """
     bench = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("words")).where("item IS NOT NULL AND words IS NOT NULL")
     total = bench.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     n_blocks = -(-total // block_bytes) or 1
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), *[F.struct(*carry).alias("carried")] * bool(carry))
+    own = ["id", *["carried"] * bool(carry)]
+    names = [F.col("id").alias(id_col), "n_words", "spans", "items", *own[1:]]
     if n_blocks == 1:
         held = bench.collect()  # at most block_bytes
-        found = _pass(rows, ["id"], "text", Phrases.of([r.item for r in held], [r.words for r in held], size))
-        return found.select(F.col("id").alias(id_col), "n_words", "spans", "items")
-    rows = rows.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
+        return _pass(rows, own, "text", Phrases.of([r.item for r in held], [r.words for r in held], size)).select(*names)
+    told = [F.coalesce("text", F.lit("")), *[F.to_json(c) for c in own[1:]]]
+    rows = rows.withColumn("key", F.sha2(F.concat_ws("\n", *told), 256))
     parts = None
     for block in range(n_blocks):
         held = bench.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == block).collect()
-        part = _pass(rows, ["id", "key"], "text", Phrases.of([r.item for r in held], [r.words for r in held], size))
+        part = _pass(rows, [*own, "key"], "text", Phrases.of([r.item for r in held], [r.words for r in held], size))
         parts = part if parts is None else parts.union(part)
     merged = parts.groupBy("id", "key", "n_words").agg(
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.count("*").alias("n")
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.count("*").alias("n"),
+        *[F.first(c).alias(c) for c in own[1:]],
     )
     joined = F.expr("""aggregate(all, CAST(array() AS array<struct<first:bigint,end:bigint>>), (acc, x) -> CASE
         WHEN size(acc) > 0 AND x.first <= element_at(acc, -1).end
         THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('first', element_at(acc, -1).first, 'end', greatest(element_at(acc, -1).end, x.end))))
         ELSE concat(acc, array(x)) END)""")
     copies = F.explode(F.array_repeat(F.lit(1), (F.col("n") / n_blocks).cast("int")))
-    return merged.select(F.col("id").alias(id_col), "n_words", joined.alias("spans"), "items", copies.alias("copy")).drop("copy")
+    return merged.select("id", "n_words", joined.alias("spans"), "items", *own[1:], copies.alias("copy")).select(*names)

@@ -16,12 +16,13 @@ A hot window costs one row per task before the shuffle, and joins back to its oc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accrue.llm.words import Words, blocks, counted, joined, list_array, rolling, sliding_min, whole
 from accrue.sources.shared import written
@@ -136,15 +137,15 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int, text_at: int, names: list
             )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
-    """(id, text, n_words, n_removed, kept): every row with its number of words, how many go, and the kept words joined by one space.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
+    """(id, text, n_words, n_removed, kept[, carried]): every row with its number of words, how many go, and the kept words joined by one space.
 
     Windows are judged on the input. A null text has no words and stays null, its `kept` is empty. Rows without an id
     keep all words and take none from others. Rows of equal ids take nothing from each other; if their texts differ,
-    what one has to lose by its places the other loses as well.
+    what one has to lose by its places the other loses as well. `carried` is a struct of the columns named by `carry`.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    names = ["id", "text"]
-    out = rows.join(repeated_windows(rows, size), "id", "left").select("id", "text", "runs")
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, text string, n_words long, n_removed long, kept string"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), *[F.struct(*carry).alias("carried")] * bool(carry))
+    names = rows.columns
+    out = rows.join(repeated_windows(rows.select("id", "text"), size), "id", "left").select(*names, "runs")
+    schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     return out.mapInArrow(lambda it: _cut(it, size, 1, names), schema).withColumnRenamed("id", id_col)
