@@ -9,7 +9,7 @@ lists, but l shared n-grams drop more candidates before they are verified. Two d
    (a bounded table of the most frequent ones is broadcast; it affects cost, never the result).
 2. Documents of equal sets are one class; its smallest id stands for it from here on.
 3. Prefix n-grams that one class alone has are dropped; the lists of the others meet in a self-join. A pair comes out
-   once, at its min(l, l')-th shared n-gram, and only if its sizes, the places of that n-gram and a 256-bit parity sketch
+   at its min(l, l')-th shared n-gram (in long lists now and then again behind it), and only if its sizes, the places of that n-gram and a 256-bit parity sketch
    of both sets (whose differing bits never exceed the differing n-grams) still allow the similarity.
 4. Candidates are verified on whole sets: first one per class, then, of the rest, those whose classes are not yet
    connected. So the links of a large group of near copies are not all expanded.
@@ -32,6 +32,7 @@ SHINGLE, PERCENT = 5, 80
 LONGEST = 4
 FREQUENT_IN_TASK = 8
 MAX_FREQUENT = 1 << 17
+REMEMBERED = 32  # n-grams an entry knows before its own; a pair may come out again behind them
 MAX_COUNTED = 1 << 21  # distinct n-grams a task counts at a time; beyond it those seen once are dropped
 VERIFY_COST = 0.05  # of comparing one n-gram of a candidate, against one entry of a list
 _TOP = np.uint64(1 << 63)
@@ -162,13 +163,14 @@ def _candidates(heads: DataFrame, percent: int, longest: int) -> DataFrame:
     grams = entries.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("all"))
     kept = entries.select("id", "s1", "n", "l", "b1", "b2", "b3", "b4").distinct().join(grams, node)
     kept = kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("all.gram").alias("grams"), F.posexplode("all").alias("k", "at"))
-    kept = written(kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("at.place").alias("place"), F.col("at.gram").alias("gram"), F.slice("grams", F.lit(1), F.col("k")).alias("before")), "entries")
+    kept = written(kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("at.place").alias("place"), F.col("at.gram").alias("gram"), F.slice("grams", F.lit(1), F.least(F.col("k"), F.lit(REMEMBERED))).alias("before"), (F.col("k") <= REMEMBERED).alias("all_before")), "entries")
     pairs = kept.alias("x").join(
         kept.alias("y"),
         F.expr(
             f"""x.gram = y.gram AND (x.n < y.n OR (x.n = y.n AND x.id < y.id)) AND {may}
             AND least(x.l, y.l) + least(x.n - x.place, y.n - y.place) - 1 >= {need}
-            AND size(array_intersect(x.before, y.before)) = least(x.l, y.l) - 1"""
+            AND size(array_intersect(x.before, y.before)) <= least(x.l, y.l) - 1
+            AND (size(array_intersect(x.before, y.before)) = least(x.l, y.l) - 1 OR NOT x.all_before OR NOT y.all_before)"""
         ),
     )
     return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
