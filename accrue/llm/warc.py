@@ -178,6 +178,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     (page_id, payload_bytes, payload_digest, record_type, refers_to): length and digest of the full payload, and the page
     id of the response that a revisit refers to.
     """
-    responses = records.where("type = 'response'").select(F.col("record_id").alias("refers_record"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("n"), F.col("digest").alias("of")).dropDuplicates(["refers_record"])
-    joined = records.join(responses, "refers_record", "left")
-    return joined.select("page_id", F.coalesce("n", "payload_bytes").alias("payload_bytes"), F.coalesce("of", "digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+    records = written(records, "records")
+    original = records.where("type = 'response'").select(F.col("record_id").alias("refers_record"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("n"), F.col("digest").alias("of")).dropDuplicates(["refers_record"])
+    revisits = records.where("type = 'revisit'").join(original, "refers_record", "left")
+    revisits = revisits.select("page_id", F.coalesce("n", "payload_bytes").alias("payload_bytes"), F.coalesce("of", "digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+    absent = F.lit(None).cast(records.schema["page_id"].dataType)
+    rest = records.where("type != 'revisit'").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), absent.alias("refers_to"))
+    return rest.union(revisits)
