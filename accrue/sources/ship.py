@@ -1,4 +1,4 @@
-"""Making this library importable in the executors' Python workers."""
+"""Settings of a session whose executors run this library's functions in Python workers."""
 
 from __future__ import annotations
 
@@ -11,8 +11,14 @@ from pyspark.sql import SparkSession
 _SENT: set[str] = set()
 
 
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, 16 << 20
+
+
 def ship_library(spark: SparkSession) -> None:
-    """Send the library's source files to the executors, once per application."""
+    """Send the library's source files to the executors, once per application, and keep Arrow batches of texts small."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ROWS_PER_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     application = spark.sparkContext.applicationId
     if application in _SENT:
         return
