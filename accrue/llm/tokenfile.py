@@ -32,7 +32,7 @@ from accrue.llm.words import blocks
 from accrue.sources.shared import CLEAN_UP
 
 FRAME_IDS = 1 << 16
-FILE_BYTES = 8 << 20
+FILE_BYTES = 4 << 20
 PARTITION_BYTES = 32 << 20
 SKIPPABLE = 0x184D2A5E
 MARK = b"token seek table\n"  # the writer adds its last byte
@@ -196,10 +196,10 @@ def read_token_files(spark: SparkSession, path: str, kind: T.DataType, ids: list
                 names, counts = file.documents()
                 places = np.arange(len(counts)) if ids is None else np.flatnonzero([x in ids for x in names.to_pylist()])
                 start = np.cumsum(counts) - counts + file.before + shared.value[file.part]
-                found = list(file.read(places.tolist()))
-                columns = [names.take(pa.array(places, pa.int64())), pa.array(start[places], pa.int64()), pa.array(counts[places], pa.int64()), pa.array([crc32(x) for _, x in found], pa.int64())]
+                found = [(crc32(x), np.frombuffer(x, "<u4").astype(np.int64) if with_ids else None) for _, x in file.read(places.tolist())]
+                columns = [names.take(pa.array(places, pa.int64())), pa.array(start[places], pa.int64()), pa.array(counts[places], pa.int64()), pa.array([check for check, _ in found], pa.int64())]
                 if with_ids:
-                    columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int64) for _, x in found], pa.list_(pa.int64())))
+                    columns.append(pa.array([x for _, x in found], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids])
 
     fields = [T.StructField("id", kind), *(T.StructField(n, T.LongType()) for n in ("start", "n_tokens", "ids_crc32"))]

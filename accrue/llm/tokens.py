@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from accrue.llm.words import Words, ragged, text_bytes
 
-MAX_KNOWN = 1 << 21
+MAX_KNOWN = 3 << 19
 END = 0
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -64,14 +64,14 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.begin = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.begin = np.zeros(0, np.uint32)
+        self.length = np.zeros(0, np.uint32)
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         held = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        length = np.array([len(x) for x in held], dtype=np.int64)
-        begin = np.cumsum(length) - length + len(self.ids)
+        length = np.array([len(x) for x in held], dtype=np.uint32)
+        begin = (np.cumsum(length, dtype=np.int64) - length + len(self.ids)).astype(np.uint32)
         self.ids = np.concatenate((self.ids, np.array([i for x in held for i in x], dtype=np.uint32)))
         keys = np.concatenate((self.keys, keys))
         order = np.argsort(keys, kind="stable")
@@ -98,12 +98,12 @@ class Encoder:
             self._learn(distinct[missing], [parts.word(i).decode("utf-8", "replace") for i in which[missing]])
             at = np.searchsorted(self.keys, distinct)
         at = at[inverse]
-        length = self.length[at]
+        length = self.length[at].astype(np.int64)
         total = np.bincount(parts.doc, weights=length, minlength=len(parts.counts)).astype(np.int64) + 1
         out = np.full(int(total.sum()), END, dtype=np.uint32)
         content = np.ones(len(out), bool)
         content[np.cumsum(total) - 1] = False
-        out[content] = self.ids[ragged(self.begin[at], length)]
+        out[content] = self.ids[ragged(self.begin[at].astype(np.int64), length)]
         return out, total
 
 
