@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from accrue.functions.timestamps import to_utc, utc_column
-from accrue.operators.intervals import DELETE, to_intervals
+from accrue.operators.intervals import DELETE, checked_log, to_intervals
 from accrue.operators.slices import SLICE, SLICE_ROWS, find_cuts
 
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -62,10 +62,12 @@ def asof_join(
     """LEFT join to the last change with ``time <= event_time`` of the same key.
 
     Adds ``attributes`` and ``version_from``, the time the joined version began;
-    all are NULL before the first version, after a delete and for unknown keys.
+    all are NULL before the first version, after a delete and for unknown keys. A
+    fact without key or time finds nothing; a change without key, time or ``seq``
+    raises. Both strategies give the same rows.
 
-    ``interval`` joins validity intervals, broadcast only when their measured size
-    allows. ``union`` sorts facts and changes together by key and time and cuts
+    ``interval`` broadcasts validity intervals and raises when their measured size
+    does not allow it. ``union`` sorts facts and changes together by key and time and cuts
     hot keys into slices. ``auto`` takes the first where it can broadcast. ``size``
     is the log's :func:`measure`, if already taken. ``gauge`` may stand in for the
     facts where hot keys are looked for, a cheaper plan with much the same rows.
@@ -75,9 +77,11 @@ def asof_join(
     if strategy != "union" and size is None:
         size = measure(log, on, attributes)
     small = strategy != "union" and size.fits_probe(broadcast_bytes, versions_per_key)
-    if small or strategy == "interval":
+    if strategy == "interval" and not small:
+        raise ValueError(f"the change log does not fit strategy 'interval': {size.bytes} bytes, {size.largest} versions of one key")
+    if small:
         intervals = to_intervals(log, on, attributes, time, seq, op, slice_rows, size.largest)
-        return _interval_join(facts, F.broadcast(intervals) if small else intervals, on, attributes, event_time)
+        return _interval_join(facts, F.broadcast(intervals), on, attributes, event_time)
     gauge = facts if gauge is None else gauge
     return _union_join(facts, log, on, attributes, event_time, time, seq, op, slice_rows, gauge)
 
@@ -110,15 +114,15 @@ def _union_join(
 ) -> DataFrame:
     # a deleted version stays a (non-null) struct, so it is not skipped as a missing one
     version = F.struct(F.col(op).alias("op"), F.col(time).alias("since"), *attributes)
-    changes = to_utc(log, time).select(
+    changes = checked_log(to_utc(log, time), on, time, seq).select(
         *on, F.col(time).alias("_t"), F.lit(0).alias("_side"), F.col(seq).cast("bigint").alias("_seq"),
         version.alias("_version"),
     )
 
     def placed(facts: DataFrame, *columns: str) -> DataFrame:
+        # after the changes of its time any order of facts will do; a hash lets many facts of one instant be cut apart
         at = utc_column(F.col(event_time), facts.schema[event_time].dataType)
-        zero = F.lit(0).cast("bigint")
-        return facts.select(*columns, at.alias("_t"), F.lit(1).alias("_side"), zero.alias("_seq"))
+        return facts.select(*columns, at.alias("_t"), F.lit(1).alias("_side"), F.xxhash64(*facts.columns).alias("_seq"))
 
     order = ["_t", "_side", "_seq"]
     keys = list(on)

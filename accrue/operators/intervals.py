@@ -12,6 +12,16 @@ from accrue.operators.slices import SLICE, SLICE_ROWS, find_cuts
 DELETE = "d"
 
 
+def checked_log(log: DataFrame, on: list[str], time: str, seq: str) -> DataFrame:
+    """The change log, raising at a change without key, time or position: its place in history would be chance."""
+    complete = F.lit(True)
+    for name in [*on, time, seq]:
+        complete = complete & F.col(name).isNotNull()
+    complaint = F.raise_error(F.lit(f"a change without {', '.join([*on, time])} or {seq}"))
+    key = on[0]
+    return log.withColumn(key, F.when(complete, F.col(key)).otherwise(complaint.cast(log.schema[key].dataType)))
+
+
 def to_intervals(
     log: DataFrame,
     on: list[str],
@@ -26,9 +36,10 @@ def to_intervals(
 
     Of several changes at one time the last by ``seq`` holds. ``valid_to`` is NULL
     for a version still in force. (key, valid_from) identifies a row. ``largest``
-    is the most versions of one key, if known.
+    is the most versions of one key, if known. A change without key, time or
+    ``seq`` raises.
     """
-    changes = to_utc(log, time).select(*on, time, seq, op, *attributes)
+    changes = checked_log(to_utc(log, time), on, time, seq).select(*on, time, seq, op, *attributes)
     cuts = find_cuts(changes, on, [time, seq], slice_rows, largest)
     following = F.lead(time)
     if cuts is None:

@@ -20,17 +20,22 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     ).select("_last.*")
 
 
+def _last_of_both(target: DataFrame, delta: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """One row per key, the delta's last one or else the target's, in one aggregation. NULL keys are equal."""
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    both = target.select("*", F.struct(F.lit(0).alias("_side"), *[F.lit(None).alias(f"_{i}") for i in range(len(by))]).alias("_place"))
+    both = both.unionByName(delta.select(*target.columns, F.struct(F.lit(1).alias("_side"), *[c.alias(f"_{i}") for i, c in enumerate(by)]).alias("_place")))
+    return latest_per_key(both, keys, ["_place"]).drop("_place")
+
+
 def upsert(target: DataFrame, delta: DataFrame, keys: list[str], order: list[Column | str] | None = None) -> DataFrame:
-    """Target rows replaced or added to by the delta's last row per key."""
-    if order is not None:
-        delta = latest_per_key(delta, keys, order)
-    return target.join(delta.select(*keys), keys, "left_anti").unionByName(delta.select(*target.columns))
+    """Target rows replaced or added to by the delta's last row per key; both have one row per key without ``order``."""
+    return _last_of_both(target, delta, keys, order or [])
 
 
 def apply_changes(
     target: DataFrame, changes: DataFrame, keys: list[str], order: list[Column | str], op: str = "op"
 ) -> DataFrame:
-    """Upserts and deletes (``op = 'd'``) applied to the target, last change per key first."""
-    last = latest_per_key(changes, keys, order)
-    kept = target.join(last.select(*keys), keys, "left_anti")
-    return kept.unionByName(last.where(F.col(op) != DELETE).select(*target.columns))
+    """Upserts and deletes (``op = 'd'``) applied to the target of one row per key, last change per key first."""
+    last = _last_of_both(target.withColumn(op, F.lit("r")), changes, keys, order)
+    return last.where(F.col(op) != DELETE).select(*target.columns)

@@ -63,6 +63,8 @@ def mark_late(
     ``arrival`` names the columns whose order is the order of arrival and must
     identify a row; ``seen`` is the newest event time (UTC) before the first row.
     A row exactly ``delay`` seconds behind is on time; one without event time is late.
+    The rows are read more than once; those of an arrival range that an earlier pass
+    did not see raise.
     """
     rows = df.withColumn("_t", utc_column(F.col(event_time), df.schema[event_time].dataType))
     number = _ascending_number(df, arrival[0])
@@ -96,18 +98,20 @@ def mark_late(
     if 2 * unsure["n"].sum() > ranges["n"].sum():
         unsure = ranges  # most rows need ordering: one pass over all beats a second scan
 
-    schema = f"_bucket bigint, {SLICE} int, _carried timestamp_ntz"
-    table = pa.Table.from_pandas(unsure[["_bucket", SLICE, "_carried"]], preserve_index=False)
+    schema = f"_bucket bigint, {SLICE} int, _carried timestamp_ntz, _unsure boolean"
+    told = ranges.assign(_unsure=ranges["unsure"] | (len(unsure) == len(ranges)))[["_bucket", SLICE, "_carried", "_unsure"]]
+    table = pa.Table.from_pandas(told, preserve_index=False)
     carry = F.broadcast(df.sparkSession.createDataFrame(table, schema))  # at most one row per range
+    # a row of a range the first pass has not seen has no decision; it must not get lost
+    moved = F.raise_error(F.lit("the input changed between two passes over it")).cast("boolean")
+    rows = rows.join(carry.select(*keys, "_carried", "_unsure"), keys, "left").withColumn("_unsure", F.coalesce("_unsure", moved))
     order = W.partitionBy(*keys).orderBy(*arrival).rowsBetween(W.unboundedPreceding, W.currentRow)
     newest = F.greatest("_carried", F.max("_t").over(order))
-    checked = rows.join(carry.select(*keys, "_carried"), keys).withColumn(
-        LATE, F.coalesce(F.col("_t") < newest - seconds_interval(delay), F.lit(True))
-    )
+    checked = rows.where("_unsure").withColumn(LATE, F.coalesce(F.col("_t") < newest - seconds_interval(delay), F.lit(True)))
     checked = checked.select(*df.columns, LATE)
     if len(unsure) == len(ranges):
         return checked
-    settled = rows.join(carry.select(*keys), keys, "left_anti").withColumn(LATE, F.col("_t").isNull())
+    settled = rows.where("NOT _unsure").withColumn(LATE, F.col("_t").isNull())
     return checked.unionByName(settled.select(*df.columns, LATE))
 
 

@@ -29,11 +29,12 @@ def family_leak(lines: DataFrame, column: str = "tax_id", family: str = "PER") -
 def differences(left: DataFrame, right: DataFrame, keys: list[str], same: bool = False) -> DataFrame:
     """Keys with ``status`` only_left / only_right / changed (and equal, with ``same``).
 
-    All other columns are compared NULL-safe; decimals by value, times by instant.
+    All columns are compared NULL-safe, keys too; decimals by value, times by instant.
     """
     values = [c for c in left.columns if c not in keys]
     a = left.select(*keys, F.struct(*values).alias("_left"))
-    b = right.select(*keys, F.struct(*values).alias("_right"))
+    b = right.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.struct(*values).alias("_right"))
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
     equal = reduce(
         lambda x, y: x & y, [F.col(f"_left.{c}").eqNullSafe(F.col(f"_right.{c}")) for c in values], F.lit(True)
     )
@@ -43,7 +44,8 @@ def differences(left: DataFrame, right: DataFrame, keys: list[str], same: bool =
         .when(equal, "equal")
         .otherwise("changed")
     )
-    found = a.join(b, keys, "full_outer").select(*keys, status.alias("status"))
+    either = [F.when(F.col("_left").isNull(), F.col(f"_key_{i}")).otherwise(F.col(k)).alias(k) for i, k in enumerate(keys)]
+    found = a.join(b, on, "full_outer").select(*either, status.alias("status"))
     return found if same else found.where(F.col("status") != "equal")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrue.functions.aggregates import exact_sum
-from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, parse_period, period_end, period_start
+from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, check_fixed_offset, parse_period, period_end, period_start
 from accrue.functions.timestamps import to_utc
 from accrue.operators.asof import VERSION, LogSize, asof_join, measure
 from accrue.operators.filters import in_family, released
@@ -77,14 +77,18 @@ def consolidate(
     flush: bool = True,
     anchor: str = "epoch",
     wm: datetime | None = None,
+    strict_zone: bool = False,
     **lateness_options,
 ) -> DataFrame:
     """Rate lines of a bounded input, ``model.line_columns``.
 
     ``flush=False`` leaves out facts that still wait for the watermark: those
     newer than ``wm``, by default the newest event time minus ``delay``.
+    ``strict_zone`` raises for a zone whose offset will change.
     """
     period = parse_period(period)
+    if strict_zone:
+        check_fixed_offset(zone)
     facts = to_utc(facts, model.event_time)
     accepted = on_time_facts(facts, model, delay, **lateness_options)
     if not flush:

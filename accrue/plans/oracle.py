@@ -9,11 +9,12 @@ typed AS (
               WHEN 'view' THEN 'RET_IIBB_CABA' WHEN 'signup' THEN 'PER_IVA' WHEN 'error' THEN 'PER_IIBB_CABA' END AS tax_id,
          CAST(2 + (event_id % 3) * 1.5 AS DECIMAL(5,2)) AS tax_rate,
          CAST(value AS DECIMAL(18,2)) AS base_tax,
-         CAST(date_trunc('second', ts) AS TIMESTAMP) AS created_at,
+         CAST(ts AS TIMESTAMP) AS created_at,
          CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS e
   FROM events),
 facts AS (
-  SELECT *, CAST(base_tax * tax_rate * 0.01 AS DECIMAL(18,2)) AS tax_amount, e + (id * 7919) % 1200 AS arr FROM typed)"""
+  SELECT *, CAST(CAST(base_tax * tax_rate * 0.01 AS DECIMAL(18,2)) + CASE WHEN id % 97 = 13 THEN 0.01 ELSE 0 END AS DECIMAL(18,2)) AS tax_amount,
+         e + (id * 7919) % 1200 AS arr FROM typed)"""
 
 _LOG = """
 merchants AS (SELECT * FROM customer WHERE c_custkey % 11 <> 5),
@@ -30,6 +31,8 @@ log AS (
 versions AS (
   SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY cuit, op_ts ORDER BY seq DESC) = 1)"""
 
+_LOG_OF_ALL = _LOG.replace("SELECT * FROM customer WHERE c_custkey % 11 <> 5", "SELECT * FROM customer")
+
 
 def _marked(name: str, delay: int, facts: str = "facts") -> str:
     return f"""
@@ -120,11 +123,12 @@ SELECT o_orderkey, (CAST(d AS TIMESTAMP) AT TIME ZONE 'America/New_York') AT TIM
     "pending_at_watermark": _with(
         _FACTS, _marked("a", 600),
         select=f"SELECT id, cuit, created_at FROM marked_a WHERE NOT late AND starts_with(tax_id, 'RET_') AND created_at > {_WM}"),
-    "changelog_intervals": _with(_LOG, select="""
+    "changelog_intervals": _with(_LOG_OF_ALL, select="""
 SELECT cuit, name, establishment, valid_from, valid_to FROM (
   SELECT *, op_ts AS valid_from, lead(op_ts) OVER (PARTITION BY cuit ORDER BY op_ts, seq) AS valid_to FROM log)
 WHERE op <> 'd' AND (valid_to IS NULL OR valid_from < valid_to)"""),
-    "change_records": _with(_LOG, select="SELECT * FROM log"),
+    "change_records": _with(_LOG_OF_ALL, select="SELECT * FROM log"),
+    "fact_records": _with(_FACTS, select="SELECT id, cuit, tax_id, tax_rate, base_tax, tax_amount, created_at FROM facts"),
     "snapshot_log_merge": _with(_FACTS, select="""
 SELECT id, cuit, tax_id, base_tax, created_at FROM (
   SELECT *, 0 AS src FROM facts WHERE created_at < TIMESTAMP '2024-01-16'
@@ -132,6 +136,13 @@ SELECT id, cuit, tax_id, base_tax, created_at FROM (
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC) = 1"""),
     "asof_interval": _with(_FACTS, _LOG, _ASOF, select=_ASOF_ROWS),
     "asof_union": _with(_FACTS, _LOG, _ASOF, select=_ASOF_ROWS),
+    "asof_null_keys": _with(
+        _FACTS, _LOG,
+        "keyed AS (SELECT * REPLACE (CASE WHEN id % 7 = 3 THEN NULL ELSE cuit END AS cuit) FROM facts)",
+        "a AS (SELECT f.id, f.cuit, v.name, v.op, v.op_ts FROM keyed f ASOF LEFT JOIN versions v ON f.cuit = v.cuit AND f.created_at >= v.op_ts)",
+        select="""
+SELECT strategy, id, cuit, name, CASE WHEN op <> 'd' THEN op_ts END AS version_from
+FROM a CROSS JOIN (VALUES ('interval'), ('union')) AS s(strategy)"""),
     "asof_delete": _with(_FACTS, _LOG, _ASOF, select="""
 SELECT a.id, a.cuit, a.created_at, a.name, a.establishment FROM a JOIN log l ON l.cuit = a.cuit AND l.op = 'd'
 WHERE a.created_at >= l.op_ts"""),
@@ -144,23 +155,29 @@ LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = f.cuit AND f.created_at >
     "rate_lines_60s": _lines("60s"),
     "rate_lines_daily": _lines("daily"),
     "rate_lines_monthly": _lines("monthly"),
+    "rate_lines_7s_midnight": _lines("7s_midnight"),
+    "report_by_tax": _lines("daily", f"""
+SELECT {_KEYS}, total_base_tax, row_number() OVER (PARTITION BY cuit ORDER BY tax_id, tax_rate, window_start) AS position FROM lines_a"""),
+    "dump_order": _lines("daily", f"""
+SELECT {_KEYS}, total_base_tax, row_number() OVER (PARTITION BY cuit ORDER BY tax_id, window_start, tax_rate) AS position FROM lines_a"""),
     "rate_lines_open_end": _lines("daily", where=f"created_at <= {_WM}"),
     "rate_lines_report": _lines("monthly", "SELECT * FROM lines_a ORDER BY window_start, tax_id"),
     "certificates": _lines("monthly", """
 SELECT cuit, tax_id, window_start, window_end, count(*) AS rate_line_count,
        CAST(sum(total_base_tax) AS DECIMAL(18,2)) AS total_base_tax,
        CAST(sum(total_tax_amount) AS DECIMAL(18,2)) AS total_tax_amount,
-       string_agg(CAST(tax_rate AS VARCHAR), ',' ORDER BY tax_rate) AS rates
+       string_agg(tax_rate || '|' || total_base_tax || '|' || total_tax_amount || '|' || coalesce(establishment, '') || '|'
+                  || coalesce(merchant_name, ''), ',' ORDER BY tax_rate) AS rates
 FROM lines_a GROUP BY cuit, tax_id, window_start, window_end"""),
     "closed_certificates": _lines("daily", "SELECT * FROM lines_a WHERE window_end < TIMESTAMP '2024-01-16'"),
     "open_certificates": _lines("daily", "SELECT * FROM lines_a WHERE window_end >= TIMESTAMP '2024-01-16'"),
     "final_certificates": _lines("daily", f"SELECT * FROM lines_a WHERE window_end <= {_WM}"),
     "key_lookup": _lines("monthly", """
-SELECT * FROM lines_a WHERE tax_id = 'RET_IVA' AND tax_rate = 3.50 AND window_start = TIMESTAMP '2024-01-01 03:00:00'"""),
+SELECT * FROM lines_a WHERE cuit = '11' AND tax_id = 'RET_IVA' AND tax_rate = 3.50 AND window_start = TIMESTAMP '2024-01-01 03:00:00'"""),
     "enriched_keys": _lines("daily", "SELECT DISTINCT cuit FROM lines_a WHERE establishment IS NOT NULL OR merchant_name IS NOT NULL"),
     "upsert_latest": _ITEMS,
     "keyed_table_upsert": _ITEMS,
-    "apply_changes": _with(_LOG, select="""
+    "apply_changes": _with(_LOG_OF_ALL, select="""
 SELECT cuit, name, establishment FROM (
   SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY cuit ORDER BY op_ts DESC, seq DESC) = 1) WHERE op <> 'd'"""),
     "crossjoin_fanout": """
@@ -211,4 +228,6 @@ SELECT * FROM (
     "stream_live_target": _lines("daily", where=f"created_at <= {_WM}"),
     "restart_from_scratch": _lines("daily", where=f"created_at <= {_WM}"),
     "replay_idempotent": _lines("daily"),
+    "stream_new_checkpoint": _lines("daily"),
+    "stream_midnight": _lines("7s_midnight"),
 }

@@ -27,8 +27,9 @@ from accrue.plans import views
 from accrue.plans.consolidate import consolidate, on_time_facts
 from accrue.sources import sample
 from accrue.sources.changelog import decode_changes, encode_changes, merge_snapshot_and_log, stamp_snapshot
-from accrue.sources.landing import fan_out, land_in_waves, work_folder
+from accrue.sources.landing import fan_out, land_in_waves
 from accrue.sources.schemas import FACTS, MERCHANT
+from accrue.sources.shared import shared_folder
 from accrue.streaming.keyed_table import KeyedTable
 from accrue.streaming.run import LINES_BY_DAY, Consolidation, run_with_restarts
 
@@ -118,15 +119,22 @@ def _at_watermark(choose) -> Query:
 
 
 def changelog_intervals(spark, sf):
-    return to_intervals(sample.changelog(spark, sf), KEY, TEXTS)
+    return to_intervals(sample.changelog(spark, sf, everyone=True), KEY, TEXTS)
 
 
 def change_records(spark, sf):
     """Change records written as JSON and decoded again."""
-    log = sample.changelog(spark, sf)
+    log = sample.changelog(spark, sf, everyone=True)
     return decode_changes(encode_changes(log, MERCHANT, KEY), MERCHANT, KEY)
 
 
+def fact_records(spark, sf):
+    """Facts as the change records of an append-only table, decoded."""
+    facts = sample.facts(spark, sf).drop("arr")
+    records = facts.select("*", F.lit("c").alias("op"), F.col("created_at").alias("op_ts"), F.col("id").alias("seq"))
+    return decode_changes(encode_changes(records, facts.schema, ["id"]), facts.schema, ["id"]).select(*facts.columns)
+
+
 def snapshot_log_merge(spark, sf):
     """A snapshot and a log that overlap by two days."""
     facts = sample.facts(spark, sf).select("id", "cuit", "tax_id", "base_tax", "created_at")
@@ -156,6 +164,17 @@ def _asof(strategy: str) -> Query:
     return query
 
 
+def asof_null_keys(spark, sf):
+    """Both strategies on facts of which some have no key."""
+    facts, log = sample.facts(spark, sf), sample.changelog(spark, sf)
+    facts = facts.withColumn("cuit", F.when(F.col("id") % 7 != 3, F.col("cuit")))
+    found = [
+        asof_join(facts, log, KEY, ["name"], strategy=s).select(F.lit(s).alias("strategy"), "id", "cuit", "name", VERSION)
+        for s in ("interval", "union")
+    ]
+    return found[0].unionByName(found[1])
+
+
 def asof_delete(spark, sf):
     """Facts at or after the delete of their key."""
     log = sample.changelog(spark, sf)
@@ -187,9 +206,27 @@ def rate_lines_report(spark, sf):
     return views.report(_lines(spark, sf, "monthly"), by="period")
 
 
+def _numbered(*order: str) -> Query:
+    def query(spark, sf):
+        lines = _lines(spark, sf).select(*LINE_KEYS, "total_base_tax")
+        return views.numbered(lines, list(order), KEY)
+
+    return query
+
+
+def rate_lines_7s_midnight(spark, sf):
+    """Periods counted from each local midnight, in a zone whose offset is fixed."""
+    return _lines(spark, sf, "7s", anchor="midnight", strict_zone=True)
+
+
 def certificates(spark, sf):
     found = views.certificates(_lines(spark, sf, "monthly"), MODEL)
-    rates = F.array_join(F.transform("rate_lines", lambda x: x["tax_rate"].cast("string")), ",")
+    parts = ["tax_rate", *MODEL.measures.values(), *MODEL.attributes.values()]
+
+    def told(x):
+        return F.concat_ws("|", *[F.coalesce(x[c].cast("string"), F.lit("")) for c in parts])
+
+    rates = F.array_join(F.transform("rate_lines", told), ",")
     return found.withColumn("rates", rates).drop("rate_lines")
 
 
@@ -207,7 +244,7 @@ def final_certificates(spark, sf):
 
 def key_lookup(spark, sf):
     lines = _lines(spark, sf, "monthly")
-    return views.line(lines, tax_id="RET_IVA", tax_rate=Decimal("3.50"), window_start=datetime(2024, 1, 1, 3))
+    return views.line(lines, cuit="11", tax_id="RET_IVA", tax_rate=Decimal("3.50"), window_start=datetime(2024, 1, 1, 3))
 
 
 def enriched_keys(spark, sf):
@@ -232,7 +269,7 @@ def upsert_latest(spark, sf):
 def keyed_table_upsert(spark, sf):
     """The same through the keyed Parquet target."""
     early, late = _items(spark, sf)
-    table = KeyedTable(spark, work_folder(spark, "items"), ITEM_KEYS)
+    table = KeyedTable(spark, shared_folder(spark, "items"), ITEM_KEYS)
     table.upsert(latest_per_key(early, ITEM_KEYS, ITEM_ORDER), "early")
     table.upsert(latest_per_key(late, ITEM_KEYS, ITEM_ORDER), "late")
     return table.read()
@@ -240,7 +277,7 @@ def keyed_table_upsert(spark, sf):
 
 def apply_change_log(spark, sf):
     """Master data now: the snapshot with its updates and deletes."""
-    log = sample.changelog(spark, sf)
+    log = sample.changelog(spark, sf, everyone=True)
     snapshot = log.where(F.col("op") == "r").select("cuit", *TEXTS)
     return apply_changes(snapshot, log.where(F.col("op") != "r"), KEY, ["op_ts", "seq"])
 
@@ -333,12 +370,12 @@ class _FailsOnce:
         return written
 
 
-def _stream(spark, sf, waves: int, folder: str, run: str, target, flush: bool = True) -> Consolidation:
+def _stream(spark, sf, waves: int, folder: str, run: str, target, period: str = "daily", **options) -> Consolidation:
     """Land the facts wave by wave; after each, start the query from its checkpoint until it is done."""
     facts, log = sample.facts(spark, sf), sample.changelog(spark, sf)
     ticks = itertools.count(0, 10)
     job = Consolidation(
-        spark, f"{folder}/state-{run}", target, "daily", delay=DELAY, model=MODEL, clock=lambda: float(next(ticks))
+        spark, f"{folder}/state-{run}", target, period, delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)), **options
     )
     inbox, changes = f"{folder}/facts-{run}", f"{folder}/changes-{run}"
     log.write.parquet(changes)
@@ -361,13 +398,13 @@ def _target(spark, folder: str) -> KeyedTable:
 
 
 def stream_equals_batch(spark, sf):
-    folder = work_folder(spark, "stream")
+    folder = shared_folder(spark, "stream")
     return _stream(spark, sf, 4, folder, "a", _target(spark, folder)).lines(flush=True)
 
 
 def stream_live_target(spark, sf):
     """What the target holds while the newest facts still wait."""
-    folder = work_folder(spark, "live")
+    folder = shared_folder(spark, "live")
     target = _target(spark, folder)
     _stream(spark, sf, 3, folder, "a", target)
     return target.read()
@@ -375,7 +412,7 @@ def stream_live_target(spark, sf):
 
 def restart_from_scratch(spark, sf):
     """A second cold run, with other micro-batches, onto the same target."""
-    folder = work_folder(spark, "scratch")
+    folder = shared_folder(spark, "scratch")
     target = _target(spark, folder)
     _stream(spark, sf, 2, folder, "a", target)
     _stream(spark, sf, 3, folder, "b", target)
@@ -384,10 +421,24 @@ def restart_from_scratch(spark, sf):
 
 def replay_idempotent(spark, sf):
     """The target fails after a write; the micro-batch is replayed from the checkpoint."""
-    folder = work_folder(spark, "replay")
+    folder = shared_folder(spark, "replay")
     return _stream(spark, sf, 3, folder, "a", _FailsOnce(_target(spark, folder), at=2)).lines(flush=True)
 
 
+def stream_new_checkpoint(spark, sf):
+    """A second cold run beside the first, with its own state and checkpoint and the same target."""
+    folder = shared_folder(spark, "anew")
+    target = _target(spark, folder)
+    _stream(spark, sf, 1, folder, "a", target)
+    return _stream(spark, sf, 2, folder, "b", target).lines(flush=True)
+
+
+def stream_midnight(spark, sf):
+    """Periods counted from each local midnight."""
+    folder = shared_folder(spark, "midnight")
+    return _stream(spark, sf, 2, folder, "a", _target(spark, folder), "7s", anchor="midnight", strict_zone=True).lines(flush=True)
+
+
 QUERIES: dict[str, Query] = {
     "family_filter": family_filter,
     "prefix_count": prefix_count,
@@ -404,15 +455,20 @@ QUERIES: dict[str, Query] = {
     "pending_at_watermark": _at_watermark(pending),
     "changelog_intervals": changelog_intervals,
     "change_records": change_records,
+    "fact_records": fact_records,
     "snapshot_log_merge": snapshot_log_merge,
     "asof_interval": _asof("interval"),
     "asof_union": _asof("union"),
+    "asof_null_keys": asof_null_keys,
     "asof_delete": asof_delete,
     "asof_before_first": asof_before_first,
     "asof_snapshot": asof_snapshot,
     "rate_lines_60s": _rate_lines("60s"),
     "rate_lines_daily": _rate_lines("daily"),
     "rate_lines_monthly": _rate_lines("monthly"),
+    "rate_lines_7s_midnight": rate_lines_7s_midnight,
+    "report_by_tax": _numbered("tax_id", "tax_rate", "window_start"),
+    "dump_order": _numbered("tax_id", "window_start", "tax_rate"),
     "rate_lines_open_end": rate_lines_open_end,
     "rate_lines_report": rate_lines_report,
     "certificates": certificates,
@@ -437,4 +493,6 @@ QUERIES: dict[str, Query] = {
     "stream_live_target": stream_live_target,
     "restart_from_scratch": restart_from_scratch,
     "replay_idempotent": replay_idempotent,
+    "stream_new_checkpoint": stream_new_checkpoint,
+    "stream_midnight": stream_midnight,
 }

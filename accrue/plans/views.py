@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accrue.functions.aggregates import exact_sum
@@ -60,6 +60,11 @@ def report(lines: DataFrame, key=None, model: Model = TAXES, by: str = "tax") ->
     return lines.orderBy("window_start", *model.group)
 
 
+def numbered(lines: DataFrame, order: list[str], within: list[str]) -> DataFrame:
+    """Lines with their ``position`` in an order, counted within each group so that no task orders them all."""
+    return lines.withColumn("position", F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
+
+
 def enriched_keys(lines: DataFrame, model: Model = TAXES) -> DataFrame:
     """Distinct keys of lines that found any attribute."""
     found = F.lit(False)

@@ -13,6 +13,9 @@ from accrue.operators.intervals import DELETE
 from accrue.operators.keyed import upsert
 
 
+_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def envelope(row: T.StructType) -> T.StructType:
     """Schema of a change record ``{op, before, after, source: {ts_ms, lsn}}``."""
     return T.StructType([
@@ -30,19 +33,23 @@ def decode_changes(records: DataFrame, row: T.StructType, key: list[str], value:
     """JSON change records -> row columns, ``op``, ``op_ts`` (commit time, UTC) and ``seq`` (log position).
 
     A delete keeps the key of its before image and has NULL for the rest. Broken
-    JSON, an unknown op or a record without the image its op needs raises: a lost
-    change would silently change every later join.
+    JSON, an unknown op, a record without commit time or log position or without the
+    image its op needs raises, whatever columns are read: a lost change would
+    silently change every later join.
     """
-    parsed = records.select(F.from_json(value, envelope(row), {"mode": "FAILFAST"}).alias("r"))
+    schema = envelope(row)
+    parsed = records.select(F.from_json(value, schema, {"mode": "FAILFAST", **_TIMES}).alias("r"))
     op = F.col("r.op")
     known = op.isin("r", "c", "u", DELETE)
     image = F.when(op == DELETE, F.col("r.before")).otherwise(F.col("r.after"))
     # REPLICA IDENTITY FULL: an update carries both images
     complete = known & image.isNotNull() & ((op != "u") | F.col("r.before").isNotNull())
+    complete = complete & F.col("r.source.ts_ms").isNotNull() & F.col("r.source.lsn").isNotNull()
     for name in key:
         complete = complete & image[name].isNotNull()
     complaint = F.concat(F.lit("incomplete change record, op "), F.coalesce(op, F.lit("NULL")))
-    checked = F.when(F.coalesce(complete, F.lit(False)), op).otherwise(F.raise_error(complaint).cast("string"))
+    record = F.when(F.coalesce(complete, F.lit(False)), F.col("r")).otherwise(F.raise_error(complaint).cast(schema))
+    parsed = parsed.select(record.alias("r"))
 
     def field(name: str) -> Column:
         return image[name] if name in key else F.when(op != DELETE, image[name])
@@ -51,7 +58,7 @@ def decode_changes(records: DataFrame, row: T.StructType, key: list[str], value:
     op_ts = from_epoch(F.floor(millis / 1000)) + F.expr("INTERVAL '0.001' SECOND") * F.pmod(millis, F.lit(1000))
     return parsed.select(
         *[field(f.name).alias(f.name) for f in row.fields],
-        checked.alias("op"),
+        op.alias("op"),
         op_ts.alias("op_ts"),
         F.col("r.source.lsn").alias("seq"),
     )
@@ -73,7 +80,8 @@ def encode_changes(changes: DataFrame, row: T.StructType, key: list[str]) -> Dat
                 F.when(op.isin("u", DELETE), before).alias("before"),
                 F.when(op != DELETE, image).alias("after"),
                 F.struct(millis.alias("ts_ms"), F.col("seq").alias("lsn")).alias("source"),
-            )
+            ),
+            _TIMES,
         ).alias("value")
     )
 

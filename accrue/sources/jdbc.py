@@ -1,38 +1,47 @@
 """Databases over Spark's JDBC source and sink.
 
-Connection values go to Spark as options and never into SQL text; the checks
-here only make a broken setting fail before a job starts.
+User and password go to Spark as options of their own, so they may hold any character. Host, port
+and database name become part of the URL; what would end or extend that part is refused.
 """
 
 from __future__ import annotations
 
 import re
+from ipaddress import AddressValueError, IPv6Address
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What a host and an identifier may consist of
-_HOST = re.compile(r"[A-Za-z0-9._-]{1,253}")
+# What an unquoted identifier may consist of
 _IDENTIFIER = re.compile(r"[A-Za-z0-9_]{1,63}")
-_FORBIDDEN_IN_PASSWORD = "'\\;\n\r"
+_ENDS_A_HOST = set("/?#@:,[]%&;=\\")
+
+
+def _url_host(host: str) -> str:
+    """A name or address as the URL wants it; an IPv6 address goes in brackets."""
+    bare = host[1:-1] if host.startswith("[") and host.endswith("]") else host
+    try:
+        return f"[{IPv6Address(bare)}]"
+    except AddressValueError:
+        pass
+    if not host or len(host) > 253 or not host.isascii() or any(c in _ENDS_A_HOST or c in "'\"" or c <= " " or c == "\x7f" for c in host):
+        raise ValueError(f"{host!r} is no host name or address")
+    return host
 
 
 def jdbc_options(host: str, port: str | int, user: str, password: str, database: str) -> dict[str, str]:
-    """Checked options for ``spark.read/write.format('jdbc')`` on PostgreSQL."""
-    if not isinstance(host, str) or not _HOST.fullmatch(host):
-        raise ValueError(f"Invalid database host {host!r}: letters, digits, '.', '_' and '-', at most 253")
-    if not re.fullmatch(r"[0-9]+", str(port)) or not 1 <= int(port) <= 65535:
-        raise ValueError(f"Invalid database port {port!r}: a number from 1 to 65535")
-    for label, value in (("user", user), ("name", database)):
-        if not isinstance(value, str) or not _IDENTIFIER.fullmatch(value):
-            raise ValueError(f"Invalid database {label} {value!r}: letters, digits and '_', at most 63")
-    if not isinstance(password, str) or any(c in password for c in _FORBIDDEN_IN_PASSWORD):
-        raise ValueError("Invalid database password: no quote, backslash, semicolon or line break")
-    return {
-        "url": f"jdbc:postgresql://{host}:{port}/{database}",
-        "user": user,
-        "password": password,
-        "driver": "org.postgresql.Driver",
-    }
+    """Options for ``spark.read/write.format('jdbc')`` on PostgreSQL."""
+    for label, value in {"host": host, "user": user, "password": password, "database": database}.items():
+        if not isinstance(value, str):
+            raise ValueError(f"{label} must be text")
+    number = str(port)
+    if not (number.isascii() and number.isdigit() and len(number) <= 5 and 0 < int(number) < 1 << 16):
+        raise ValueError(f"{port!r} is no port")
+    if not user:
+        raise ValueError("user is empty")
+    if not _IDENTIFIER.fullmatch(database):
+        raise ValueError(f"{database!r} is no plain database name")
+    url = f"jdbc:postgresql://{_url_host(host)}:{number}/{database}"
+    return {"url": url, "user": user, "password": password, "driver": "org.postgresql.Driver"}
 
 
 def read_snapshot(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from accrue.functions.timestamps import to_utc
 from accrue.plans.model import Model
@@ -21,7 +22,7 @@ TAX_IDS = {
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as tax facts; ``arr`` is a made-up arrival second, out of event order."""
+    """``events`` as tax facts; ``arr`` is a made-up arrival second, out of event order. Every 97th amount is a cent off."""
     events = to_utc(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
     tax_id = " ".join(f"WHEN '{event}' THEN '{tax}'" for event, tax in TAX_IDS.items())
     return events.selectExpr(
@@ -30,20 +31,20 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CASE event_type {tax_id} END AS tax_id",
         "CAST(2 + event_id % 3 * 1.5BD AS DECIMAL(5,2)) AS tax_rate",
         "CAST(value AS DECIMAL(18,2)) AS base_tax",
-        "unix_timestamp(ts) AS e",
+        "ts AS created_at",
     ).selectExpr(
-        "* EXCEPT (e)",
-        "CAST(base_tax * tax_rate * 0.01BD AS DECIMAL(18,2)) AS tax_amount",
-        "TIMESTAMP_NTZ '1970-01-01 00:00:00' + INTERVAL '1' SECOND * e AS created_at",
-        "e + id * 7919 % 1200 AS arr",
-    )
+        "*",
+        "CAST(base_tax * tax_rate * 0.01BD AS DECIMAL(18,2)) + IF(id % 97 = 13, 0.01BD, 0.00BD) AS amount",
+        "unix_timestamp(created_at) + id * 7919 % 1200 AS arr",
+    ).selectExpr("* EXCEPT (amount)", "CAST(amount AS DECIMAL(18,2)) AS tax_amount")
 
 
-def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changelog(spark: SparkSession, sf_dir: str, everyone: bool = False) -> DataFrame:
     """``customer`` as a change log.
 
-    Some customers are no merchants, so their facts find no version. The others
-    have a snapshot row, some two updates at one time, some a delete.
+    Some customers are no merchants, so their facts find no version, unless
+    ``everyone`` is one. The others have a snapshot row, some two updates at one
+    time, some a delete.
     """
 
     def change(op: str, at: str, suffix: str | None, offset: int) -> str:
@@ -59,7 +60,7 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         IF(c_custkey % 7 = 0, {change("d", "TIMESTAMP_NTZ '2024-01-20 00:00:00'", None, 0)}, NULL))) AS (k, c)"""
     return (
         spark.read.parquet(f"{sf_dir}/customer.parquet")
-        .where("c_custkey % 11 <> 5")
+        .where(F.lit(everyone) | (F.col("c_custkey") % 11 != 5))
         .selectExpr("c_custkey", changes)
         .where("c IS NOT NULL")
         .selectExpr(

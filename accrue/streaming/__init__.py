@@ -1,5 +1,5 @@
 from accrue.streaming.keyed_table import KeyedTable, merge_into
-from accrue.streaming.run import TRIGGER, Consolidation, run_with_restarts
+from accrue.streaming.run import TRIGGER, Consolidation, StateMismatch, run_with_restarts
 from accrue.streaming.watermarks import Progress
 
-__all__ = ["TRIGGER", "Consolidation", "KeyedTable", "Progress", "merge_into", "run_with_restarts"]
+__all__ = ["TRIGGER", "Consolidation", "KeyedTable", "Progress", "StateMismatch", "merge_into", "run_with_restarts"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +20,21 @@ from accrue.operators.intervals import DELETE
 from accrue.operators.keyed import latest_per_key
 from accrue.streaming.files import Records
 
+BUCKETS = 32
+
 _PART, _GONE, _AGE = "_part", "_gone", "_age"
 
 
 class KeyedTable:
-    """``partition`` is a SQL expression over key columns, by which reads can be pruned."""
+    """``partition`` is a SQL expression over key columns, by which reads can be pruned; else keys are hashed into buckets."""
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: list[str], partition: str = "'all'", merge_every: int = 8
+        self, spark: SparkSession, path: str, keys: list[str], partition: str | None = None, merge_every: int = 8
     ):
         if merge_every < 2:
             raise ValueError("merge_every must be at least 2")
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.partition, self.merge_every = partition, merge_every
+        self.partition, self.merge_every = partition or f"pmod(hash({', '.join(keys)}), {BUCKETS})", merge_every
         self._versions = Records(spark, f"{self.path}/versions")
 
     def _head(self) -> dict | None:
@@ -55,7 +58,9 @@ class KeyedTable:
         if parts is not None:
             rows = rows.where(F.col(_PART).isin(parts))
         if only is not None:
-            rows = rows.join(only, self.keys, "left_semi")
+            only = only.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(self.keys)])
+            same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(self.keys)]
+            rows = rows.join(only, reduce(lambda a, b: a & b, same), "left_semi")
         rows = rows.select(*schema.names, _GONE, _AGE)
         return latest_per_key(rows, self.keys, [_AGE]) if len(folders) > 1 else rows
 
@@ -76,8 +81,14 @@ class KeyedTable:
             return None
         return self._current(T.StructType.fromJson(json.loads(head["schema"])), folders, parts, only)
 
-    def upsert(self, delta: DataFrame, token: str) -> DataFrame:
-        """Add or replace the delta's rows (one per key). Returns the written rows."""
+    def upsert(self, delta: DataFrame, token: str, unique: bool = False) -> DataFrame:
+        """Add or replace the delta's rows, one per key, with the table's columns. Returns the written rows.
+
+        Several rows of one key, or other columns than the table's, raise; ``unique`` says that keys are known to differ.
+        """
+        twice = not unique and delta.groupBy(*self.keys).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"several rows of one key: {twice[0].asDict()}")
         return self._put(delta.withColumn(_GONE, F.lit(False)), token)
 
     def apply_changes(self, changes: DataFrame, token: str, order: list[str], op: str = "op") -> DataFrame:
@@ -93,6 +104,8 @@ class KeyedTable:
         head = self._head()
         number = 0 if head is None else head["number"] + 1
         schema = rows.drop(_GONE).schema
+        if head is not None and set(schema.names) != set(T.StructType.fromJson(json.loads(head["schema"])).names):
+            raise ValueError(f"the table has other columns than {schema.names}")
         parent = self._folders(head, token)
         new = [self._write(rows.withColumn(_AGE, F.lit(number).cast("bigint"))), 0]
         folders = [*parent, new]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from accrue.functions.aggregates import exact_sum
-from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, parse_period, period_end, period_start
+from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, check_fixed_offset, parse_period, period_end, period_start
 from accrue.functions.timestamps import to_utc
 from accrue.operators.asof import asof_join, measure
 from accrue.operators.filters import pending, released
@@ -33,10 +33,15 @@ from accrue.streaming.watermarks import Progress
 
 TRIGGER = "10 seconds"
 IDLE_SECONDS = 2.0
+CLEAN_EVERY = 16  # batches between two removals of row folders no longer in force
 
 LINES_BY_DAY = "CAST(window_start AS DATE)"
 
 
+class StateMismatch(RuntimeError):
+    """State and checkpoint do not belong together."""
+
+
 class Consolidation:
     """State and micro-batch function of the streaming consolidation.
 
@@ -57,15 +62,20 @@ class Consolidation:
         model: Model = TAXES,
         emit: str = "watermark",
         clock: Callable[[], float] = time.time,
+        anchor: str = "epoch",
+        strict_zone: bool = False,
     ):
         if emit not in ("watermark", "eager"):
             raise ValueError(f"emit must be 'watermark' or 'eager', got {emit!r}")
         self.spark, self.state, self.target = spark, state.rstrip("/"), target
         self.period, self.zone = parse_period(period), zone
         self.delay, self.idle_after, self.model = delay, idle_after, model
-        self.emit, self.clock = emit, clock
+        self.emit, self.clock, self.anchor = emit, clock, anchor
+        if strict_zone:
+            check_fixed_offset(zone)
         self._progress = Records(spark, f"{self.state}/progress")
         self._totals = KeyedTable(spark, f"{self.state}/totals", model.line_keys, LINES_BY_DAY)
+        self._log_schema = None
         self._run_id = self._identify()
 
     def _identify(self) -> str:
@@ -107,14 +117,13 @@ class Consolidation:
         # a stream's session starts without adaptive execution; the batch inside is plain DataFrame work
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         batch = batch.persist()
-        buffer = None
+        buffer = log = None
         try:
+            self._fits(batch_id)
             progress, before, changed = self._advance(batch, batch_id)
             if changed or not self._progress.exists(f"{self.state}/log"):
                 changes = batch.where(F.col("change").isNotNull()).select("change.*")
                 changes.write.mode("overwrite").parquet(f"{self.state}/log/batch_id={batch_id}")
-            log = self._log(batch_id)
-
             facts = batch.where(F.col("fact").isNotNull()).select("fact.*")
             buffer = on_time_facts(facts, m, self.delay, seen=before.newest_fact)
             held = self._held(batch_id - 1)
@@ -129,14 +138,28 @@ class Consolidation:
             touched = self._keyed(facts).select(*m.line_keys).distinct()
             parts = [str(row[0]) for row in touched.select(F.expr(LINES_BY_DAY)).distinct().collect()]
             if parts:
+                # of the log only what this batch asks for
+                log = self._log(batch_id).join(facts.select(m.key).distinct(), m.key, "left_semi").persist()
                 delta = self._enriched_totals(facts, log)
                 old = self._totals.read(parts, touched, before=str(batch_id))
-                written = self._totals.upsert(self._added(old, delta), token=str(batch_id))
+                written = self._totals.upsert(self._added(old, delta), token=str(batch_id), unique=True)
                 self.target.upsert(self._lines(written), token=f"{self._run_id}/{batch_id}")
+                if batch_id % CLEAN_EVERY == 0:
+                    self._totals.vacuum()
         finally:
-            batch.unpersist()
-            if buffer is not None:
-                buffer.unpersist()
+            for held in (batch, buffer, log):
+                if held is not None:
+                    held.unpersist()
+
+    def _fits(self, batch_id: int) -> None:
+        """Raise when the state belongs to another checkpoint: it would count facts twice or not at all."""
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        last = self._progress.last()
+        owner = None if last is None else self._progress.get(last).get("query")
+        if query and owner and query != owner:
+            raise StateMismatch(f"{self.state} is the state of another checkpoint (query {owner}, not {query})")
+        if batch_id not in ((0,) if last is None else (last, last + 1)):
+            raise StateMismatch(f"{self.state} holds batches up to {last}, the checkpoint goes on with {batch_id}")
 
     def _advance(self, batch: DataFrame, batch_id: int) -> tuple[Progress, Progress, bool]:
         """(progress of this batch, of the batch before, whether there are dimension changes)."""
@@ -146,12 +169,15 @@ class Consolidation:
         if record is None:
             newest = batch.agg(F.max(f"fact.{self.model.event_time}"), F.max("change.op_ts")).first()
             progress = before.advance(self.clock(), newest[0], newest[1], self.delay, self.idle_after)
-            record = {"progress": progress.to_json(), "changed": newest[1] is not None}
+            query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            record = {"progress": progress.to_json(), "changed": newest[1] is not None, "query": query}
             self._progress.put(batch_id, record)
         return Progress.from_json(record["progress"]), before, record["changed"]
 
     def _log(self, batch_id: int) -> DataFrame:
-        log = self.spark.read.parquet(f"{self.state}/log")
+        if self._log_schema is None:
+            self._log_schema = self.spark.read.parquet(f"{self.state}/log").schema
+        log = self.spark.read.schema(self._log_schema).parquet(f"{self.state}/log")
         return log.where(F.col("batch_id") <= batch_id).drop("batch_id")
 
     def _held(self, batch_id: int) -> DataFrame | None:
@@ -159,14 +185,14 @@ class Consolidation:
         return self.spark.read.parquet(folder) if self._progress.exists(folder) else None
 
     def _keyed(self, facts: DataFrame) -> DataFrame:
-        start = period_start(F.col(self.model.event_time), self.period, self.zone)
+        start = period_start(F.col(self.model.event_time), self.period, self.zone, self.anchor)
         return facts.withColumn("window_start", start)
 
     def _enriched_totals(self, facts: DataFrame, log: DataFrame) -> DataFrame:
         m = self.model
         size = measure(log, [m.key], list(m.attributes))
         enriched = asof_join(facts, log, [m.key], [], m.event_time, size=size)
-        totals = with_attributes(line_totals(enriched, self.period, self.zone, m), log, size, m)
+        totals = with_attributes(line_totals(enriched, self.period, self.zone, m, self.anchor), log, size, m)
         return totals.select(*m.line_keys, *m.attributes.values(), *m.measures.values(), "enriched_at")
 
     def _added(self, old: DataFrame | None, delta: DataFrame) -> DataFrame:
@@ -189,7 +215,7 @@ class Consolidation:
         )
 
     def _lines(self, totals: DataFrame) -> DataFrame:
-        end = period_end(F.col("window_start"), self.period, self.zone)
+        end = period_end(F.col("window_start"), self.period, self.zone, self.anchor)
         return totals.withColumn("window_end", end).select(*self.model.line_columns)
 
     # -- results ---------------------------------------------------------------
@@ -216,8 +242,10 @@ def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int | None
         try:
             start().awaitTermination()
             return
-        except StreamingQueryException:
+        except StreamingQueryException as error:
             failures += 1
+            if StateMismatch.__name__ in str(error):
+                raise  # no restart can mend it
             if attempts is not None and failures >= attempts:
                 raise
             time.sleep(delay)

@@ -72,7 +72,7 @@ def test_hot_keys_are_cut_without_changing_the_result(spark, log_of, slice_rows)
     log_df, facts_df = log_of(*log), plain_facts(spark, facts)
     for strategy in ("interval", "union"):
         joined = asof_join(
-            facts_df, log_df, ["cuit"], ["name", "establishment"], strategy=strategy, slice_rows=slice_rows
+            facts_df, log_df, ["cuit"], ["name", "establishment"], strategy=strategy, slice_rows=slice_rows, versions_per_key=300
         )
         check(joined, facts, log)
 
@@ -102,6 +102,38 @@ def test_the_broadcast_is_bounded(spark, log_of):
     assert "Union" in plan(versions_per_key=4)
 
 
+def test_interval_refuses_a_log_it_cannot_broadcast(spark, log_of):
+    for limit in ({"broadcast_bytes": 10}, {"versions_per_key": 4}):
+        with pytest.raises(ValueError, match="does not fit"):
+            asof_join(plain_facts(spark, FACTS), log_of(*LOG), ["cuit"], [], strategy="interval", **limit)
+
+
+@pytest.mark.parametrize("strategy", ["interval", "union"])
+def test_facts_without_key_or_time_find_nothing(spark, log_of, strategy):
+    facts = spark.createDataFrame([(0, None, at(50)), (1, "a", None), (2, "a", at(50)), (3, None, None)], "id int, cuit string, created_at timestamp_ntz")
+    rows = asof_join(facts, log_of(*LOG), ["cuit"], ["name"], strategy=strategy).collect()
+    assert sorted((r.id, r.name) for r in rows) == [(0, None), (1, None), (2, "A5"), (3, None)]
+
+
+@pytest.mark.parametrize("strategy", ["interval", "union"])
+@pytest.mark.parametrize("change", [(None, "N", "1", "u", at(5), 9), ("a", "N", "1", "u", None, 9), ("a", "N", "1", "u", at(5), None)])
+def test_changes_without_a_place_in_history_raise(spark, log_of, strategy, change):
+    with pytest.raises(Exception, match="a change without"):
+        asof_join(plain_facts(spark, FACTS), log_of(*LOG, change), ["cuit"], ["name"], strategy=strategy).collect()
+
+
+def test_facts_of_one_instant_fall_into_several_slices(spark, log_of):
+    log, facts = [("hot", "N", "1", "r", at(1), 1)], [("hot", 7)] * 1000
+    joined = asof_join(plain_facts(spark, facts), log_of(*log), ["cuit"], ["name", "establishment"], strategy="union", slice_rows=100)
+    check(joined, facts, log)
+    from accrue.operators.slices import find_cuts
+    from pyspark.sql import functions as F
+
+    rows = plain_facts(spark, facts).select("cuit", F.col("created_at").alias("_t"), F.lit(1).alias("_side"), F.xxhash64("id", "cuit", "created_at").alias("_seq"))
+    cuts = find_cuts(rows, ["cuit"], ["_t", "_side", "_seq"], 100)
+    assert cuts.apply(rows).groupBy("_slice").count().count() > 3
+
+
 def test_unknown_strategy(spark, log_of):
     with pytest.raises(ValueError):
         asof_join(plain_facts(spark, FACTS), log_of(*LOG), ["cuit"], [], strategy="nested")

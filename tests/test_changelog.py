@@ -48,11 +48,18 @@ def test_decode(spark):
         record("x", None, merchant("1"), 1, 1),
         record(None, None, merchant("1"), 1, 1),
         record("c", None, merchant(None, "N", "1"), 1, 1),
+        record("c", None, merchant("1", "N", "1"), None, 1),
+        record("c", None, merchant("1", "N", "1"), 1, None),
     ],
 )
 def test_a_broken_record_is_not_skipped(spark, value):
     with pytest.raises(Exception, match="incomplete change record|MALFORMED"):
         decode_changes(texts(spark, value), MERCHANT, ["cuit"]).collect()
+    if value.startswith("{not"):
+        return
+    for column in ("cuit", "name", "op_ts"):
+        with pytest.raises(Exception, match="incomplete change record"):
+            decode_changes(texts(spark, value), MERCHANT, ["cuit"]).select(column).collect()
 
 
 def test_files_of_records_round_trip(spark, tmp_path, log_of):
@@ -95,3 +102,13 @@ def test_upsert_and_delete(spark):
 def test_the_last_row_is_taken_whole(spark):
     rows = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, None)], "k string, n int, v string")
     assert [tuple(r) for r in latest_per_key(rows, ["k"], ["n"]).collect()] == [("a", 3, None)]
+
+
+def test_keyed_changes_take_null_keys_as_equal(spark):
+    target = spark.createDataFrame([(None, 1), ("a", 1), ("b", 1)], "k string, v int")
+    delta = spark.createDataFrame([(None, 2, 1), ("a", 2, 1), ("a", 3, 2), ("c", 2, 1)], "k string, v int, seq int")
+    found = upsert(target, delta, ["k"], ["seq"]).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(None, 2), ("a", 3), ("b", 1), ("c", 2)], key=repr)
+    changes = spark.createDataFrame([(None, None, "d", 1), ("b", 5, "u", 1), ("b", None, "d", 2), ("d", 9, "c", 3)], "k string, v int, op string, seq int")
+    found = apply_changes(target, changes, ["k"], ["seq"]).collect()
+    assert sorted(map(tuple, found)) == [("a", 1), ("d", 9)]

@@ -97,3 +97,18 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         table.upsert(broken, "2")
     assert content(table) == [("a", 1)]
+
+
+def test_an_upsert_of_one_key_twice_raises(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), ["k"])
+    with pytest.raises(ValueError, match="several rows"):
+        table.upsert(rows(spark, ("a", 1), ("a", 2)), "1")
+    assert table.read() is None
+
+
+def test_an_upsert_with_other_columns_raises(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), ["k"])
+    table.upsert(rows(spark, ("a", 1)).withColumn("w", F.lit(7)), "1")
+    with pytest.raises(ValueError, match="other columns"):
+        table.upsert(rows(spark, ("b", 1)), "2")
+    assert table.read().columns == ["k", "v", "w"]

@@ -128,3 +128,21 @@ def test_any_split_into_batches_gives_the_same_rows(spark):
             seen = newest if seen is None else max(seen, newest)
         assert late == brute_force(rows, 10)
     assert utc("2024-01-01") == T0
+
+
+def test_rows_of_an_unknown_arrival_range_raise(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [(i, i, i - (40 if i % 7 == 0 else 0)) for i in range(4000)]
+    folder = str(tmp_path / "rows")
+    build(spark, rows).coalesce(1).write.parquet(folder)
+    marked = mark_late(spark.read.parquet(folder), "t", ["arr", "id"], 5, bucket_rows=100)
+    moved = build(spark, rows).withColumn("arr", F.col("arr") + 1_000_000)
+    marked.count()
+    name = next(p.name for p in (tmp_path / "rows").glob("*.parquet"))
+    moved.coalesce(1).write.parquet(str(tmp_path / "moved"))
+    new = next((tmp_path / "moved").glob("*.parquet"))
+    (tmp_path / "rows" / f".{name}.crc").unlink()
+    (tmp_path / "rows" / name).write_bytes(new.read_bytes())
+    with pytest.raises(Exception, match="input changed"):
+        marked.collect()

@@ -57,3 +57,19 @@ def test_totals(spark):
     )
     found = quality.wrong_totals(lines(spark, rate_line("a"), rate_line("b", "9.00")), facts, KEYS, {"base_tax": "total_base_tax"})
     assert {(r.cuit, r.status) for r in found.collect()} == {("b", "changed")}
+
+
+def test_differences_take_null_keys_as_equal(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 1)], "k string, v int")
+    right = spark.createDataFrame([(None, 1), ("a", 2), ("b", 1)], "k string, v int")
+    from accrue.operators import quality
+
+    found = {(r.k, r.status) for r in quality.differences(left, right, ["k"], same=True).collect()}
+    assert found == {(None, "equal"), ("a", "changed"), ("b", "only_right")}
+
+
+def test_planted_wrong_amounts_are_found(spark):
+    import __spark_entry__ as contract
+
+    row = contract.queries()["qa_amounts"](spark, "/root/testdata/sf0.001").first()
+    assert row.facts == 1000 and row.wrong == 11

@@ -8,7 +8,7 @@ import pytest
 from accrue.operators.quality import differences
 from accrue.plans import TAXES, consolidate
 from accrue.sources.schemas import CHANGES, FACTS
-from accrue.streaming import TRIGGER, Consolidation, KeyedTable, Progress, run_with_restarts
+from accrue.streaming import TRIGGER, Consolidation, KeyedTable, Progress, StateMismatch, run_with_restarts
 from conftest import fact, line_set
 
 M = datetime(2024, 5, 6, 15, 0, 0)
@@ -228,6 +228,31 @@ def test_outage_restart_and_cold_run(spark, tmp_path, facts_of, log_of):
     assert sorted(map(tuple, table.read().collect()), key=repr) == sorted(map(tuple, after_outage), key=repr)
 
 
+def test_state_and_checkpoint_belong_together(spark, tmp_path, facts_of, log_of):
+    table = KeyedTable(spark, f"{tmp_path}/t", KEYS)
+    log_of((PLATA, "P", "1", "r", s(0), 1)).write.parquet(f"{tmp_path}/c")
+    for wave in range(2):
+        facts_of(fact(wave, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10 + wave))).write.mode("append").parquet(f"{tmp_path}/f")
+
+        def start(state, checkpoint):
+            return Consolidation(spark, f"{tmp_path}/{state}", table, emit="eager").start(
+                spark.readStream.schema(FACTS).parquet(f"{tmp_path}/f"),
+                spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/c"),
+                f"{tmp_path}/{checkpoint}",
+                trigger=None,
+            )
+
+        run_with_restarts(lambda: start("state", "checkpoint"), attempts=1)
+    before = sorted(map(tuple, table.read().collect()), key=repr)
+    # facts would be counted twice, or the earlier ones not at all
+    with pytest.raises(Exception, match=StateMismatch.__name__):
+        run_with_restarts(lambda: start("state", "another-checkpoint"))
+    facts_of(fact(9, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(30))).write.mode("append").parquet(f"{tmp_path}/f")
+    with pytest.raises(Exception, match=StateMismatch.__name__):
+        run_with_restarts(lambda: start("empty-state", "checkpoint"))
+    assert sorted(map(tuple, table.read().collect()), key=repr) == before
+
+
 def test_a_checkpoint_is_required(run):
     assert TRIGGER == "10 seconds"
     r = run()
