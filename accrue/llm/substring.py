@@ -98,19 +98,19 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     wanted = anchors.groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
     found = docs.join(wanted, "id").select("id", "text", "anchors")
     runs = found.mapInArrow(lambda it: _runs(it, size), f"id {kind}, place long, anchor long, windows array<long>")
-    runs = written(runs.withColumn("run", F.xxhash64("windows")), "runs")
+    runs = written(runs.select("id", "place", "anchor", F.xxhash64("windows").alias("run"), F.size("windows").alias("n"), "windows"), "runs")
 
     # Equal runs are one: beyond the smallest id that has a run, all its windows are repeated.
     same = runs.groupBy("anchor", "run").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    later = runs.join(same.where("least < most"), ["anchor", "run"]).where("id > least")
-    later = later.select("id", "place", F.size("windows").alias("n"))
+    later = runs.drop("windows").join(same.where("least < most").drop("most"), ["anchor", "run"]).where("id > least")
+    later = later.select("id", "place", "n")
     # Different runs of one anchor may share windows; those are compared one by one, for the first holder of each run.
     several = same.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     firsts = runs.join(same.join(several, "anchor", "left_semi").select("anchor", "run", F.col("least").alias("id")), ["anchor", "run", "id"])
-    firsts = firsts.select("id", "place", "anchor", F.posexplode("windows").alias("at", "window"))
+    firsts = firsts.select("id", "anchor", "place", F.posexplode("windows").alias("at", "window")).select("id", "anchor", "window", (F.col("place") + F.col("at")).alias("place"))
     shared = firsts.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     partly = firsts.join(shared.select("anchor", "window", "least"), ["anchor", "window"]).where("id > least")
-    partly = partly.select("id", (F.col("place") + F.col("at")).alias("place"), F.lit(1).alias("n"))
+    partly = partly.select("id", "place", F.lit(1).alias("n"))
     return later.union(partly).groupBy("id").agg(F.collect_list(F.struct("place", F.col("n").cast("long").alias("n"))).alias("runs"))
 
 

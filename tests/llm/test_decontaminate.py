@@ -1,0 +1,71 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from cases import ODD, docs_of, words
+from pyspark.sql import functions as F
+
+from accrue.llm.decontaminate import contamination
+from accrue.llm.fmindex import FMIndex
+
+PATTERN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def expected(rows, bench, size=10):
+    phrases = {}
+    for item, text in bench:
+        w = words(text, PATTERN, True)
+        if item is not None:
+            for i in range(max(1, len(w) - size + 1) if w else 0):
+                phrases.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+    out = []
+    for row in rows:
+        w, hit, items = words(row[1], PATTERN, True), set(), set()
+        for n in {len(p) for p in phrases}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in phrases:
+                    hit |= {*range(i, i + n)}
+                    items |= phrases[tuple(w[i : i + n])]
+        out.append((row[0], len(w), sorted(hit), sorted(items)))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(((r[0], r.n_words, [k for s in r.spans for k in range(s.first, s.end)], r["items"]) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_index_finds_every_occurrence(seed):
+    rng = np.random.default_rng(seed)
+    text = rng.integers(1, [2, 3, 6, 40][seed] + 1, 700)
+    phrases = np.zeros((60, 6), np.int64)
+    lengths = rng.integers(1, 7, 60)
+    for i, n in enumerate(lengths):
+        at = rng.integers(0, 690)
+        phrases[i, :n] = text[at : at + n] if i % 2 else rng.integers(1, 45, n)
+    phrase, at = FMIndex(text, sample=5).find(phrases, lengths)
+    truth = {(i, k) for i, n in enumerate(lengths) for k in range(len(text) - n + 1) if (text[k : k + n] == phrases[i, :n]).all()}
+    assert {*zip(phrase.tolist(), at.tolist())} == truth and len(at) == len(truth)
+
+
+BENCH = [(1, "a b c d"), (2, "b A, c!"), (3, "a"), (None, "d d"), (4, None), (5, ""), (6, "--"), (7, "x y z x y z"), (7, "c c c c"), (10, "a b c d"), (8, "same same same")]
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 12}])
+def test_equals_brute_force(spark, options):
+    rng = random.Random(3)
+    rows = ODD[:7] + ODD[9:] + [(100 + i, " ".join(rng.choice(["a", "b", "c", "d", "x", "Y", "z", "q"]) for _ in range(rng.randrange(40)))) for i in range(120)]
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    got = contamination(docs_of(spark, rows), bench, size=3, carry=["source", "kept"], **options)
+    assert found(got) == expected(rows, BENCH, 3)
+    assert {tuple(r.carried) for r in got.collect()} == {("s", "x")}
+
+
+def test_empty_tables_and_long_texts(spark):
+    nothing, bench = docs_of(spark, []), spark.createDataFrame(BENCH, "item_id long, text string")
+    assert contamination(nothing, bench).count() == 0
+    long = [(1, "w " * 50_000 + "x y z x y z " + "w " * 50_000), (2, None)]
+    assert found(contamination(docs_of(spark, long), bench.where("item_id = 7"))) == expected(long, [BENCH[7], BENCH[8]])
+    assert [r.spans for r in contamination(docs_of(spark, long), bench.limit(0)).collect()] == [[], []]
+    assert contamination(docs_of(spark, long).withColumn("doc_id", F.lit("t")), bench).select("doc_id").first()[0] == "t"

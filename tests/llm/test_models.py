@@ -1,0 +1,136 @@
+"""Language identification and the quality classifier."""
+
+import random
+
+import numpy as np
+import pytest
+from cases import ODD, docs_of
+from pyspark.sql import functions as F
+
+from accrue.llm.language import fit_profiles, identify
+from accrue.llm.quality import Network, fit_quality, score_quality, word_vectors
+from accrue.llm.split import held_out
+
+SYLLABLES = {"xx": ["ka", "to", "mi", "ru"], "yy": ["schen", "ber", "ung"], "zz": ["ção", "inho", "é"]}
+
+
+def prose(rng, lang, n):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+def corpus():
+    rng = random.Random(6)
+    return [(i, prose(rng, lang, 30), lang) for i in range(120) for lang in [rng.choice([*SYLLABLES])]]
+
+
+def test_languages_of_odd_texts(spark):
+    rows = corpus()
+    profiles = fit_profiles(docs_of(spark, rows + [(500, None, "xx"), (501, "Wort", None), (502, "", "yy")]))
+    assert {*profiles} == {*SYLLABLES} and all(len(p) <= 400 for p in profiles.values())
+    rng = random.Random(7)
+    fresh = [(1000 + i, prose(rng, lang, 3 + i).upper(), lang) for i, lang in enumerate([*SYLLABLES] * 10)]
+    got = {r.doc_id: r for r in identify(docs_of(spark, fresh), profiles).collect()}
+    assert all(got[i].lang_pred == lang and 0 < got[i].score <= 1 for i, _, lang in fresh)
+    assert got[1000].lang == "xx" and got[1000].held_out == "x"  # other columns stay
+    odd = identify(docs_of(spark, ODD), profiles).collect()
+    assert len(odd) == len(ODD)
+    for r in odd:
+        letters = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred in SYLLABLES) if letters else (r.lang_pred == "und" and r.score == 0)
+        assert 0 <= r.score <= 1
+
+
+def out_of_place(text, profiles, size):
+    """Brute force of the distances."""
+    symbols = [" "]
+    for c in text.lower():
+        if c.isalpha() or symbols[-1] != " ":
+            symbols.append(c if c.isalpha() else " ")
+    if symbols[-1] != " ":
+        symbols.append(" ")
+    counts = {}
+    for n in (1, 2, 3):
+        for k in range(len(symbols) - n + 1):
+            gram = tuple(symbols[k : k + n])
+            if gram != (" ",):
+                code = 0
+                for c in gram:
+                    code = code << 21 | (1 if c == " " else ord(c) + 1)
+                counts[code] = counts.get(code, 0) + 1
+    own = sorted(counts, key=lambda g: (-counts[g], g))[:size]
+    totals = {lang: sum(abs(p.index(g) - r) if g in p else size for r, g in enumerate(own)) for lang, p in profiles.items()}
+    best = min(sorted(totals), key=lambda lang: totals[lang])
+    return best, 1 - totals[best] / (len(own) * size)
+
+
+def test_distances_equal_brute_force(spark):
+    profiles = fit_profiles(docs_of(spark, corpus()), size=40)
+    rows = [r for r in corpus()[:40]] + [(900, "Ünïcode, mixed: kato-schen 12 inho…", "xx"), (901, "q", "xx")]
+    got = {r.doc_id: r for r in identify(docs_of(spark, rows), profiles, size=40).collect()}
+    for i, text, _ in rows:
+        lang, score = out_of_place(text, profiles, 40)
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score)
+
+
+def test_nothing_to_learn_languages_from(spark):
+    profiles = fit_profiles(docs_of(spark, [(1, "text", None)]))
+    assert profiles == {}
+    assert [(r.lang_pred, r.score) for r in identify(docs_of(spark, [(1, "text")]), profiles).collect()] == [("und", 0.0)]
+    assert identify(docs_of(spark, []), profiles).count() == 0
+
+
+def test_held_out_rows(spark):
+    from zlib import crc32
+
+    rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long").withColumn("h", held_out("doc_id", 3, 1)).collect()
+    assert all(r.h == (r.doc_id is not None and crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+
+
+def test_quality(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(400):
+        good = i % 3 != 0
+        text = prose(rng, "xx", 25).capitalize() + "."
+        rows.append((i, text if good else (" ".join(w.upper() + "!!" for w in text.split()) if i % 2 else " ".join([text.split()[0]] * 30))))
+        labels.append((i, int(good)))
+    labels += [(None, 1), (3, None), (10**6, 0)]
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    learn = docs_of(spark, rows).where("doc_id < 250")
+    vectors = word_vectors(docs_of(spark, rows + ODD[:7]))
+    assert np.isfinite(vectors).all()
+    network = fit_quality(learn, known, vectors)
+    got = {r.doc_id: r.score for r in score_quality(docs_of(spark, rows), vectors, network).collect()}
+    right = [(got[i] >= 0.5) == (i % 3 != 0) for i in range(250, 400)]
+    assert sum(right) >= 147
+    odd = score_quality(docs_of(spark, ODD), vectors, network).collect()
+    assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
+    assert len({r.score for r in odd if not (r.text or "").strip()}) == 1
+    few = fit_quality(learn, known, vectors, fit_rows=30)
+    assert [p.shape for p in few.parts] == [p.shape for p in network.parts]
+
+
+def test_nothing_to_learn_quality_from(spark):
+    none = docs_of(spark, [])
+    vectors = word_vectors(none)
+    network = fit_quality(none, spark.createDataFrame([], "doc_id long, quality int"), vectors)
+    assert not vectors.any() and score_quality(none, vectors, network).count() == 0
+    assert 0 <= score_quality(docs_of(spark, [(1, "a")]), vectors, network).first().score <= 1
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6000, 32))
+    y = (rng.random(6000) < 1 / (1 + np.exp(-1.5 * x[:, 0]))).astype(float)
+    network = Network().fit(x[:4000], y[:4000], epochs=15)
+    p = network.probability(x[4000:])
+    for low in (0.1, 0.3, 0.5, 0.7):
+        inside = (p >= low) & (p < low + 0.2)
+        assert abs(p[inside].mean() - y[4000:][inside].mean()) < 0.12
+
+
+def test_vectors_do_not_depend_on_the_layout(spark):
+    rows = [(i, t) for i, t, _ in corpus()]
+    one, many = docs_of(spark, rows).coalesce(1), docs_of(spark, rows).repartition(7)
+    assert np.allclose(word_vectors(one), word_vectors(many), atol=1e-5)
+    assert one.select(F.max("doc_id")).first()[0] == 119
