@@ -33,6 +33,7 @@ COMMON = 1 << 18
 DIMS = 24
 ROUNDS = 2
 BATCH, NOISE = 2048, 64
+LEAST_STEPS = 60  # a task with fewer batches passes over them again
 END_KEY = 0
 _STOP, _COMMA, _OTHER, _END, _BEGIN = range(5)  # after the head words
 _MAX_COUNTED = 1 << 20
@@ -84,6 +85,7 @@ class Vocabulary:
     distinct: int
     class_tokens: np.ndarray  # of each class, outside the head
     class_words: np.ndarray
+    ends: int  # training texts
 
     @property
     def size(self) -> int:
@@ -97,14 +99,14 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             known = self.keys[at] == key
             symbol, count = np.where(known, self.symbols[at], symbol), np.where(known, self.counts[at], count)
-        count = np.where((count < 0) & (tokens.kind == _END), 0, count)
+        count = np.where(tokens.kind == _END, self.ends, count)
         return key, np.where(tokens.kind == _END, self.head + _END, symbol), count
 
     def unigrams(self) -> np.ndarray:
         """Smoothed shares of the symbols; the begin of a text is never predicted."""
         n = np.zeros(self.size)
         np.add.at(n, self.symbols, self.counts)
-        n[self.head : self.head + 3] = self.class_tokens
+        n[self.head : self.head + 4] = [*self.class_tokens, self.ends]
         n[:-1] += 1
         return n / n.sum()
 
@@ -130,7 +132,7 @@ def vocabulary(counts: DataFrame, head: int = HEAD, common: int = COMMON) -> Voc
         total, distinct = totals.get(k, (0, 0))
         class_tokens[k], class_words[k] = total - n[held].sum(), distinct - len(held)
     order = np.argsort(keys)
-    return Vocabulary(keys[order], n[order], symbols[order], len(words), sum(t for t, _ in totals.values()), sum(v for _, v in totals.values()), class_tokens, class_words)
+    return Vocabulary(keys[order], n[order], symbols[order], len(words), sum(t for t, _ in totals.values()), sum(v for _, v in totals.values()), class_tokens, class_words, totals.get(_END, (0, 0))[0])
 
 
 class LogBilinear:
@@ -154,7 +156,7 @@ class LogBilinear:
             at += p.size
 
     def fit(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, weight: np.ndarray, seed: int, rate: float = 0.01) -> None:
-        """One pass of noise-contrastive estimation; each batch shares its noise symbols, drawn by their shares."""
+        """A pass of noise-contrastive estimation (`LEAST_STEPS` at least); a batch shares its noise symbols, drawn by their shares."""
         rng = np.random.default_rng(seed)
         n, dims = self.parts[0].shape
         order = rng.permutation(len(target))
@@ -165,7 +167,8 @@ class LogBilinear:
         def gathered(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
             return np.stack([np.bincount(at, weights=rows[:, d], minlength=n) for d in range(dims)], axis=1)
 
-        for step, begin in enumerate(range(0, len(order), BATCH), 1):
+        batches = range(0, len(order), BATCH)
+        for step, begin in enumerate([b for _ in range(-(-LEAST_STEPS // max(1, len(batches)))) for b in batches], 1):
             rows = order[begin : begin + BATCH]
             a, b, w = one[rows], two[rows], target[rows]
             share = weight[rows] / weight[rows].sum()

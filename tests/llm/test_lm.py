@@ -25,7 +25,7 @@ def corpus():
 @pytest.mark.parametrize("common", [5, 1000])
 def test_counts_and_scores(spark, corpus, common):
     training = corpus[:250]
-    rows = corpus + [(1000 if r[0] is None else 2000 + i, r[1]) for i, r in enumerate(ODD)]
+    rows = corpus + [(2000 + i, r[1]) for i, r in enumerate(ODD)]
     counts = word_counts(docs_of(spark, training))
     known = vocabulary(counts, head=20, common=common)
     c = Counter(w for _, t in training for w in words(t, lower=True))
@@ -41,7 +41,7 @@ def test_counts_and_scores(spark, corpus, common):
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens), rel=1e-9)
         assert r.score < 0
     held_out = [got[i] for i, _ in corpus[250:]]
-    assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out) + 0.2 * sum(r.n_tokens for r in held_out)
+    assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out) + 0.1 * sum(r.n_tokens for r in held_out)
 
 
 def test_probabilities_add_up_to_one(spark, corpus):
