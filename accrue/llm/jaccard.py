@@ -11,7 +11,7 @@ lists, but l shared n-grams drop more candidates before they are verified. Two d
 3. Prefix n-grams that one class alone has are dropped; the lists of the others meet in a self-join. A pair comes out
    at its min(l, l')-th shared n-gram (in long lists now and then again behind it), and only if its sizes, the places of that n-gram and a 256-bit parity sketch
    of both sets (whose differing bits never exceed the differing n-grams) still allow the similarity.
-4. Candidates are verified on whole sets: first one per class, then, of the rest, those whose classes are not yet
+4. Candidates that a 4096-bit sketch still allows are verified on whole sets: first one per class, then, of the rest, those whose classes are not yet
    connected. So the links of a large group of near copies are not all expanded.
 """
 
@@ -34,6 +34,7 @@ FREQUENT_IN_TASK = 8
 MAX_FREQUENT = 1 << 17
 REMEMBERED = 32  # n-grams an entry knows before its own; a pair may come out again behind them
 MAX_COUNTED = 1 << 21  # distinct n-grams a task counts at a time; beyond it those seen once are dropped
+SKETCH_BITS = 4096
 VERIFY_COST = 0.05  # of comparing one n-gram of a candidate, against one entry of a list
 _TOP = np.uint64(1 << 63)
 
@@ -117,7 +118,10 @@ def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
     for held in batches:
         for batch in blocks(held, "text"):
             sets = _Sets(batch.column(1), size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "grams"])
+            cells = sets.doc * SKETCH_BITS + (mixed(sets.key) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+            bits = np.packbits((np.bincount(cells, minlength=SKETCH_BITS * len(batch)) & 1).astype(np.uint8)).view(np.int64)
+            n = np.full(len(batch), SKETCH_BITS // 64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(bits, n, pa.int64()), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "bits", "grams"])
 
 
 def _entries(batches: Iterator[pa.RecordBatch], percent: int, longest: int) -> Iterator[pa.RecordBatch]:
@@ -155,7 +159,7 @@ def _candidates(heads: DataFrame, percent: int, longest: int) -> DataFrame:
     schema = f"id {kind}, s1 long, n long, b1 long, b2 long, b3 long, b4 long, l long, place int, gram long"
     entries = written(docs.mapInArrow(lambda it: _entries(it, percent, longest), schema), "entries")
 
-    need = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
+    need = _need("x.n", "y.n", percent)
     apart = " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(1, 5))
     may = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND {apart} <= x.n + y.n - 2 * {need}"
     # entries that meet no other class of a fitting size and sketch fall out before n-grams are compared
@@ -176,6 +180,19 @@ def _candidates(heads: DataFrame, percent: int, longest: int) -> DataFrame:
     return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
+def _need(x: str, y: str, percent: int) -> str:
+    """The least overlap of two similar sets of these sizes."""
+    return f"(({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent})"
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose larger parity sketches still allow the similarity; sketches are far smaller than sets."""
+    told = sets.select("id", "bits", F.size("grams").alias("n"))
+    met = pairs.join(told.withColumnsRenamed({"id": "a", "bits": "xa", "n": "na"}), "a").join(told.withColumnsRenamed({"id": "b", "bits": "xb", "n": "nb"}), "b")
+    apart = "aggregate(zip_with(xa, xb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    return met.where(f"{apart} <= na + nb - 2 * {_need('na', 'nb', percent)}").select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both"))
@@ -208,7 +225,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     heads = written(heads.dropDuplicates(["id", "s1", "s2", "n"]).drop("s2"), "heads")
     pairs = written(_candidates(heads, percent, longest).distinct(), "candidates")
     met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, grams array<long>").distinct(), "sets")
+    sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, bits array<long>, grams array<long>"), "sets")
+    pairs = written(_possible(pairs, sets, percent), "possible")
 
     first = written(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, percent), "verified")
     joined = components(first)
