@@ -40,4 +40,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
             spark.conf.unset(CLEAN_UP)
         else:
             spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    _FOLDERS[id(out)] = (out, folder)
+    return out
+
+
+#: Tables of `written` by identity; each entry holds its DataFrame, so that no other gets its identity.
+_FOLDERS: dict[int, tuple[DataFrame, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Empty the folders of tables of `written` that nothing will read any more."""
+    for table in tables:
+        _, folder = _FOLDERS.pop(id(table))
+        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
