@@ -11,8 +11,9 @@ lists, but l shared n-grams drop more candidates before they are verified. Two d
 3. Prefix n-grams that one class alone has are dropped; the lists of the others meet in a self-join. A pair comes out
    at its min(l, l')-th shared n-gram (in long lists now and then again behind it), and only if its sizes, the places of that n-gram and a 256-bit parity sketch
    of both sets (whose differing bits never exceed the differing n-grams) still allow the similarity.
-4. Candidates that a 4096-bit sketch still allows are verified on whole sets: first one per class, then, of the rest, those whose classes are not yet
-   connected. So the links of a large group of near copies are not all expanded.
+4. Two rounds: first each class meets the leaders of its lists and is compared with the closest; then the lists are
+   joined but for pairs of classes that are connected by now, so that the links of a large group of near copies are
+   not all expanded. Pairs that a 4096-bit sketch still allows are verified on whole sets.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from accrue.llm.components import components
 from accrue.llm.words import Words, blocks, counted, list_array, mixed, rolling
-from accrue.sources.shared import written
+from accrue.sources.shared import discard, written
 
 SHINGLE, PERCENT = 5, 80
 LONGEST = 4
@@ -37,6 +38,7 @@ MAX_COUNTED = 1 << 21  # distinct n-grams a task counts at a time; beyond it tho
 SKETCH_BITS = 4096
 VERIFY_COST = 0.05  # of comparing one n-gram of a candidate, against one entry of a list
 _TOP = np.uint64(1 << 63)
+_APART = "(" + " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(1, 5)) + ")"
 
 
 def _grams(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -148,8 +150,16 @@ def _entries(batches: Iterator[pa.RecordBatch], percent: int, longest: int) -> I
         )
 
 
-def _candidates(heads: DataFrame, percent: int, longest: int) -> DataFrame:
-    """(a, b): pairs of classes that may be similar enough, each once; `heads` has one row per class."""
+def _may(percent: int) -> str:
+    """Whether sizes and small sketches of the entries x and y allow the similarity."""
+    return f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND {_APART} <= x.n + y.n - 2 * {_need('x.n', 'y.n', percent)}"
+
+
+def _listed(heads: DataFrame, percent: int, longest: int) -> DataFrame:
+    """The list entries that meet another class of a fitting size and sketch, each with the n-grams before its own.
+
+    `heads`, a table of `written`, has one row per class and is discarded.
+    """
     kind = heads.schema["id"].dataType.simpleString()
     node = ["id", "s1"]  # rows of one id may have several sets
     posted = heads.select(*node, F.posexplode("prefix").alias("place", "gram"))
@@ -157,27 +167,45 @@ def _candidates(heads: DataFrame, percent: int, longest: int) -> DataFrame:
     live = posted.join(lists, "gram").groupBy(*node).agg(F.collect_list(F.struct("place", "gram", "lists")).alias("live"))
     docs = heads.drop("prefix").join(live, node)
     schema = f"id {kind}, s1 long, n long, b1 long, b2 long, b3 long, b4 long, l long, place int, gram long"
-    entries = written(docs.mapInArrow(lambda it: _entries(it, percent, longest), schema), "entries")
-
-    need = _need("x.n", "y.n", percent)
-    apart = " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(1, 5))
-    may = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND {apart} <= x.n + y.n - 2 * {need}"
-    # entries that meet no other class of a fitting size and sketch fall out before n-grams are compared
-    entries = written(entries.alias("x").join(entries.alias("y"), F.expr(f"x.gram = y.gram AND x.id != y.id AND {may}"), "left_semi"), "entries")
+    all_entries = written(docs.mapInArrow(lambda it: _entries(it, percent, longest), schema), "entries")
+    discard(heads)
+    x, y = all_entries.alias("x"), all_entries.alias("y")
+    entries = written(x.join(y, F.expr(f"x.gram = y.gram AND x.id != y.id AND {_may(percent)}"), "left_semi"), "entries")
+    discard(all_entries)
     grams = entries.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("all"))
-    kept = entries.select("id", "s1", "n", "l", "b1", "b2", "b3", "b4").distinct().join(grams, node)
-    kept = kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("all.gram").alias("grams"), F.posexplode("all").alias("k", "at"))
-    kept = written(kept.select("id", "n", "l", "b1", "b2", "b3", "b4", F.col("at.place").alias("place"), F.col("at.gram").alias("gram"), F.slice("grams", F.lit(1), F.least(F.col("k"), F.lit(REMEMBERED))).alias("before"), (F.col("k") <= REMEMBERED).alias("all_before")), "entries")
-    pairs = kept.alias("x").join(
-        kept.alias("y"),
+    own = [*node, "n", "l", "b1", "b2", "b3", "b4"]
+    kept = entries.select(*own).distinct().join(grams, node).select(*own, F.col("all.gram").alias("grams"), F.posexplode("all").alias("k", "at"))
+    before = F.slice("grams", F.lit(1), F.least(F.col("k"), F.lit(REMEMBERED)))
+    kept = written(kept.select(*own, "at.place", "at.gram", before.alias("before"), (F.col("k") <= REMEMBERED).alias("all_before")), "entries")
+    discard(entries)
+    return kept
+
+
+def _stars(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each class the leader of a list whose sketch is closest to its own; leaders are chosen by two hashes."""
+    found = None
+    for salt in (1, 2):
+        leader = F.min(F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "n", "b1", "b2", "b3", "b4"))
+        leaders = entries.groupBy("gram").agg(leader.alias("y")).select(F.col("gram").alias("of"), "y")
+        met = entries.alias("x").join(leaders, F.expr(f"x.gram = of AND x.id != y.id AND {_may(percent)}"))
+        best = met.groupBy(F.col("x.id").alias("a")).agg(F.min(F.struct(F.expr(_APART).alias("apart"), F.col("y.id").alias("b"))).alias("best")).select("a", "best.b")
+        found = best if found is None else found.union(best)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _candidates(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of classes that may be similar enough and are not connected yet."""
+    held = entries.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    pairs = held.alias("x").join(
+        held.alias("y"),
         F.expr(
-            f"""x.gram = y.gram AND (x.n < y.n OR (x.n = y.n AND x.id < y.id)) AND {may}
-            AND least(x.l, y.l) + least(x.n - x.place, y.n - y.place) - 1 >= {need}
+            f"""x.gram = y.gram AND x.component != y.component AND (x.n < y.n OR (x.n = y.n AND x.id < y.id)) AND {_may(percent)}
+            AND least(x.l, y.l) + least(x.n - x.place, y.n - y.place) - 1 >= {_need("x.n", "y.n", percent)}
             AND size(array_intersect(x.before, y.before)) <= least(x.l, y.l) - 1
             AND (size(array_intersect(x.before, y.before)) = least(x.l, y.l) - 1 OR NOT x.all_before OR NOT y.all_before)"""
         ),
     )
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def _need(x: str, y: str, percent: int) -> str:
@@ -223,19 +251,26 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     # one row per class; a class that an id has twice counts once
     heads = profiles.join(classes.select("s1", "s2", "n", F.col("class").alias("id")), ["s1", "s2", "n", "id"])
     heads = written(heads.dropDuplicates(["id", "s1", "s2", "n"]).drop("s2"), "heads")
-    pairs = written(_candidates(heads, percent, longest).distinct(), "candidates")
-    met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, bits array<long>, grams array<long>"), "sets")
-    pairs = written(_possible(pairs, sets, percent), "possible")
-
-    first = written(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, percent), "verified")
-    joined = components(first)
-    label = lambda x: joined.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-    rest = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left")
-    rest = rest.where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
-    found = components(first.union(_verified(rest, sets, percent)))
-
-    out = profiles.select("id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
+    keys = written(profiles.select("id", "n", "s1", "s2"), "keys")
+    discard(profiles)
+    entries = _listed(heads, percent, longest)
+
+    def links(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "candidates")
+        met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, bits array<long>, grams array<long>"), "sets")
+        found = written(_verified(written(_possible(pairs, sets, percent), "possible"), sets, percent), "verified")
+        discard(sets, pairs)
+        return found
+
+    first = links(_stars(entries, percent))
+    found = components(first.union(links(_candidates(entries, components(first), percent))))
+    discard(entries)
+
+    classes = keys.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("class"))
+    out = keys.join(classes, ["s1", "s2", "n"], "left")
     out = out.join(found.withColumnRenamed("node", "class"), "class", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    groups = written(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "groups")
+    discard(keys)
+    return groups

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accrue.llm.words import Words, blocks, counted, joined, list_array, rolling, sliding_min, whole
-from accrue.sources.shared import written
+from accrue.sources.shared import discard, written
 
 WINDOW = 50
 CELLS_PER_ANCHOR = 64
@@ -99,6 +99,7 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     found = docs.join(wanted, "id").select("id", "text", "anchors")
     runs = found.mapInArrow(lambda it: _runs(it, size), f"id {kind}, place long, anchor long, windows array<long>")
     runs = written(runs.select("id", "place", "anchor", F.xxhash64("windows").alias("run"), F.size("windows").alias("n"), "windows"), "runs")
+    discard(profiles, sketch)
 
     # Equal runs are one: beyond the smallest id that has a run, all its windows are repeated.
     same = runs.groupBy("anchor", "run").agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -111,7 +112,10 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     shared = firsts.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     partly = firsts.join(shared.select("anchor", "window", "least"), ["anchor", "window"]).where("id > least")
     partly = partly.select("id", "place", F.lit(1).alias("n"))
-    return later.union(partly).groupBy("id").agg(F.collect_list(F.struct("place", F.col("n").cast("long").alias("n"))).alias("runs"))
+    found = later.union(partly).groupBy("id").agg(F.collect_list(F.struct("place", F.col("n").cast("long").alias("n"))).alias("runs"))
+    found = written(found, "repeats")
+    discard(runs)
+    return found
 
 
 def _cut(batches: Iterator[pa.RecordBatch], size: int, text_at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
