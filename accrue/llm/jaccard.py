@@ -13,7 +13,7 @@ lists, but l shared n-grams drop more candidates before they are verified. Two d
    of both sets (whose differing bits never exceed the differing n-grams) still allow the similarity.
 4. Two rounds: first each class meets the leaders of its lists and is compared with the closest; then the lists are
    joined but for pairs of classes that are connected by now, so that the links of a large group of near copies are
-   not all expanded. Pairs that a 4096-bit sketch still allows are verified on whole sets.
+   not all expanded. Pairs that a 1024-bit sketch still allows are verified on whole sets.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ FREQUENT_IN_TASK = 8
 MAX_FREQUENT = 1 << 17
 REMEMBERED = 32  # n-grams an entry knows before its own; a pair may come out again behind them
 MAX_COUNTED = 1 << 21  # distinct n-grams a task counts at a time; beyond it those seen once are dropped
-SKETCH_BITS = 4096
+SKETCH_BITS = 1024
 VERIFY_COST = 0.05  # of comparing one n-gram of a candidate, against one entry of a list
 _TOP = np.uint64(1 << 63)
 _APART = "(" + " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(1, 5)) + ")"
@@ -108,11 +108,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, longes
                 if len(full):
                     sign[full] = np.add.reduceat(mixed(key ^ np.uint64(salt)), begin[full])
                 signs.append(pa.array(sign.view(np.int64)))
+            cells = sets.doc * SKETCH_BITS + (mixed(sets.key) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+            sketch = np.packbits((np.bincount(cells, minlength=SKETCH_BITS * len(batch)) & 1).astype(np.uint8)).view(np.int64)
             bits = np.bincount(doc * 256 + (mixed(key) >> np.uint64(56)).astype(np.int64), minlength=256 * len(batch)) & 1
             bits = np.packbits(bits.astype(np.uint8).reshape(-1, 256), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *signs, *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)), list_array(key[inside].view(np.int64), prefix, pa.int64())],
-                names=["id", "n", "s1", "s2", "b1", "b2", "b3", "b4", "prefix"],
+                [batch.column(0), pa.array(n, pa.int64()), *signs, *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)), list_array(sketch, np.full(len(batch), SKETCH_BITS // 64), pa.int64()), list_array(key[inside].view(np.int64), prefix, pa.int64())],
+                names=["id", "n", "s1", "s2", "b1", "b2", "b3", "b4", "sketch", "prefix"],
             )
 
 
@@ -120,10 +122,7 @@ def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
     for held in batches:
         for batch in blocks(held, "text"):
             sets = _Sets(batch.column(1), size)
-            cells = sets.doc * SKETCH_BITS + (mixed(sets.key) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
-            bits = np.packbits((np.bincount(cells, minlength=SKETCH_BITS * len(batch)) & 1).astype(np.uint8)).view(np.int64)
-            n = np.full(len(batch), SKETCH_BITS // 64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(bits, n, pa.int64()), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "bits", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "grams"])
 
 
 def _entries(batches: Iterator[pa.RecordBatch], percent: int, longest: int) -> Iterator[pa.RecordBatch]:
@@ -165,7 +164,7 @@ def _listed(heads: DataFrame, percent: int, longest: int) -> DataFrame:
     posted = heads.select(*node, F.posexplode("prefix").alias("place", "gram"))
     lists = posted.groupBy("gram").agg(F.count("*").alias("lists")).where("lists > 1")
     live = posted.join(lists, "gram").groupBy(*node).agg(F.collect_list(F.struct("place", "gram", "lists")).alias("live"))
-    docs = heads.drop("prefix").join(live, node)
+    docs = heads.drop("prefix", "sketch").join(live, node)
     schema = f"id {kind}, s1 long, n long, b1 long, b2 long, b3 long, b4 long, l long, place int, gram long"
     all_entries = written(docs.mapInArrow(lambda it: _entries(it, percent, longest), schema), "entries")
     discard(heads)
@@ -213,12 +212,11 @@ def _need(x: str, y: str, percent: int) -> str:
     return f"(({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent})"
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs whose larger parity sketches still allow the similarity; sketches are far smaller than sets."""
-    told = sets.select("id", "bits", F.size("grams").alias("n"))
-    met = pairs.join(told.withColumnsRenamed({"id": "a", "bits": "xa", "n": "na"}), "a").join(told.withColumnsRenamed({"id": "b", "bits": "xb", "n": "nb"}), "b")
+    met = pairs.join(sketches.withColumnsRenamed({"id": "a", "sketch": "xa", "n": "na"}), "a").join(sketches.withColumnsRenamed({"id": "b", "sketch": "xb", "n": "nb"}), "b")
     apart = "aggregate(zip_with(xa, xb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    return met.where(f"{apart} <= na + nb - 2 * {_need('na', 'nb', percent)}").select("a", "b")
+    return met.where(f"{apart} <= na + nb - 2 * {_need('na', 'nb', percent)}").select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -245,7 +243,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     order = np.argsort(grams)
     shared = spark.sparkContext.broadcast((grams[order], place[order]))
 
-    schema = f"id {kind}, n long, s1 long, s2 long, b1 long, b2 long, b3 long, b4 long, prefix array<long>"
+    schema = f"id {kind}, n long, s1 long, s2 long, b1 long, b2 long, b3 long, b4 long, sketch array<long>, prefix array<long>"
     profiles = written(rows.mapInArrow(lambda it: _prefixes(it, size, percent, longest, shared.value), schema), "prefixes")
     classes = profiles.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("class"))
     # one row per class; a class that an id has twice counts once
@@ -253,19 +251,20 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     heads = written(heads.dropDuplicates(["id", "s1", "s2", "n"]).drop("s2"), "heads")
     keys = written(profiles.select("id", "n", "s1", "s2"), "keys")
     discard(profiles)
+    sketches = written(heads.select("id", "n", "sketch"), "sketches")
     entries = _listed(heads, percent, longest)
 
     def links(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs, "candidates")
+        pairs = written(_possible(pairs, sketches, percent), "candidates")
         met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, bits array<long>, grams array<long>"), "sets")
-        found = written(_verified(written(_possible(pairs, sets, percent), "possible"), sets, percent), "verified")
+        sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, grams array<long>"), "sets")
+        found = written(_verified(pairs, sets, percent), "verified")
         discard(sets, pairs)
         return found
 
     first = links(_stars(entries, percent))
     found = components(first.union(links(_candidates(entries, components(first), percent))))
-    discard(entries)
+    discard(entries, sketches)
 
     classes = keys.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("class"))
     out = keys.join(classes, ["s1", "s2", "n"], "left")
