@@ -80,7 +80,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     long = " ".join(f"word{i}" for i in range(70))
     near = " ".join(f"near{i}" for i in range(100))
     rows = [r for r in ODD if r[0] not in (8, 9, 11)] + [
-        (200, f"first {long} one"), (201, f"second {long} two"), (202, long), (203, "quite another text"),
+        (200, f"first {long} one"), (201, "second " + " ".join(f"other{i}" for i in range(40)) + f" {long} two"), (202, long), (203, "quite another text"),
         (300, near), (301, near.replace("near50", "changed")), (302, near + " more"), (303, near),
         (400, "It says: " + " ".join(f"Item{i}" for i in range(12)) + "!"), (401, "clean item0 item1 text"),
     ]
@@ -96,7 +96,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         if name == "language":
             kept = [r for r in kept if any(c.isalpha() for c in r[1] or "")]
         elif name == "near_duplicates":
-            head = {i for i, _, c in groups(kept, 5, 80) if i == c}
+            head = {i for i, _, c in groups(kept, 5, 80) if i is not None and i == c}
             kept = [*dict.fromkeys(r for r in kept if r[0] in head), *[r for r in kept if r[0] is None]]
         elif name == "substring_dedup":
             kept = [(i, text if not gone else left) for i, text, _, gone, left in removed(kept, 50) if not gone or left]
