@@ -115,8 +115,8 @@ class Ranks:
         for i, lang in enumerate(self.langs):
             self.place[i, np.searchsorted(self.grams, profiles[lang])] = np.arange(len(profiles[lang]))
 
-    def nearest(self, column: pa.Array) -> tuple[list[str | None], np.ndarray]:
-        """Of each text the nearest language, and 1 minus the share of the largest possible distance."""
+    def nearest(self, column: pa.Array) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Of each text the nearest language, 1 minus the share of the largest possible distance, and the number of letters."""
         symbols, begin, letters = _symbols(column)
         profiles, docs = [], np.flatnonzero(letters)
         for i in docs:
@@ -125,7 +125,7 @@ class Ranks:
         langs: list[str | None] = [None] * len(letters)
         score = np.zeros(len(letters))
         if not len(docs) or not self.langs:
-            return langs, score
+            return langs, score, letters
         lengths = np.array([len(p) for p in profiles])
         flat = np.concatenate(profiles)
         at = np.searchsorted(self.grams, flat)
@@ -142,26 +142,29 @@ class Ranks:
         for i, doc in enumerate(docs):
             langs[doc] = self.langs[best[i]]
         score[docs] = np.clip(1 - total[best, np.arange(len(docs))] / (lengths * self.size), 0, 1)
-        return langs, score
+        return langs, score, letters
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE) -> DataFrame:
+def identify(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE, lettered: bool = False) -> DataFrame:
     """Adds `lang_pred` (`und` for null and for texts without a letter) and `score`, from 0 to 1, to every row.
 
     All other columns stay as they are; of their own columns called `lang_pred` or `score` the new ones take the place.
-    Ties go to the language first in order. Without any profile every row is `und`.
+    Ties go to the language first in order. Without any profile every row is `und`, and `und` may be a label too; with
+    `lettered`, a column of that name tells whether the text has a letter, whatever is predicted.
     """
     spark, ranks = docs.sparkSession, Ranks(profiles, size)
     shared = spark.sparkContext.broadcast(ranks)
-    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *([T.StructField("lettered", T.BooleanType())] if lettered else [])]
+    new = [f.name for f in more]
+    names = [c for c in docs.columns if c.lower() not in new]
     text_at = names.index(text)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole, text):
-                langs, score = shared.value.nearest(batch.column(text_at))
-                added = [pa.array([x or "und" for x in langs], pa.string()), pa.array(score, pa.float64())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*names, "lang_pred", "score"])
+                langs, score, letters = shared.value.nearest(batch.column(text_at))
+                added = [pa.array(["und" if x is None else x for x in langs], pa.string()), pa.array(score, pa.float64()), pa.array(letters > 0)][: len(new)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*names, *new])
 
     rows = docs.select(*names)
-    return rows.mapInArrow(predict, T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(predict, T.StructType([*rows.schema.fields, *more]))

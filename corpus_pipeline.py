@@ -20,11 +20,11 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without text or without a letter go."""
+    """Documents with a letter, whether or not a language can be told; those without text or without a letter go."""
     ship_library(spark)
     docs = docs.select(*COLUMNS)
     profiles = fit_profiles(docs.where(~held_out("doc_id", 3, 1)))
-    return identify(docs, profiles).where("lang_pred != 'und'").select(*COLUMNS)
+    return identify(docs, profiles, lettered=True).where("lettered").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,23 @@
+"""The language stage keeps documents with letters, whatever languages are known."""
+
+import pytest
+from cases import ODD, docs_of
+
+import corpus_pipeline
+
+ROWS = [r for r in ODD if r[0] not in (8, 9, 11)]
+LETTERED = sorted((r for r in ROWS if any(c.isalpha() for c in r[1] or "")), key=repr)
+
+
+@pytest.mark.parametrize("langs", [[None], ["und"], ["und", "en", None]])
+def test_lettered_documents_stay(spark, langs):
+    docs = docs_of(spark, [(*r, langs[i % len(langs)]) for i, r in enumerate(ROWS)])
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.language(spark, docs, "").collect()), key=repr)
+    assert got == LETTERED
+
+
+def test_pipeline_of_an_unlabelled_corpus(spark, tmp_path):
+    texts = ["a small text of its own", "quite another one", "123 !!!"]
+    docs_of(spark, [(i, t, None) for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(f"item{i}" for i in range(30)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 1}
