@@ -1,9 +1,10 @@
 """Quality classifier on random-indexing word vectors.
 
-Every word (runs of letters, runs of digits and single marks; `again` in place of a word that repeats the one before)
-falls into one of 2^14 hashed rows. Random indexing: each row has a fixed sparse vector of a few +1 and -1; a word's
+Words are runs of letters, runs of digits and single marks; `again` in place of a word that repeats the one before.
+Random indexing: each word has a fixed sparse vector of a few +1 and -1, by the bits of its 64-bit hash; its context
 vector is the sum of those of its neighbours up to two places away, over all texts of the corpus. Tasks add up their
-own texts and Spark sums the rows. A document is the mean of its words' unit vectors. A two-layer network, fitted in
+own texts, the sums are shuffled by hash. Every distinct word has a vector of its own: those of the `COMMON` most
+frequent are broadcast, all others are joined by hash. A document is the mean of its words' unit vectors. A two-layer network, fitted in
 numpy on at most `fit_rows` labelled rows, gives the probability; its temperature is fitted on a fifth of those rows
 that the network doesn't see. `fit_rows` bounds the fit only, vectors and scores cover all rows.
 """
@@ -14,13 +15,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accrue.llm.words import Words, blocks
+from accrue.llm.words import Words, blocks, list_array, mixed, ragged, text_bytes
+from accrue.sources.shared import written
 
-ROWS, DIMS, MARKS, REACH = 1 << 14, 32, 4, 2
+DIMS, MARKS, REACH = 32, 4, 2
+COMMON = 1 << 18
+_WIDTHS = DIMS // 2, DIMS, 8 * DIMS
+_MAX_HELD = 1 << 19  # rows of sums in a task before they are merged; half as many distinct words before they are passed on
 FIT_ROWS = 20_000
 HIDDEN = 32
 _KINDS = np.full(256, 3, np.uint8)  # 0 space, 1 letter, 2 digit, 3 mark
@@ -30,10 +36,17 @@ _KINDS[65:91] = _KINDS[97:123] = _KINDS[128:] = 1
 _KINDS[10] = 3
 
 
-def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(71)
-    places = np.argsort(rng.random((ROWS, DIMS)), axis=1)[:, :MARKS]
-    return places, rng.choice([-1.0, 1.0], (ROWS, MARKS))
+def _index_vectors(keys: np.ndarray) -> np.ndarray:
+    """The fixed vectors of words: `MARKS` different places and their signs, by the bits of the hash."""
+    bits = mixed(keys.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    out = np.zeros((len(keys), DIMS), np.int8)
+    row, order = np.arange(len(keys)), np.broadcast_to(np.arange(DIMS, dtype=np.int8), (len(keys), DIMS)).copy()
+    for k in range(MARKS):
+        at = k + (bits >> np.uint64(12 * k) & np.uint64(0x3FF)).astype(np.int64) % (DIMS - k)
+        place = order[row, at]
+        order[row, at] = order[:, k]
+        out[row, place] = np.where(bits >> np.uint64(12 * k + 11) & np.uint64(1), 1, -1)
+    return out
 
 
 class _Tokens(Words):
@@ -57,52 +70,185 @@ class _Tokens(Words):
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(self.at) - 1), self.counts)
 
-    def rows(self) -> np.ndarray:
+    def keys(self) -> np.ndarray:
         hashes = self.hashes(5)
         again = np.zeros(len(hashes), bool)
         again[1:] = (hashes[1:] == hashes[:-1]) & (self.doc[1:] == self.doc[:-1])
-        return np.where(again, 0, 1 + hashes % np.uint64(ROWS - 1)).astype(np.int64)
+        return np.where(again, np.uint64(0), hashes).view(np.int64)
+
+
+class Vectors(np.ndarray):
+    """Unit context vectors of the most frequent words, one row a word; `keys` are their hashes in order.
+
+    `rest` holds the sums of all other words as a table (key, sums), or None where there are no others.
+    """
+
+    keys: np.ndarray
+    rest: DataFrame | None
+
+
+def _packed(sums: np.ndarray) -> pa.Array:
+    """Sums as bytes: half a byte for each where all of a row are below 8, one where they are below 128, else eight."""
+    most = np.abs(sums).max(axis=1, initial=0)
+    wide = np.where(most < 8, 0, np.where(most < 128, 1, 2))
+    lengths = np.array(_WIDTHS)[wide]
+    at = np.concatenate(([0], np.cumsum(lengths)))
+    data = np.empty(int(at[-1]), np.uint8)
+    half = (sums[wide == 0] + 8).astype(np.uint8)
+    for k, held in enumerate((half[:, ::2] | half[:, 1::2] << 4, sums[wide == 1].astype(np.int8), np.ascontiguousarray(sums[wide == 2], np.int64))):
+        data[ragged(at[:-1][wide == k], lengths[wide == k])] = held.view(np.uint8).ravel()
+    return pa.Array.from_buffers(pa.large_binary(), len(sums), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    data, at = text_bytes(column)
+    lengths, out = np.diff(at), np.empty((len(at) - 1, DIMS), np.int64)
+    half, small, large = (data[ragged(at[:-1][lengths == w], lengths[lengths == w])].reshape(-1, w) for w in _WIDTHS)
+    out[lengths == _WIDTHS[0], ::2], out[lengths == _WIDTHS[0], 1::2] = (half & 15).astype(np.int64) - 8, (half >> 4).astype(np.int64) - 8
+    out[lengths == _WIDTHS[1]] = small.view(np.int8)
+    out[lengths == _WIDTHS[2]] = large.view(np.int64)
+    return out
+
+
+def _units(sums: np.ndarray) -> np.ndarray:
+    norm = np.sqrt((sums.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+    return (sums / np.where(norm == 0, 1, norm)).astype(np.float32)
+
+
+def _grouped(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    if not len(begin):
+        return keys, n, sums.astype(np.int64)
+    return keys[begin], np.add.reduceat(n[order], begin), np.add.reduceat(sums[order], begin, axis=0, dtype=np.int64)
 
 
 def _sum_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    places, signs = _index_vectors()
-    total = np.zeros(ROWS * DIMS)
+    held, waiting = [], 0
+
+    def out() -> pa.RecordBatch:
+        keys, n, sums = _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64()), _packed(sums)], names=["key", "n", "sums"])
+
     for whole in batches:
         for batch in blocks(whole, "text"):
             tokens = _Tokens(batch.column(0))
-            row = tokens.rows()
+            keys = tokens.keys()
+            if not len(keys):
+                continue
+            words, which = np.unique(keys, return_inverse=True)
+            index = _index_vectors(words)[which]
+            near = np.zeros((len(keys), DIMS), np.int8)
             for apart in range(1, REACH + 1):
-                near = tokens.doc[apart:] == tokens.doc[:-apart]
-                left, right = row[:-apart][near], row[apart:][near]
-                for to, of in ((left, right), (right, left)):
-                    for k in range(MARKS):
-                        total += np.bincount(to * DIMS + places[of, k], weights=signs[of, k], minlength=ROWS * DIMS)
-    table = total.reshape(ROWS, DIMS)
-    seen = np.flatnonzero(table.any(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), *(pa.array(table[seen, d], pa.float64()) for d in range(DIMS))], names=["row", *(f"v{d}" for d in range(DIMS))])
-
-
-def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Unit context vectors of the hashed words, over all rows of `docs`; 2 MB at any size of the corpus."""
-    names = [f"v{d}" for d in range(DIMS)]
-    parts = docs.select(F.col(text).alias("text")).mapInArrow(_sum_neighbours, "row long, " + ", ".join(f"{n} double" for n in names))
-    rows = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    table = np.zeros((ROWS, DIMS))
-    if rows.num_rows:
-        table[rows["row"].to_numpy()] = np.stack([rows[n].to_numpy() for n in names], axis=1)
-    norm = np.linalg.norm(table, axis=1, keepdims=True)
-    return (table / np.where(norm == 0, 1, norm)).astype(np.float32)
-
-
-def _pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    tokens = _Tokens(column)
-    out = np.zeros((len(tokens.counts), DIMS), dtype=np.float64)
-    full = np.flatnonzero(tokens.counts)
-    if len(full):
-        out[full] = np.add.reduceat(vectors[tokens.rows()], tokens.first[full], axis=0) / tokens.counts[full, None]
+                same = (tokens.doc[apart:] == tokens.doc[:-apart]).astype(np.int8)[:, None]
+                near[:-apart] += index[apart:] * same
+                near[apart:] += index[:-apart] * same
+            order = np.argsort(which, kind="stable")
+            n = np.bincount(which, minlength=len(words))
+            held.append((words, n, np.add.reduceat(near[order], np.cumsum(n) - n, axis=0, dtype=np.int32)))
+            waiting += len(words)
+            if waiting > _MAX_HELD:
+                merged = _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, waiting = [(merged[0], merged[1], merged[2].astype(np.int32))], len(merged[0])
+                if waiting > _MAX_HELD // 2:
+                    yield out()
+                    held, waiting = [], 0
+    if held:
+        yield out()
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one key, which follow each other, as one row."""
+    last: tuple[np.ndarray, np.ndarray, np.ndarray] = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, DIMS), np.int64)
+
+    def out(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64()), _packed(sums)], names=["key", "n", "sums"])
+
+    for batch in batches:
+        now = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _unpacked(batch.column(2))
+        keys, n, sums = _grouped(*(np.concatenate(x) for x in zip(last, now, strict=True)))
+        last = keys[-1:], n[-1:], sums[-1:]
+        yield out(keys[:-1], n[:-1], sums[:-1])
+    yield out(*last)
+
+
+def word_vectors(docs: DataFrame, text: str = "text", common: int = COMMON) -> Vectors:
+    """Context vectors of all words of all rows of `docs`, one a word: the `common` most frequent here, the others as a table."""
+    parts = docs.select(F.col(text).alias("text")).mapInArrow(_sum_neighbours, "key long, n long, sums binary")
+    table = written(parts.repartition("key").sortWithinPartitions("key").mapInArrow(_add_up, "key long, n long, sums binary"), "vectors")
+    best = table.orderBy(F.desc("n"), "key").limit(common).toArrow().sort_by("key")
+    out = _units(_unpacked(best["sums"].combine_chunks())).reshape(-1, DIMS).view(Vectors)
+    out.keys, out.rest = best["key"].to_numpy(), None
+    if table.count() > best.num_rows:
+        n = best["n"].to_numpy()
+        lowest, edge = (int(n.min()), int(out.keys[n == n.min()].max())) if len(n) else (np.iinfo(np.int64).max, 0)
+        out.rest = table.where((F.col("n") < lowest) | ((F.col("n") == lowest) & (F.col("key") > edge))).select("key", "sums")
+    return out
+
+
+def pooled(rows: DataFrame, text: str, vectors: Vectors, carry: list[str]) -> DataFrame:
+    """(carried, n, total): of each row the columns `carry`, the number of words and the sum of their unit vectors as bytes."""
+    rest, joins = vectors.rest, vectors.rest is not None
+    shared = rows.sparkSession.sparkContext.broadcast((vectors.keys, np.asarray(vectors)))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, units = shared.value
+        row = TaskContext.get().partitionId() << 36
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                tokens = _Tokens(batch.column(1))
+                keys = tokens.keys()
+                at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+                common = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+                total = _sums_of(units[at[common]], tokens.doc[common], len(batch))
+                rare_doc, rare_key = tokens.doc[~common], keys[~common]
+                columns = [pa.array(np.arange(row, row + len(batch))), batch.column(0), pa.array(tokens.counts, pa.int64()), _bytes(total)]
+                if joins:
+                    columns.append(list_array(rare_key, np.bincount(rare_doc, minlength=len(batch)), pa.int64()))
+                row += len(batch)
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "carried", "n", "total", "rare"][: len(columns)])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = np.zeros(0, np.int64), np.zeros((0, DIMS))
+        for batch in batches:
+            own, units = np.concatenate((last, batch.column(0).to_numpy())), np.concatenate((held, _units(_unpacked(batch.column(1)))))
+            begin = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
+            sums = np.add.reduceat(units, begin, axis=0) if len(begin) else units
+            last, held = own[begin][-1:], sums[-1:]
+            yield pa.RecordBatch.from_arrays([pa.array(own[begin][:-1]), _bytes(sums[:-1])], names=["row", "more"])
+        yield pa.RecordBatch.from_arrays([pa.array(last, pa.int64()), _bytes(held)], names=["row", "more"])
+
+    own = rows.select(F.struct(*carry).alias("carried"), F.col(text).alias("text"))
+    fields = [T.StructField("row", T.LongType()), own.schema["carried"], T.StructField("n", T.LongType()), T.StructField("total", T.BinaryType())]
+    if not joins:
+        return own.mapInArrow(measure, T.StructType(fields)).select("carried", "n", "total", F.lit(None).cast("binary").alias("more"))
+    parts = written(own.mapInArrow(measure, T.StructType([*fields, T.StructField("rare", T.ArrayType(T.LongType()))])), "pooled")
+    found = parts.select("row", F.explode("rare").alias("key")).join(rest, "key").repartition("row").sortWithinPartitions("row", "key")
+    more = found.select("row", "sums").mapInArrow(add, "row long, more binary")
+    return parts.join(more, "row", "left").select("carried", "n", "total", "more")
+
+
+def _sums_of(units: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros((n, DIMS))
+    if len(doc):
+        begin = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+        out[doc[begin]] = np.add.reduceat(units, begin, axis=0, dtype=np.float64)
     return out
 
 
+def _bytes(values: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(np.arange(len(values) + 1, dtype=np.int32) * 4 * DIMS), pa.py_buffer(np.ascontiguousarray(values, np.float32))])
+
+
+def _means(batch: pa.RecordBatch) -> np.ndarray:
+    """Of each row of `pooled` the mean of its words' vectors; nothing has the zero vector."""
+    total = text_bytes(batch.column(2))[0].view(np.float32).reshape(-1, DIMS).astype(np.float64)
+    more, at = text_bytes(batch.column(3))
+    total[np.diff(at) > 0] += more.view(np.float32).reshape(-1, DIMS)
+    return total / np.maximum(batch.column(1).to_numpy(), 1)[:, None]
+
+
 class Network:
     """One hidden layer and one output, fitted with mini-batches and momentum scaled per weight."""
 
@@ -113,7 +259,7 @@ class Network:
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         w, b, v, c = self.parts
-        return np.maximum((x - self.mean) / self.scale @ w + b, 0) @ v + c[0]
+        return np.einsum("nh,h->n", np.maximum(np.einsum("nd,dh->nh", (x - self.mean) / self.scale, w) + b, 0), v) + c[0]  # a row by itself, in a batch of any size
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -500, 500)))
@@ -152,41 +298,52 @@ class Network:
         return self
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = FIT_ROWS) -> Network:
+def picked_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(id, y): the labels of rows of `docs` to learn from."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
+    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+    return known.orderBy(F.xxhash64("id"), "id", "y").limit(fit_rows)
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, vectors: Vectors, id_col: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = FIT_ROWS) -> Network:
     """The network fitted on labelled rows of `docs`: all of them up to `fit_rows`, else those of the smallest hashed ids.
 
     Rows without id or label teach nothing; a null text counts as an empty one; an id labelled twice counts twice.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
-    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
-    picked = known.orderBy(F.xxhash64("id"), "id", "y").limit(fit_rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")  # at most fit_rows rows of two numbers
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    picked = picked_labels(docs, labels, id_col, label, fit_rows)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked.select("id").distinct()), "id")  # at most fit_rows ids
+    return fit_pooled(pooled(own, "text", vectors, ["id"]), picked)
 
-    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in blocks(whole, "text"):
-                held = _pooled(batch.column(batch.schema.get_field_index("text")), shared.value)
-                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in ("id", "y")] + [pa.FixedSizeListArray.from_arrays(pa.array(held.ravel()), DIMS).cast(pa.list_(pa.float64()))], names=["id", "y", "x"])
 
-    kind = dict(texts.dtypes)["id"]
-    rows = texts.select("id", "text", "y").mapInArrow(pool, f"id {kind}, y double, x array<double>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+def fit_pooled(rows: DataFrame, known: DataFrame) -> Network:
+    """The network fitted on the rows of `pooled` by their carried id and the labels (id, y), of a bounded number."""
+    texts = rows.join(F.broadcast(known), F.col("carried.id") == F.col("id")).select(F.struct("id", "y").alias("carried"), "n", "total", "more")
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = _means(batch)
+            yield pa.RecordBatch.from_arrays([*batch.column(0).flatten(), pa.FixedSizeListArray.from_arrays(pa.array(held.ravel()), DIMS).cast(pa.list_(pa.float64()))], names=["id", "y", "x"])
+
+    kind = known.schema["id"].dataType.simpleString()
+    rows = texts.mapInArrow(mean, f"id {kind}, y double, x array<double>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     x = np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(-1, DIMS)
     return Network().fit(x, rows["y"].to_numpy().astype(np.float64))
 
 
-def score_quality(docs: DataFrame, vectors: np.ndarray, network: Network, text: str = "text") -> DataFrame:
+def score_quality(docs: DataFrame, vectors: Vectors, network: Network, text: str = "text") -> DataFrame:
     """Adds `score`, the probability of label 1, to every row; empty and null texts get that of the zero vector."""
-    shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
     names = [c for c in docs.columns if c.lower() != "score"]
-    text_at = names.index(text)
+    return score_pooled(pooled(docs, text, vectors, names), network)
+
+
+def score_pooled(rows: DataFrame, network: Network) -> DataFrame:
+    """The carried columns of rows of `pooled`, and their `score`."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+    fields = rows.schema["carried"].dataType.fields
+    names = [f.name for f in fields]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, network = shared.value
-        for whole in batches:
-            for batch in blocks(whole, text):
-                held = network.probability(_pooled(batch.column(text_at), vectors))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held, pa.float64())], names=[*names, "score"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.column(0).flatten(), pa.array(shared.value.probability(_means(batch)), pa.float64())], names=[*names, "score"])
 
-    rows = docs.select(*names)
-    return rows.mapInArrow(score, T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(score, T.StructType([*fields, T.StructField("score", T.DoubleType())]))

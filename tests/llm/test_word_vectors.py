@@ -1,0 +1,34 @@
+"""Context vectors of the quality classifier: one a distinct word, however many words there are."""
+
+import numpy as np
+import pytest
+from cases import ODD, docs_of
+
+from accrue.llm.quality import _index_vectors, _Tokens, fit_quality, score_quality, word_vectors
+
+
+def test_every_word_has_its_own_vector(spark):
+    texts = [" ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{chr(97 + k // 17576)}" for k in range(i, i + 400)) for i in range(0, 20_000, 400)]
+    vectors = word_vectors(docs_of(spark, [*enumerate(texts)]))
+    assert len(vectors) == 20_000
+    import pyarrow as pa
+
+    keys = _Tokens(pa.array(texts[:1])).keys()
+    index = _index_vectors(keys).astype(int)
+    assert (np.abs(index).sum(axis=1) == 4).all()
+    sums = sum(index[k] for k in (8, 9, 11, 12))
+    assert np.allclose(vectors[np.searchsorted(vectors.keys, keys[10])], sums / np.linalg.norm(sums), atol=1e-6)
+
+
+@pytest.mark.parametrize("common", [0, 7])
+def test_joined_words_give_the_scores_of_broadcast_ones(spark, common):
+    rows = [r for r in ODD if r[0] is not None]
+    labels = spark.createDataFrame([(4, 1), (7, 0), (8, 1), (10, 0), (12, 1)], "doc_id long, quality int")
+    docs = docs_of(spark, rows)
+    whole, part = word_vectors(docs), word_vectors(docs, common=common)
+    assert whole.rest is None and len(part) + part.rest.count() == len(whole) and len(part) == common
+    network = fit_quality(docs, labels, whole)
+    want, got = (sorted((r.doc_id, r.score) for r in score_quality(docs, v, network).collect()) for v in (whole, part))
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-6)
+    joined = fit_quality(docs, labels, part)
+    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(joined.parts, network.parts, strict=True))
