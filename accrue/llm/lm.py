@@ -7,11 +7,18 @@ context, plus a bias. It is fitted in numpy by noise-contrastive estimation: tas
 training texts, starting from the same parameters, and Spark averages the parameters by number of tokens.
 
 Normalisation is exact and needs one matrix product for all contexts: the score is a sum over the two places, so the
-sum over symbols of exp(score) is exp(first + bias) @ exp(second).T. A word outside the head has the probability of its
-class times (c + 1) / (N' + V' + 1) over the class's training words, so that one place is left for words never seen.
-
-Word counts cover all training texts and stay in Spark. The `COMMON` most frequent words are broadcast, all others
-are joined by their hash.
+sum over symbols of exp(score) is exp(first + bias) @ exp(second).T.
+
+Every word of `LEAST` training occurrences has a vector of its own, at any number of them. Outside the head it is a leaf
+of its class's binary tree, in which each inner node divides its probability by a logistic function of the context, so
+that normalisation stays exact. The node's vector is the linear discriminant between the mean contexts below its two
+children, drawn to their common mean where they are rare; Spark adds up the contexts of each word. As context of the
+trees a word stands with its own vector, which a linear map takes from its mean context; the map is fitted on the head
+words. Rarer and unseen words of a class share its leaf 0, with (c + 1) / (N' + V' + 1) of it each over the training
+words there, so that one place is left for words never seen.
+
+Word counts cover all training texts and stay in Spark. The words with vectors, and the `COMMON` most frequent at least,
+are broadcast, all others are joined by their hash.
 """
 
 from __future__ import annotations
@@ -26,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrue.llm.words import Words, blocks, counted, list_array
-from accrue.sources.shared import written
+from accrue.sources.shared import discard, written
 
 HEAD = 1024
 COMMON = 1 << 18
+LEAST = 10  # training occurrences of a word with its own vector
+DRAWN = 30  # occurrences that the common mean counts for
 DIMS = 24
 ROUNDS = 2
 BATCH, NOISE = 2048, 64
@@ -93,14 +102,20 @@ class Vocabulary:
 
     def look_up(self, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key, symbol and count of each token; the count is -1 where the word is not common."""
+        return self.find(tokens)[:3]
+
+    def find(self, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """`look_up`, and the place of the word among the common ones, or -1."""
         key = tokens.key & ~3 | tokens.kind
         symbol, count = self.head + tokens.kind, np.full(len(key), -1)
+        place = np.full(len(key), -1)
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             known = self.keys[at] == key
             symbol, count = np.where(known, self.symbols[at], symbol), np.where(known, self.counts[at], count)
+            place = np.where(known & (tokens.kind != _END), at, -1)
         count = np.where(tokens.kind == _END, self.ends, count)
-        return key, np.where(tokens.kind == _END, self.head + _END, symbol), count
+        return key, np.where(tokens.kind == _END, self.head + _END, symbol), count, place
 
     def unigrams(self) -> np.ndarray:
         """Smoothed shares of the symbols; the begin of a text is never predicted."""
@@ -117,7 +132,9 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return written(rows.mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counts")
 
 
-def vocabulary(counts: DataFrame, head: int = HEAD, common: int = COMMON) -> Vocabulary:
+def vocabulary(counts: DataFrame, head: int = HEAD, common: int | None = None) -> Vocabulary:
+    if common is None:
+        common = max(COMMON, counts.where(F.col("n") >= LEAST).count())
     best = counts.orderBy(F.desc("n"), "key").limit(common).toArrow()
     keys, n = best["key"].to_numpy(), best["n"].to_numpy()
     kind = keys & 3
@@ -142,6 +159,7 @@ class LogBilinear:
         rng = np.random.default_rng(seed)
         n = len(shares)
         self.shares = shares
+        self.tails: Tails | None = None
         self.parts = [rng.normal(0, 0.1, (n, dims)), *(np.eye(dims) + rng.normal(0, 0.02, (dims, dims)) for _ in range(2)), np.log(np.maximum(shares, 1e-12))]
 
     @property
@@ -251,9 +269,156 @@ def fit(docs: DataFrame, known: Vocabulary, text: str = "text", rounds: int = RO
         mean = rows.mapInArrow(train, "at long, value double, weight double").groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value")).orderBy("at").toArrow()
         if mean.num_rows:
             model.flat = mean["value"].to_numpy()
+    model.tails = _fit_tails(rows, known, words, model)
     return model
 
 
+_PART = 1 << 15
+
+
+def _parts(words: np.ndarray) -> list[np.ndarray]:
+    return [words[at : at + _PART] for at in range(0, len(words), _PART)]
+
+
+class Tails:
+    """Words with vectors outside the head: their leaves in the trees of the three classes, and their vectors as context."""
+
+    def __init__(self, known: Vocabulary, model: LogBilinear):
+        self.size, self.head = known.size, known.head
+        self.has = (known.counts >= LEAST) & (known.keys & 3 != _END)
+        self.at = np.where(self.has, np.cumsum(self.has) - 1, -1)  # by place among the common words
+        self.n, self.kind, self.symbols = known.counts[self.has], known.keys[self.has] & 3, known.symbols[self.has]
+        self.outside = self.symbols >= known.head
+        self.leaf = np.zeros(len(self.n), np.int64)
+        self.vectors = model.parts[0].astype(np.float32)  # of the symbols, then of the words with vectors
+        self.near, self.far = (m.astype(np.float32) for m in model.parts[1:3])
+        held = [self.outside & (self.kind == k) for k in range(3)]
+        self.rare = np.array([known.class_tokens[k] - self.n[held[k]].sum() + known.class_words[k] - held[k].sum() + 1 for k in range(3)])
+        self.trees: list[np.ndarray] = []
+
+    def contexts(self, tokens: _Tokens, symbol: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The word with a vector of each token, or -1, and each token's context."""
+        word = np.where(place >= 0, self.at[place], -1) if len(self.at) else place
+        seen = np.where((word >= 0) & (symbol >= self.head), self.size + word, symbol) if len(self.vectors) > self.size else symbol
+        one, two = _contexts(tokens, seen, self.size - 1)
+        return word, self.vectors[one] @ self.near + self.vectors[two] @ self.far
+
+    def sums(self, batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[pa.RecordBatch]:
+        """Summed contexts by word, then by class for the words of its leaf 0, then the products of the dimensions."""
+        n = len(self.n)
+        total = np.zeros((n + 3 + DIMS, DIMS), np.float32)
+        seen = np.zeros(len(total), bool)
+        for held in batches:
+            for batch in blocks(held, "text"):
+                tokens = _Tokens(batch.column(0))
+                _, symbol, _, place = known.find(tokens)
+                word, context = self.contexts(tokens, symbol, place)
+                to = np.where(word >= 0, word, n + tokens.kind)
+                to, context = to[tokens.kind != _END], context[tokens.kind != _END]
+                order = np.argsort(to, kind="stable")
+                at, count = counted(to)
+                if len(at):
+                    total[at] += np.add.reduceat(context[order], np.cumsum(count) - count, axis=0)
+                    seen[at] = True
+                    total[n + 3 :] += context.T @ context
+                    seen[n + 3 :] = True
+        rows = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *(pa.array(total[rows, d], pa.float32()) for d in range(DIMS))], names=["at", *(f"v{d}" for d in range(DIMS))])
+
+    def learn_vectors(self, total: np.ndarray) -> None:
+        n, head = len(self.n), self.head
+        middle = total[: n + 3].sum(axis=0, dtype=np.float64) / max(1, self.n.sum() + self.rare.sum())
+        drawn = total[:n]  # in place: the table is as large as the vocabulary
+        drawn -= self.n[:, None].astype(np.float32) * middle.astype(np.float32)
+        drawn /= (self.n[:, None] + DRAWN).astype(np.float32)
+        inner = ~self.outside
+        x, y = drawn[inner], self.vectors[self.symbols[inner]]
+        if not len(x):
+            return
+        weight = np.sqrt(self.n[inner])[:, None]
+        mean = (weight * y).sum(axis=0) / weight.sum()
+        square = x.T @ (weight * x)
+        step = np.linalg.solve(square + (0.01 * np.trace(square) / DIMS + 1e-9) * np.eye(DIMS), x.T @ (weight * (y - mean)))
+        self.vectors = np.concatenate((self.vectors, self.vectors[head + self.kind] + drawn @ step.astype(np.float32)))
+
+    def learn_trees(self, total: np.ndarray) -> None:
+        n = len(self.n)
+        tokens = max(1.0, float(self.n.sum() + self.rare.sum()))
+        middle = total[: n + 3].sum(axis=0, dtype=np.float64) / tokens
+        spread = total[n + 3 :] / tokens - np.outer(middle, middle)
+        spread = (spread + spread.T) / 2
+        inverse = np.linalg.inv(spread + (0.01 * np.trace(spread) / DIMS + 1e-6) * np.eye(DIMS)).astype(np.float32)
+        main = np.linalg.eigh(spread)[1][:, ::-1][:, :6].astype(np.float32)
+        for k in range(3):
+            words = np.flatnonzero(self.outside & (self.kind == k))
+            mean = (sum(total[p].sum(axis=0, dtype=np.float64) for p in _parts(words)) + total[n + k]) / max(1.0, float(self.n[words].sum() + self.rare[k]))
+            code = np.concatenate([(((total[p] / self.n[p, None] - mean) @ main) > 0) @ (1 << np.arange(6)[::-1]) for p in _parts(words)] or [words])
+            words = words[np.argsort(code, kind="stable")]
+            depth = int(len(words)).bit_length()  # leaf 0 is that of the rare words
+            self.leaf[words] = (1 << depth) + 1 + np.arange(len(words))
+            count, sums = np.zeros(1 << depth, np.float32), np.zeros((1 << depth, DIMS), np.float32)
+            count[0], sums[0] = self.rare[k], total[n + k]
+            count[1 : len(words) + 1] = self.n[words]
+            for i, p in enumerate(_parts(words)):
+                sums[1 + i * _PART : 1 + i * _PART + len(p)] = total[p]
+            nodes = np.zeros((1 << depth, DIMS + 1), np.float32)
+            for level in range(depth - 1, -1, -1):
+                n_nodes = 1 << level
+                up, up_sums = np.empty(n_nodes, np.float32), np.empty((n_nodes, DIMS), np.float32)
+                for begin in range(0, n_nodes, _PART):
+                    end = min(n_nodes, begin + _PART)
+                    counts, both = count[2 * begin : 2 * end].reshape(-1, 2), sums[2 * begin : 2 * end].reshape(-1, 2, DIMS)
+                    up[begin:end], up_sums[begin:end] = counts.sum(axis=1), both.sum(axis=1)
+                    parent = up_sums[begin:end] / np.maximum(up[begin:end], 1)[:, None]
+                    left, right = ((both[:, j] + DRAWN * parent) / (counts[:, j, None] + DRAWN) for j in range(2))
+                    vector = (right - left) @ inverse
+                    bias = np.log(np.maximum(counts[:, 1], 1e-20) / np.maximum(counts[:, 0], 1e-20)) - (vector * (left + right)).sum(axis=1) / 2
+                    empty = (counts == 0).any(axis=1)
+                    vector[empty], bias[empty] = 0, np.where(counts[empty, 1] > 0, 60, -60)
+                    nodes[n_nodes + begin : n_nodes + end, :DIMS], nodes[n_nodes + begin : n_nodes + end, DIMS] = vector, bias
+                count, sums = up, up_sums
+            self.trees.append(nodes)
+
+    def log10(self, kind: np.ndarray, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Log probabilities of words' leaves within their classes."""
+        out = np.zeros(len(kind))
+        for k, nodes in enumerate(self.trees):
+            rows = np.flatnonzero(kind == k)
+            at, own, log = np.where(word[rows] >= 0, self.leaf[word[rows]], len(nodes)) if len(self.leaf) else np.full(len(rows), len(nodes)), context[rows], np.zeros(len(rows))
+            for _ in range(len(nodes).bit_length() - 1):
+                side = (at & 1).astype(np.float32) * 2 - 1
+                at >>= 1
+                node = nodes[at]
+                score = side * (np.einsum("nd,nd->n", node[:, :DIMS], own) + node[:, DIMS])
+                log -= np.log1p(np.exp(-np.abs(score))) + np.maximum(-score, 0)
+            out[rows] = log / np.log(10)
+        return out
+
+
+def _fit_tails(rows: DataFrame, known: Vocabulary, words: object, model: LogBilinear) -> Tails:
+    tails = Tails(known, model)
+    names = [f"v{d}" for d in range(DIMS)]
+    for learn in (tails.learn_vectors, tails.learn_trees):
+        now = rows.sparkSession.sparkContext.broadcast(tails)
+
+        def task(batches: Iterator[pa.RecordBatch], now: object = now) -> Iterator[pa.RecordBatch]:
+            yield from now.value.sums(batches, words.value)
+
+        parts = rows.mapInArrow(task, "at long, " + ", ".join(f"{v} float" for v in names)).groupBy("at").agg(*[F.sum(v).cast("float").alias(v) for v in names])
+        held = written(parts, "contexts")
+        found = held.toArrow()
+        discard(held)
+        total = np.zeros((len(tails.n) + 3 + DIMS, DIMS), np.float32)
+        if found.num_rows:
+            at = found["at"].to_numpy()
+            for d, v in enumerate(names):
+                total[at, d] = found[v].to_numpy()
+        del found
+        learn(total)
+        now.destroy()
+    return tails
+
+
 def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, model: LogBilinear, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score): log10 probabilities of every row's text and its end.
 
@@ -263,20 +428,23 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, model: LogBilin
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     one, two = model.tables()
-    shared = spark.sparkContext.broadcast((known, one.astype(np.float32), two.astype(np.float32), model.log_total(one, two).astype(np.float32)))
+    shared = spark.sparkContext.broadcast((known, model.tails, one.astype(np.float32), two.astype(np.float32), model.log_total(one, two).astype(np.float32)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, by_one, by_two, total = shared.value
-        row, class_log = TaskContext.get().partitionId() << 36, np.log10(words.class_tokens + words.class_words + 1)
+        words, tails, by_one, by_two, total = shared.value
+        row, class_log = TaskContext.get().partitionId() << 36, np.log10(tails.rare)
         for held in batches:
             for batch in blocks(held, "text"):
                 tokens = _Tokens(batch.column(1))
-                key, symbol, count = words.look_up(tokens)
+                key, symbol, count, place = words.find(tokens)
+                word, context = tails.contexts(tokens, symbol, place)
                 before, earlier = _contexts(tokens, symbol, words.size - 1)
                 log = (by_one[before, symbol] + by_two[earlier, symbol] - total[before, earlier]).astype(np.float64) / np.log(10)
                 own = np.log10(np.maximum(count, 0) + 1.0)
                 kind = symbol - words.head
                 tail = (kind >= 0) & (kind < 3)
+                log[tail] += tails.log10(kind[tail], word[tail], context[tail])
+                tail &= word < 0
                 log[tail] += own[tail] - class_log[kind[tail]]
                 sums = [np.bincount(tokens.doc, weights=x, minlength=len(batch)) for x in (count > 0, own, log)]
                 rare = count < 0
