@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accrue.llm.decontaminate import contamination
+from accrue.llm.fim import fill_in_middle, restored
+from accrue.llm.hilbert import pack_along_curve
 from accrue.llm.jaccard import similar_groups
 from accrue.llm.language import fit_profiles, identify
 from accrue.llm.lm import fit, score, vocabulary, word_counts
+from accrue.llm.merkle import document_manifest, siblings
 from accrue.llm.packing import pack, pieces
 from accrue.llm.quality import fit_pooled, picked_labels, pooled, score_pooled, word_vectors
 from accrue.llm.simhash import edited_fingerprints
@@ -23,6 +26,7 @@ from accrue.sources.shared import shared_folder, written
 from accrue.sources.ship import ship_library
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +114,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text", "held_out"), profiles).drop("text")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into prefix, middle and suffix and rearranged, and their texts rebuilt from that."""
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    sha = lambda text: F.sha2(text, 256)
+    rebuilt = restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(rebuilt).alias("restored_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; every third proof is checked against a tampered text."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    made = document_manifest(table(spark, sf_dir, "documents"), tampered=tampered)
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed along a Hilbert curve into sequences of 4096 ids."""
+    return pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)).withColumnRenamed("id", "doc_id")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc_revisits": op2_warc_revisits,
@@ -121,4 +145,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_quality": op9_quality,
     "op10_language": op10_language,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_curve_packing": op13_curve_packing,
 }

@@ -28,6 +28,7 @@ COLUMNS = {
     8: "doc_id n_shingles component_id",
     9: "doc_id held_out score predicted",
     10: "doc_id held_out lang_pred score",
+    13: "doc_id start length ids_crc32 doc_tokens sequence_id offset",
 }
 
 
@@ -40,7 +41,7 @@ def duck():
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM_QUERIES) == [*range(1, 11)]
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM_QUERIES) == [*range(1, 14)]
     assert {*LLM_ORACLE} <= {*LLM_QUERIES}
 
 
@@ -60,7 +61,7 @@ def test_the_other_queries(spark, duck, name):
     assert df.columns[: len(columns)] == columns or {*columns} <= {*df.columns}
     rows = df.collect()
     ids = {r[0] for r in duck.execute("SELECT doc_id FROM documents").fetchall()}
-    assert {r.doc_id for r in rows} == ids and (len(rows) == len(ids) or name.startswith("op5"))
+    assert {r.doc_id for r in rows} == ids and (len(rows) == len(ids) or name.startswith(("op5", "op13")))
     truth = dict(duck.execute("SELECT doc_id, lang FROM documents").fetchall())
     if name.startswith("op10"):
         assert sum(r.lang_pred == truth[r.doc_id] for r in rows if r.held_out) >= 0.97 * sum(r.held_out for r in rows)
