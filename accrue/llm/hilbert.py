@@ -34,6 +34,8 @@ BUCKETS, DIMS, BITS = 64, 4, 15
 RANGE_IDS, LEAST_IDS, LEAST_WAYS = 1 << 25, 1 << 21, 64
 #: Normalisers and the pre-tokenizer after which white space only separates: no id depends on what is beyond it.
 _SEPARATES = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+#: Fixed value of the public vocabulary's format: what its tokens are cut from; none of it matches white space.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _AXES = [f"x{d}" for d in range(DIMS)]
 
 
@@ -45,7 +47,7 @@ class WordEncoder(Encoder):
         told = json.loads(description)
         first = (told.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"]) and not any(c.isspace() for c in t["content"]) for t in told.get("added_tokens", []))
-        splits = first[0].get("type") == "Split" and first[0].get("behavior") == "Removed" and first[0].get("invert") and "\\s]" in first[0]["pattern"].get("Regex", "")
+        splits = first[0].get("type") == "Split" and first[0].get("behavior") == "Removed" and first[0].get("invert") and first[0]["pattern"].get("Regex") == _WORD_PATTERN
         if (told.get("normalizer") or {}).get("normalizers") == _SEPARATES and plain and splits and len(first) == 2 and first[1].get("type") == "ByteLevel" and not first[1]["use_regex"]:
             self.cut = True
         self.end = end
