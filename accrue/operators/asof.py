@@ -25,6 +25,7 @@ class LogSize:
 
     largest: int  # most versions of one key
     bytes: int  # upper estimate in memory, attributes included
+    gaps: bool = False  # whether some version has NULL in an attribute
 
     def fits_broadcast(self, limit: int = BROADCAST_BYTES) -> bool:
         return self.bytes <= limit
@@ -34,13 +35,14 @@ class LogSize:
         return self.fits_broadcast(limit) and self.largest <= versions
 
 
-def measure(log: DataFrame, on: list[str], attributes: list[str]) -> LogSize:
+def measure(log: DataFrame, on: list[str], attributes: list[str], op: str = "op") -> LogSize:
     """One narrow aggregation over the change log."""
     texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in [*on, *attributes]]
     row_bytes = reduce(lambda a, b: a + b, texts) + F.lit(64 + 16 * len(texts))
-    sizes = log.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b"))
-    largest, size = sizes.agg(F.max("n"), F.sum("b")).first()
-    return LogSize(largest or 0, size or 0)
+    gap = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in attributes], F.lit(False)) & (F.col(op) != DELETE)
+    sizes = log.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b"), F.count_if(gap).alias("gaps"))
+    largest, size, gaps = sizes.agg(F.max("n"), F.sum("b"), F.sum("gaps")).first()
+    return LogSize(largest or 0, size or 0, bool(gaps))
 
 
 def asof_join(
@@ -75,7 +77,7 @@ def asof_join(
     if strategy not in ("auto", "interval", "union"):
         raise ValueError(f"strategy must be 'auto', 'interval' or 'union', got {strategy!r}")
     if strategy != "union" and size is None:
-        size = measure(log, on, attributes)
+        size = measure(log, on, attributes, op)
     small = strategy != "union" and size.fits_probe(broadcast_bytes, versions_per_key)
     if strategy == "interval" and not small:
         raise ValueError(f"the change log does not fit strategy 'interval': {size.bytes} bytes, {size.largest} versions of one key")

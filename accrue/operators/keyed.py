@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,22 +22,29 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     ).select("_last.*")
 
 
-def _last_of_both(target: DataFrame, delta: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """One row per key, the delta's last one or else the target's, in one aggregation. NULL keys are equal."""
-    by = [F.col(c) if isinstance(c, str) else c for c in order]
-    both = target.select("*", F.struct(F.lit(0).alias("_side"), *[F.lit(None).alias(f"_{i}") for i in range(len(by))]).alias("_place"))
-    both = both.unionByName(delta.select(*target.columns, F.struct(F.lit(1).alias("_side"), *[c.alias(f"_{i}") for i, c in enumerate(by)]).alias("_place")))
-    return latest_per_key(both, keys, ["_place"]).drop("_place")
+def _others(target: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key the delta has not. NULL keys are equal.
+
+    An anti join: the target is never sorted or aggregated, and not shuffled either where the delta's keys turn out
+    small enough to be broadcast.
+    """
+    found = delta.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return target.join(found, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def upsert(target: DataFrame, delta: DataFrame, keys: list[str], order: list[Column | str] | None = None) -> DataFrame:
-    """Target rows replaced or added to by the delta's last row per key; both have one row per key without ``order``."""
-    return _last_of_both(target, delta, keys, order or [])
+    """Target rows replaced or added to by the delta's last row per key by ``order``.
+
+    The target has one row per key, and without ``order`` the delta too. Only the delta is aggregated.
+    """
+    last = delta.select(*target.columns) if order is None else latest_per_key(delta, keys, order).select(*target.columns)
+    return _others(target, last, keys).unionByName(last)
 
 
 def apply_changes(
     target: DataFrame, changes: DataFrame, keys: list[str], order: list[Column | str], op: str = "op"
 ) -> DataFrame:
     """Upserts and deletes (``op = 'd'``) applied to the target of one row per key, last change per key first."""
-    last = _last_of_both(target.withColumn(op, F.lit("r")), changes, keys, order)
-    return last.where(F.col(op) != DELETE).select(*target.columns)
+    last = latest_per_key(changes, keys, order)
+    return _others(target, last, keys).unionByName(last.where(F.col(op) != DELETE).select(*target.columns))

@@ -3,9 +3,10 @@
 Order of the steps: watermark over all rows, late rows out, family filter, as-of
 join, group by key and period, exact sums. Through the shuffle a fact carries
 the start time of its version instead of the version's texts; versions of one
-key follow each other in time, so the last non-null version of a group is the
-one that began last (a fixed-width maximum, which keeps the hash aggregation),
-and its texts are fetched once per rate line.
+key follow each other in time, so the last non-null value of an attribute is that
+of the version that began last among those that have one (a fixed-width maximum,
+which keeps the hash aggregation), and texts are fetched once per rate line. Where
+every version has all attributes, one maximum serves them all.
 """
 
 from __future__ import annotations
@@ -38,32 +39,35 @@ def line_totals(
 ) -> DataFrame:
     """Sums per (key, group, rate, period) of facts that carry ``version_from``.
 
-    ``enriched_at`` is the newest event time that found a version.
+    ``version_from`` is the newest one; where the facts tell which attributes their version has (``has_...``), also the
+    newest one per attribute, as ``from_...``.
     """
     start = period_start(F.col(model.event_time), period, zone, anchor)
-    found = F.when(F.col(VERSION).isNotNull(), F.col(model.event_time))
+    own = [F.max(F.when(F.col(_has(c)), F.col(VERSION))).alias(_since(c)) for c in model.attributes if _has(c) in enriched.columns]
     return (
         enriched.withColumn("window_start", start)
         .groupBy(*model.groups, "window_start")
-        .agg(
-            *[exact_sum(F.col(c)).alias(total) for c, total in model.measures.items()],
-            F.max(VERSION).alias(VERSION),
-            F.max(found).alias("enriched_at"),
-        )
+        .agg(*[exact_sum(F.col(c)).alias(total) for c, total in model.measures.items()], F.max(VERSION).alias(VERSION), *own)
     )
 
 
+def _has(attribute: str) -> str:
+    return f"_has_{attribute}"
+
+
+def _since(attribute: str) -> str:
+    return f"_from_{attribute}"
+
+
 def with_attributes(totals: DataFrame, log: DataFrame, size: LogSize, model: Model = TAXES) -> DataFrame:
-    """Fetch each line's attributes by (key, start of version)."""
-    names = list(model.attributes)
-    versions = to_intervals(log, [model.key], names, largest=size.largest).select(
-        model.key,
-        F.col("valid_from").alias(VERSION),
-        *[F.col(c).alias(name) for c, name in model.attributes.items()],
-    )
-    if size.fits_broadcast():
-        versions = F.broadcast(versions)
-    return totals.join(versions, [model.key, VERSION], "left")
+    """Fetch each line's attributes by (key, start of version), each by its own start where there are several."""
+    versions = to_intervals(log, [model.key], list(model.attributes), largest=size.largest)
+    lines = totals
+    together = {VERSION: list(model.attributes)} if not size.gaps else {_since(c): [c] for c in model.attributes}
+    for since, names in together.items():
+        found = versions.select(model.key, F.col("valid_from").alias(since), *[F.col(c).alias(model.attributes[c]) for c in names])
+        lines = lines.join(F.broadcast(found) if size.fits_broadcast() else found, [model.key, since], "left")
+    return lines
 
 
 def consolidate(
@@ -95,8 +99,10 @@ def consolidate(
         accepted = released(accepted, model.event_time, wm or watermark(facts, model.event_time, delay))
     needed = [*model.groups, *model.measures, model.event_time]
     size = measure(log, [model.key], list(model.attributes))
+    has = [_has(c) for c in model.attributes] if size.gaps else []
+    told = log.withColumns({_has(c): F.col(c).isNotNull() for c in model.attributes}) if has else log
     enriched = asof_join(
-        accepted.select(*needed), log, [model.key], [], model.event_time, strategy=strategy, size=size, gauge=facts
+        accepted.select(*needed), told, [model.key], has, model.event_time, strategy=strategy, size=size, gauge=facts
     )
     lines = with_attributes(line_totals(enriched, period, zone, model, anchor), log, size, model)
     end = period_end(F.col("window_start"), period, zone, anchor)

@@ -107,6 +107,33 @@ _ITEMS = """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_ord
   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,
   l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1"""
 
+_OF_GAPS = _LOG.replace(
+    "versions AS (",
+    "versions AS (SELECT * REPLACE (CASE WHEN (seq // 10 + seq % 10) % 4 <> 1 THEN name END AS name,"
+    " CASE WHEN (seq // 10 + seq % 10) % 4 <> 2 THEN establishment END AS establishment) FROM (",
+) + ")"
+_SNAPSHOT = _LOG.replace("SELECT * FROM log QUALIFY", "SELECT * FROM log WHERE op = 'r' QUALIFY")
+# micro-batches 0 to 5: the snapshot, facts, updates, facts, deletes, facts; 6 is the end of the input
+_LATE_CHANGES = f"""
+waves AS (SELECT m.*, 2 * ((arr - first) // span) + 1 AS batch
+          FROM marked_a m, (SELECT min(arr) AS first, (max(arr) - min(arr)) // 3 + 1 AS span FROM facts)),
+landed AS (SELECT *, CASE op WHEN 'r' THEN 0 WHEN 'u' THEN 2 ELSE 4 END AS batch FROM log),
+newest AS (SELECT b.batch, CASE WHEN b.batch % 2 = 1 THEN (SELECT max(created_at) FROM waves w WHERE w.batch <= b.batch)
+                                WHEN b.batch > 0 THEN (SELECT max(op_ts) FROM landed l WHERE l.batch <= b.batch) END AS t
+           FROM (SELECT unnest(range(0, 6)) AS batch) b),
+marks AS (SELECT batch, max(t - to_seconds(600)) OVER (ORDER BY batch) AS wm FROM newest),
+out AS (SELECT w.id, any_value(w) AS f, coalesce(min(m.batch), 6) AS released FROM waves w LEFT JOIN marks m ON m.batch >= w.batch AND w.created_at <= m.wm
+        WHERE NOT w.late AND starts_with(w.tax_id, 'RET_') GROUP BY w.id),
+enriched AS (
+  SELECT f.*, l.name, l.establishment FROM out LEFT JOIN landed l ON l.cuit = f.cuit AND l.op_ts <= f.created_at AND l.batch <= released
+  QUALIFY row_number() OVER (PARTITION BY out.id ORDER BY l.op_ts DESC NULLS LAST, l.seq DESC) = 1),
+grouped AS (
+  SELECT cuit, tax_id, {_START["daily"]} AS window_start, tax_rate,
+         arg_max(establishment, created_at) FILTER (WHERE establishment IS NOT NULL) AS establishment,
+         arg_max(name, created_at) FILTER (WHERE name IS NOT NULL) AS merchant_name,
+         CAST(sum(base_tax) AS DECIMAL(18,2)) AS total_base_tax, CAST(sum(tax_amount) AS DECIMAL(18,2)) AS total_tax_amount
+  FROM enriched GROUP BY ALL)"""
+
 ORACLE: dict[str, str] = {
     "family_filter": _with(_FACTS, select="SELECT id, cuit, tax_id, base_tax FROM facts WHERE tax_id LIKE 'RET|_%' ESCAPE '|'"),
     "prefix_count": _with(_FACTS, select="SELECT tax_id, count(*) AS n FROM facts WHERE tax_id LIKE 'PER%' GROUP BY tax_id"),
@@ -230,4 +257,12 @@ SELECT * FROM (
     "replay_idempotent": _lines("daily"),
     "stream_new_checkpoint": _lines("daily"),
     "stream_midnight": _lines("7s_midnight"),
+    "stream_late_changes": _with(_FACTS, _LOG, _marked("a", 600), _LATE_CHANGES, select=f"SELECT *, {_END['daily']} AS window_end FROM grouped"),
+    "stream_idle_inputs": _with(_FACTS, _SNAPSHOT, _lines_cte("a", "daily", where=f"created_at <= {_WM}"), select="SELECT * FROM lines_a"),
+    "last_value_nulls": _with(_FACTS, _OF_GAPS, _lines_cte("a", "monthly"), select="SELECT * FROM lines_a"),
+    "stream_last_value_nulls": _with(_FACTS, _OF_GAPS, _lines_cte("a", "monthly"), select="SELECT * FROM lines_a"),
+    "stream_state": _lines("daily", where=f"created_at <= {_WM}", select=f"""
+SELECT cuit, 'line' AS kind, tax_id, tax_rate, window_start, total_base_tax AS base_tax FROM lines_a WHERE window_end > {_WM} - to_seconds(600)
+UNION ALL SELECT cuit, 'waiting', tax_id, tax_rate, {_START['daily']}, base_tax FROM marked_a
+WHERE NOT late AND starts_with(tax_id, 'RET_') AND created_at > {_WM}"""),
 }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accrue.functions.periods import DEFAULT_ZONE, period_start, with_period
-from accrue.functions.timestamps import to_utc, utc_literal
+from accrue.functions.timestamps import from_epoch, to_utc, utc_literal
 from accrue.operators import quality
 from accrue.operators.asof import VERSION, asof_join
 from accrue.operators.filters import in_family, pending, released
@@ -31,7 +31,7 @@ from accrue.sources.landing import fan_out, land_in_waves
 from accrue.sources.schemas import FACTS, MERCHANT
 from accrue.sources.shared import shared_folder
 from accrue.streaming.keyed_table import KeyedTable
-from accrue.streaming.run import LINES_BY_DAY, Consolidation, run_with_restarts
+from accrue.streaming.run import LINES_BY_DAY, Consolidation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -370,36 +370,37 @@ class _FailsOnce:
         return written
 
 
+def _landed(like: DataFrame, folder: str) -> DataFrame:
+    return like.sparkSession.readStream.schema(like.schema).parquet(folder)
+
+
 def _stream(spark, sf, waves: int, folder: str, run: str, target, period: str = "daily", **options) -> Consolidation:
     """Land the facts wave by wave; after each, start the query from its checkpoint until it is done."""
     facts, log = sample.facts(spark, sf), sample.changelog(spark, sf)
     ticks = itertools.count(0, 10)
     job = Consolidation(
-        spark, f"{folder}/state-{run}", target, period, delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)), **options
+        spark, f"{folder}/checkpoint-{run}", target, period, delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)), **options
     )
     inbox, changes = f"{folder}/facts-{run}", f"{folder}/changes-{run}"
     log.write.parquet(changes)
-
-    def start():
-        return job.start(
-            spark.readStream.schema(facts.schema).parquet(inbox),
-            spark.readStream.schema(log.schema).parquet(changes),
-            f"{folder}/checkpoint-{run}",
-            trigger=None,
-        )
-
     for _ in land_in_waves(facts, inbox, waves, "arr"):
-        run_with_restarts(start, attempts=3, delay=0)
+        job.catch_up(_landed(facts, inbox), _landed(log, changes), attempts=3, delay=0)
     return job
 
 
+def _finished(job: Consolidation, target: KeyedTable) -> DataFrame:
+    job.finish(attempts=3, delay=0)
+    return target.read()
+
+
 def _target(spark, folder: str) -> KeyedTable:
     return KeyedTable(spark, f"{folder}/lines", LINE_KEYS, LINES_BY_DAY)
 
 
 def stream_equals_batch(spark, sf):
     folder = shared_folder(spark, "stream")
-    return _stream(spark, sf, 4, folder, "a", _target(spark, folder)).lines(flush=True)
+    target = _target(spark, folder)
+    return _finished(_stream(spark, sf, 4, folder, "a", target), target)
 
 
 def stream_live_target(spark, sf):
@@ -422,21 +423,104 @@ def restart_from_scratch(spark, sf):
 def replay_idempotent(spark, sf):
     """The target fails after a write; the micro-batch is replayed from the checkpoint."""
     folder = shared_folder(spark, "replay")
-    return _stream(spark, sf, 3, folder, "a", _FailsOnce(_target(spark, folder), at=2)).lines(flush=True)
+    target = _target(spark, folder)
+    return _finished(_stream(spark, sf, 3, folder, "a", _FailsOnce(target, at=2)), target)
 
 
 def stream_new_checkpoint(spark, sf):
-    """A second cold run beside the first, with its own state and checkpoint and the same target."""
+    """A second cold run beside the first, with its own checkpoint and the same target."""
     folder = shared_folder(spark, "anew")
     target = _target(spark, folder)
     _stream(spark, sf, 1, folder, "a", target)
-    return _stream(spark, sf, 2, folder, "b", target).lines(flush=True)
+    return _finished(_stream(spark, sf, 2, folder, "b", target), target)
 
 
 def stream_midnight(spark, sf):
     """Periods counted from each local midnight."""
     folder = shared_folder(spark, "midnight")
-    return _stream(spark, sf, 2, folder, "a", _target(spark, folder), "7s", anchor="midnight", strict_zone=True).lines(flush=True)
+    target = _target(spark, folder)
+    return _finished(_stream(spark, sf, 2, folder, "a", target, "7s", anchor="midnight", strict_zone=True, shards=3), target)
+
+
+def stream_late_changes(spark, sf):
+    """The change log lands between the waves of facts, much of it behind facts that are out by then: those it leaves alone."""
+    folder = shared_folder(spark, "late")
+    target, facts, log = _target(spark, folder), sample.facts(spark, sf), sample.changelog(spark, sf)
+    ticks = itertools.count(0, 10)
+    job = Consolidation(spark, f"{folder}/checkpoint", target, "daily", delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)))
+    for inbox, rows in ((f"{folder}/facts", facts), (f"{folder}/changes", log)):
+        rows.limit(0).write.parquet(inbox)
+    streams = _landed(facts, f"{folder}/facts"), _landed(log, f"{folder}/changes")
+    waves = land_in_waves(facts, f"{folder}/facts", 3, "arr")
+    for ops in (["r"], ["u"], ["d"]):
+        log.where(F.col("op").isin(ops)).write.mode("append").parquet(f"{folder}/changes")
+        job.catch_up(*streams, attempts=1)
+        next(waves)
+        job.catch_up(*streams, attempts=1)
+    return _finished(job, target)
+
+
+def stream_idle_inputs(spark, sf):
+    """No record comes after the facts: heartbeats find the change log idle before the facts are, which releases them."""
+    folder = shared_folder(spark, "idle")
+    target, facts, log = _target(spark, folder), sample.facts(spark, sf), sample.changelog(spark, sf)
+    ticks = itertools.count(0, 1)
+    job = Consolidation(
+        spark, f"{folder}/checkpoint", target, "daily", delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)), heartbeat=True
+    )
+    facts.limit(0).write.parquet(f"{folder}/facts")
+    early = log.where(F.col("op_ts") < utc_literal(datetime(2024, 1, 3)))
+    early.write.parquet(f"{folder}/changes")
+    streams = _landed(facts, f"{folder}/facts"), _landed(log, f"{folder}/changes")
+    job.catch_up(*streams, attempts=1)
+    facts.write.mode("append").parquet(f"{folder}/facts")
+    # both active; then heartbeats alone: the change log is idle one batch before the facts, after which nothing moves
+    for _ in range(4):
+        job.catch_up(*streams, attempts=1)
+    return target.read()
+
+
+def _gaps(spark, sf) -> DataFrame:
+    """The change log with attributes missing here and there, each by itself."""
+    log = sample.changelog(spark, sf)
+    number = F.col("seq") % 10
+    key = F.floor(F.col("seq") / 10)
+    return log.withColumns({
+        "name": F.when((key + number) % 4 != 1, F.col("name")),
+        "establishment": F.when((key + number) % 4 != 2, F.col("establishment")),
+    })
+
+
+def last_value_nulls(spark, sf):
+    """Attributes missing in some versions: each column of a line keeps its own last value."""
+    return consolidate(sample.facts(spark, sf), _gaps(spark, sf), "monthly", delay=DELAY, model=MODEL)
+
+
+def stream_last_value_nulls(spark, sf):
+    """The same, live."""
+    folder = shared_folder(spark, "gaps")
+    target, facts, log = _target(spark, folder), sample.facts(spark, sf), _gaps(spark, sf)
+    ticks = itertools.count(0, 10)
+    job = Consolidation(spark, f"{folder}/checkpoint", target, "monthly", delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)))
+    log.write.parquet(f"{folder}/changes")
+    for _ in land_in_waves(facts, f"{folder}/facts", 2, "arr"):
+        job.catch_up(_landed(facts, f"{folder}/facts"), _landed(log, f"{folder}/changes"), attempts=1)
+    return _finished(job, target)
+
+
+def stream_state(spark, sf):
+    """What is left in the state when the input has paused: waiting facts, and totals of periods that a fact may still reach."""
+    folder = shared_folder(spark, "state")
+    job = _stream(spark, sf, 3, folder, "a", _target(spark, folder))
+    waiting = job.state().select("key", F.explode("waiting").alias("x")).select("key", F.lit("waiting").alias("kind"), "x.line", "x.start", F.col("x.m0").alias("base"))
+    lines = job.state().select("key", F.explode("lines").alias("x")).select("key", F.lit("line").alias("kind"), "x.line", "x.start", F.col("x.m0").alias("base"))
+    told = F.from_json("line", "tax_id string, tax_rate decimal(5,2)")
+    held = waiting.unionByName(lines).select("key", "kind", told.alias("line"), "start", "base")
+    return held.select(
+        F.col("key").alias("cuit"), "kind", "line.tax_id", "line.tax_rate",
+        from_epoch(F.floor(F.col("start") / 1_000_000)).alias("window_start"),
+        (F.col("base").cast("decimal(20,0)") * F.expr("0.01BD")).cast("decimal(18,2)").alias("base_tax"),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -495,4 +579,9 @@ QUERIES: dict[str, Query] = {
     "replay_idempotent": replay_idempotent,
     "stream_new_checkpoint": stream_new_checkpoint,
     "stream_midnight": stream_midnight,
+    "stream_late_changes": stream_late_changes,
+    "stream_idle_inputs": stream_idle_inputs,
+    "last_value_nulls": last_value_nulls,
+    "stream_last_value_nulls": stream_last_value_nulls,
+    "stream_state": stream_state,
 }

@@ -15,10 +15,15 @@ ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, 16 << 20
 
 
 def ship_library(spark: SparkSession) -> None:
-    """Send the library's source files to the executors, once per application, and keep Arrow batches of texts small."""
+    """Send the library to the executors and keep Arrow batches of texts small."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ROWS_PER_BATCH:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
+    send_library(spark)
+
+
+def send_library(spark: SparkSession) -> None:
+    """Send the library's source files to the executors, once per application."""
     application = spark.sparkContext.applicationId
     if application in _SENT:
         return

@@ -1,5 +1,17 @@
 from accrue.streaming.keyed_table import KeyedTable, merge_into
-from accrue.streaming.run import TRIGGER, Consolidation, StateMismatch, run_with_restarts
+from accrue.streaming.admission import Admission, StateMismatch
+from accrue.streaming.live import live_lines
+from accrue.streaming.run import TRIGGER, Consolidation, run_with_restarts
 from accrue.streaming.watermarks import Progress
 
-__all__ = ["TRIGGER", "Consolidation", "KeyedTable", "Progress", "StateMismatch", "merge_into", "run_with_restarts"]
+__all__ = [
+    "TRIGGER",
+    "Admission",
+    "Consolidation",
+    "KeyedTable",
+    "Progress",
+    "StateMismatch",
+    "live_lines",
+    "merge_into",
+    "run_with_restarts",
+]

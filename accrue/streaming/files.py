@@ -53,6 +53,17 @@ class Records:
             raise OSError(f"record {number} exists already in {self._folder}")
         self.delete(f"{number - KEPT:012d}.json")
 
+    def make(self, path: str) -> None:
+        """A folder, if it is not there."""
+        self._fs.mkdirs(self._path(path))
+
+    def move(self, path: str, to: str) -> None:
+        """Show a written folder at its place, as a whole."""
+        place = self._path(to)
+        self._fs.mkdirs(place.getParent())
+        if not self._fs.rename(self._path(path), place):
+            raise OSError(f"{to} exists already, or cannot be written")
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._file(name), True)
 

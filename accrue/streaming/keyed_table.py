@@ -139,5 +139,5 @@ def merge_into(delta: DataFrame, table: str, keys: list[str]) -> None:
     """The same upsert on a table of a catalog that supports MERGE (Delta, Iceberg, ...)."""
     same = F.lit(True)
     for key in keys:
-        same = same & (F.col(f"{table}.{key}") == F.col(f"delta.{key}"))
+        same = same & F.col(f"{table}.{key}").eqNullSafe(F.col(f"delta.{key}"))
     delta.alias("delta").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()

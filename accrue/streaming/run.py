@@ -1,11 +1,8 @@
-"""The consolidation as a streaming job.
-
-One query over facts and dimension changes. Each micro-batch drops late facts,
-holds back those the watermark has not passed, joins the released ones to the
-change log as it is now (decided once: later changes never touch them), adds
-their sums to the totals of the batch before and upserts the absolute totals.
-Everything a batch writes is replaced when the batch is replayed, and it starts
-only from what the batch before it left.
+"""The consolidation as a streaming job of two queries.
+
+The first admits what both inputs deliver (``admission``), the second joins, sums and upserts (``live``); its state is
+Spark's own, in RocksDB. Both keep their places in one checkpoint folder. The target gets the absolute totals of the lines
+a micro-batch touched, so writing a micro-batch again changes nothing.
 """
 
 from __future__ import annotations
@@ -13,48 +10,40 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from accrue.functions.aggregates import exact_sum
-from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, check_fixed_offset, parse_period, period_end, period_start
-from accrue.functions.timestamps import to_utc
-from accrue.operators.asof import asof_join, measure
-from accrue.operators.filters import pending, released
-from accrue.plans.consolidate import DELAY_SECONDS, line_totals, on_time_facts, with_attributes
+from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, check_fixed_offset, parse_period
+from accrue.plans.consolidate import DELAY_SECONDS
 from accrue.plans.model import TAXES, Model
+from accrue.sources.ship import send_library
+from accrue.streaming.admission import IDLE_SECONDS, Admission, StateMismatch
 from accrue.streaming.files import Records
-from accrue.streaming.keyed_table import KeyedTable
+from accrue.streaming.live import live_lines
 from accrue.streaming.watermarks import Progress
 
 TRIGGER = "10 seconds"
-IDLE_SECONDS = 2.0
-CLEAN_EVERY = 16  # batches between two removals of row folders no longer in force
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 LINES_BY_DAY = "CAST(window_start AS DATE)"
 
 
-class StateMismatch(RuntimeError):
-    """State and checkpoint do not belong together."""
-
-
 class Consolidation:
-    """State and micro-batch function of the streaming consolidation.
+    """``checkpoint`` is a folder on storage all executors share; a fresh one is a cold start.
 
-    ``state`` is a folder on storage all executors share; a fresh folder is a cold
-    start. ``target`` receives the absolute rate lines of every batch; anything
-    with ``upsert(lines, token)`` will do. ``emit='eager'`` skips the hold-back.
+    ``target`` receives the absolute rate lines of every micro-batch; anything with ``upsert(lines, token)`` will do.
+    ``emit='eager'`` skips the hold-back. ``heartbeat`` lets batches go on without records, so that an idle input is
+    found out; it is part of the checkpoint, as ``shards`` is (see ``live_lines``).
     """
 
     def __init__(
         self,
         spark: SparkSession,
-        state: str,
-        target: KeyedTable,
+        checkpoint: str,
+        target,
         period: str | Period = DEFAULT_PERIOD,
         zone: str = DEFAULT_ZONE,
         delay: float = DELAY_SECONDS,
@@ -64,172 +53,75 @@ class Consolidation:
         clock: Callable[[], float] = time.time,
         anchor: str = "epoch",
         strict_zone: bool = False,
+        heartbeat: bool = False,
+        shards: int = 1,
     ):
+        if not checkpoint:
+            raise ValueError("a checkpoint location is required: without it a restart would lose its place")
         if emit not in ("watermark", "eager"):
             raise ValueError(f"emit must be 'watermark' or 'eager', got {emit!r}")
-        self.spark, self.state, self.target = spark, state.rstrip("/"), target
+        self.spark, self.checkpoint, self.target = spark, checkpoint.rstrip("/"), target
         self.period, self.zone = parse_period(period), zone
-        self.delay, self.idle_after, self.model = delay, idle_after, model
-        self.emit, self.clock, self.anchor = emit, clock, anchor
+        self.model, self.emit, self.anchor = model, emit, anchor
+        self.heartbeat, self.shards = heartbeat, shards
         if strict_zone:
             check_fixed_offset(zone)
-        self._progress = Records(spark, f"{self.state}/progress")
-        self._totals = KeyedTable(spark, f"{self.state}/totals", model.line_keys, LINES_BY_DAY)
-        self._log_schema = None
+        self.admission = Admission(spark, self.checkpoint, delay, idle_after, model, clock)
         self._run_id = self._identify()
 
     def _identify(self) -> str:
-        run = Records(self.spark, f"{self.state}/run")
+        run = Records(self.spark, f"{self.checkpoint}/run")
         if run.last() is None:
             run.put(0, {"id": uuid.uuid4().hex})
         return run.get(0)["id"]
 
-    # -- the query -------------------------------------------------------------
+    def admit(self, facts: DataFrame, changes: DataFrame, trigger: str | None = TRIGGER) -> StreamingQuery:
+        """Start the first query; ``trigger=None`` takes all there is now and stops."""
+        rows = self.admission.tagged(facts, changes, self.heartbeat)
+        return self.admission.start(rows, f"{self.checkpoint}/inputs", trigger)
 
-    def start(
-        self, facts: DataFrame, changes: DataFrame, checkpoint: str, trigger: str | None = TRIGGER
-    ) -> StreamingQuery:
-        """Start the query; ``trigger=None`` takes all there is now and stops."""
-        if not checkpoint:
-            raise ValueError("a checkpoint location is required: without it a restart would lose its place")
+    def consolidate(self, trigger: str | None = TRIGGER) -> StreamingQuery:
+        """Start the second query, once there is a first one."""
+        send_library(self.spark)
+        lines = live_lines(self.admission.read(), self.period, self.zone, self.model, self.anchor, self.emit == "eager", self.shards, self.admission.delay)
         how = {"availableNow": True} if trigger is None else {"processingTime": trigger}
-        return (
-            self.tagged(facts, changes)
-            .writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**how)
-            .start()
-        )
-
-    def tagged(self, facts: DataFrame, changes: DataFrame) -> DataFrame:
-        """Both inputs as one: columns ``fact`` and ``change``, one of them NULL."""
-        m = self.model
-        fact_columns = list(dict.fromkeys([*m.arrival, *m.groups, *m.measures, m.event_time]))
-        change_columns = [m.key, *m.attributes, "op", "op_ts", "seq"]
-        left = to_utc(facts.select(*fact_columns), m.event_time).select(F.struct(*fact_columns).alias("fact"))
-        right = to_utc(changes.select(*change_columns), "op_ts").select(F.struct(*change_columns).alias("change"))
-        return left.unionByName(right, allowMissingColumns=True)
-
-    # -- one micro-batch -------------------------------------------------------
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        m = self.model
-        # a stream's session starts without adaptive execution; the batch inside is plain DataFrame work
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
-        batch = batch.persist()
-        buffer = log = None
+        before = self.spark.conf.get(STATE_STORE, None)
+        self.spark.conf.set(STATE_STORE, ROCKS_DB)
+        try:
+            writer = lines.writeStream.outputMode("update").foreachBatch(self._put)
+            return writer.option("checkpointLocation", f"{self.checkpoint}/lines").trigger(**how).start()
+        finally:
+            if before is None:
+                self.spark.conf.unset(STATE_STORE)
+            else:
+                self.spark.conf.set(STATE_STORE, before)
+
+    def _put(self, lines: DataFrame, batch_id: int) -> None:
+        # the state moves on with every run over its rows, so there is one, and all of it
+        lines = lines.persist()
         try:
-            self._fits(batch_id)
-            progress, before, changed = self._advance(batch, batch_id)
-            if changed or not self._progress.exists(f"{self.state}/log"):
-                changes = batch.where(F.col("change").isNotNull()).select("change.*")
-                changes.write.mode("overwrite").parquet(f"{self.state}/log/batch_id={batch_id}")
-            facts = batch.where(F.col("fact").isNotNull()).select("fact.*")
-            buffer = on_time_facts(facts, m, self.delay, seen=before.newest_fact)
-            held = self._held(batch_id - 1)
-            buffer = (buffer if held is None else buffer.unionByName(held)).persist()
-            until = datetime.max if self.emit == "eager" else progress.watermark
-            waiting = pending(buffer, m.event_time, until)
-            waiting.write.mode("overwrite").parquet(f"{self.state}/pending/batch_id={batch_id}")
-            # a replay needs the batch before, nothing older
-            Records(self.spark, f"{self.state}/pending").delete(f"batch_id={batch_id - 2}")
-
-            facts = released(buffer, m.event_time, until)
-            touched = self._keyed(facts).select(*m.line_keys).distinct()
-            parts = [str(row[0]) for row in touched.select(F.expr(LINES_BY_DAY)).distinct().collect()]
-            if parts:
-                # of the log only what this batch asks for
-                log = self._log(batch_id).join(facts.select(m.key).distinct(), m.key, "left_semi").persist()
-                delta = self._enriched_totals(facts, log)
-                old = self._totals.read(parts, touched, before=str(batch_id))
-                written = self._totals.upsert(self._added(old, delta), token=str(batch_id), unique=True)
-                self.target.upsert(self._lines(written), token=f"{self._run_id}/{batch_id}")
-                if batch_id % CLEAN_EVERY == 0:
-                    self._totals.vacuum()
+            if lines.count():
+                self.target.upsert(lines, token=f"{self._run_id}/{batch_id}")
         finally:
-            for held in (batch, buffer, log):
-                if held is not None:
-                    held.unpersist()
-
-    def _fits(self, batch_id: int) -> None:
-        """Raise when the state belongs to another checkpoint: it would count facts twice or not at all."""
-        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        last = self._progress.last()
-        owner = None if last is None else self._progress.get(last).get("query")
-        if query and owner and query != owner:
-            raise StateMismatch(f"{self.state} is the state of another checkpoint (query {owner}, not {query})")
-        if batch_id not in ((0,) if last is None else (last, last + 1)):
-            raise StateMismatch(f"{self.state} holds batches up to {last}, the checkpoint goes on with {batch_id}")
-
-    def _advance(self, batch: DataFrame, batch_id: int) -> tuple[Progress, Progress, bool]:
-        """(progress of this batch, of the batch before, whether there are dimension changes)."""
-        earlier = self._progress.get(batch_id - 1)
-        before = Progress() if earlier is None else Progress.from_json(earlier["progress"])
-        record = self._progress.get(batch_id)  # there already in a replay: the clock must not decide anew
-        if record is None:
-            newest = batch.agg(F.max(f"fact.{self.model.event_time}"), F.max("change.op_ts")).first()
-            progress = before.advance(self.clock(), newest[0], newest[1], self.delay, self.idle_after)
-            query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-            record = {"progress": progress.to_json(), "changed": newest[1] is not None, "query": query}
-            self._progress.put(batch_id, record)
-        return Progress.from_json(record["progress"]), before, record["changed"]
-
-    def _log(self, batch_id: int) -> DataFrame:
-        if self._log_schema is None:
-            self._log_schema = self.spark.read.parquet(f"{self.state}/log").schema
-        log = self.spark.read.schema(self._log_schema).parquet(f"{self.state}/log")
-        return log.where(F.col("batch_id") <= batch_id).drop("batch_id")
-
-    def _held(self, batch_id: int) -> DataFrame | None:
-        folder = f"{self.state}/pending/batch_id={batch_id}"
-        return self.spark.read.parquet(folder) if self._progress.exists(folder) else None
-
-    def _keyed(self, facts: DataFrame) -> DataFrame:
-        start = period_start(F.col(self.model.event_time), self.period, self.zone, self.anchor)
-        return facts.withColumn("window_start", start)
-
-    def _enriched_totals(self, facts: DataFrame, log: DataFrame) -> DataFrame:
-        m = self.model
-        size = measure(log, [m.key], list(m.attributes))
-        enriched = asof_join(facts, log, [m.key], [], m.event_time, size=size)
-        totals = with_attributes(line_totals(enriched, self.period, self.zone, m, self.anchor), log, size, m)
-        return totals.select(*m.line_keys, *m.attributes.values(), *m.measures.values(), "enriched_at")
-
-    def _added(self, old: DataFrame | None, delta: DataFrame) -> DataFrame:
-        """Old totals of the delta's keys plus the delta; texts of the newest enriched fact."""
-        m = self.model
-        if old is None:
-            return delta
-        texts = F.struct(*m.attributes.values())
-        found = F.when(F.col("enriched_at").isNotNull(), F.struct("enriched_at", "_turn"))
-        return (
-            old.withColumn("_turn", F.lit(0))
-            .unionByName(delta.withColumn("_turn", F.lit(1)))
-            .groupBy(*m.line_keys)
-            .agg(
-                *[exact_sum(F.col(total)).alias(total) for total in m.measures.values()],
-                F.max_by(texts, found).alias("_texts"),
-                F.max("enriched_at").alias("enriched_at"),
-            )
-            .select(*m.line_keys, "_texts.*", *m.measures.values(), "enriched_at")
-        )
-
-    def _lines(self, totals: DataFrame) -> DataFrame:
-        end = period_end(F.col("window_start"), self.period, self.zone, self.anchor)
-        return totals.withColumn("window_end", end).select(*self.model.line_columns)
-
-    # -- results ---------------------------------------------------------------
+            lines.unpersist()
+
+    def catch_up(self, facts: DataFrame, changes: DataFrame, attempts: int | None = None, delay: float = 1.0) -> None:
+        """Admit all that is there now and bring the target up to date, starting again after failures."""
+        run_with_restarts(lambda: self.admit(facts, changes, None), attempts, delay)
+        run_with_restarts(lambda: self.consolidate(None), attempts, delay)
+
+    def finish(self, attempts: int | None = None, delay: float = 1.0) -> None:
+        """The end of a bounded input: facts that still wait are released."""
+        self.admission.finish()
+        run_with_restarts(lambda: self.consolidate(None), attempts, delay)
 
     def progress(self) -> Progress | None:
-        last = self._progress.last()
-        return None if last is None else Progress.from_json(self._progress.get(last)["progress"])
-
-    def lines(self, flush: bool = False) -> DataFrame | None:
-        """Rate lines so far; ``flush`` counts the held-back facts too (end of a bounded input)."""
-        totals, last = self._totals.read(), self._progress.last()
-        if flush and last is not None:
-            totals = self._added(totals, self._enriched_totals(self._held(last), self._log(last)))
-        return None if totals is None else self._lines(totals)
+        return self.admission.progress()
+
+    def state(self) -> DataFrame:
+        """What the second query's state holds now, by Spark's state data source: a row per key and shard."""
+        held = self.spark.read.format("statestore").option("stateVarName", "key").load(f"{self.checkpoint}/lines")
+        return held.select("key.*", "value.*")
 
 
 def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int | None = None, delay: float = 1.0) -> None:

@@ -121,6 +121,14 @@ def test_a_null_never_replaces_a_name(facts_of, log_of):
     assert line_set(consolidate(facts, log)) == {(PLATA, "RET_IVA", "3.50", M, "P", "3.00", "0.11")}
 
 
+@pytest.mark.parametrize("strategy", ["interval", "union"])
+def test_each_column_keeps_its_own_last_value(facts_of, log_of, strategy):
+    """(n1, e1), then (n2, none), then (none, none), a fact in each."""
+    facts = facts_of(*[fact(i, PLATA, "RET_IVA", "5.00", "1.00", "0.05", s(10 * i)) for i in (1, 2, 3)])
+    log = log_of((PLATA, "n1", "e1", "r", s(5), 1), (PLATA, "n2", None, "u", s(15), 2), (PLATA, None, None, "u", s(25), 3))
+    assert [(r.merchant_name, r.establishment) for r in consolidate(facts, log, strategy=strategy).collect()] == [("n2", "e1")]
+
+
 def test_unflushed_rows_wait_for_the_watermark(facts_of, log_of):
     facts = facts_of(
         fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(0)),

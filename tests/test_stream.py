@@ -9,6 +9,7 @@ from accrue.operators.quality import differences
 from accrue.plans import TAXES, consolidate
 from accrue.sources.schemas import CHANGES, FACTS
 from accrue.streaming import TRIGGER, Consolidation, KeyedTable, Progress, StateMismatch, run_with_restarts
+from accrue.streaming.admission import micros
 from conftest import fact, line_set
 
 M = datetime(2024, 5, 6, 15, 0, 0)
@@ -25,22 +26,26 @@ def tick(id, at):
 
 
 class Run:
-    """Micro-batches fed by hand; the clock moves ``pace`` seconds per batch."""
+    """Micro-batches admitted by hand, and the second query run to its end after each; the clock moves ``pace`` seconds per batch."""
 
     def __init__(self, spark, folder, facts_of, log_of, pace=10.0, **options):
         self.spark, self.facts_of, self.log_of = spark, facts_of, log_of
         self.target = KeyedTable(spark, f"{folder}/target", KEYS)
         self.now, self.pace, self.number = 0.0, pace, 0
-        self.job = Consolidation(spark, f"{folder}/state", self.target, clock=lambda: self.now, **options)
+        self.job = Consolidation(spark, f"{folder}/checkpoint", self.target, clock=lambda: self.now, **options)
 
-    def feed(self, *facts, changes=()):
-        batch = self.job.tagged(self.facts_of(*facts), self.log_of(*changes))
-        self.job.process(batch, self.number)
+    def admit(self, *facts, changes=()):
+        batch = self.job.admission.tagged(self.facts_of(*facts), self.log_of(*changes))
+        self.job.admission.process(batch, self.number)
         self.number += 1
         self.now += self.pace
+
+    def feed(self, *facts, changes=()):
+        self.admit(*facts, changes=changes)
         return self.lines()
 
     def lines(self):
+        self.job.consolidate(None).awaitTermination()
         df = self.target.read()
         return set() if df is None else line_set(df)
 
@@ -52,7 +57,7 @@ def run(spark, tmp_path, facts_of, log_of):
 
 def test_a_line_grows_live(run):
     r = run()
-    r.feed()  # an empty batch starts the clock, so the change input is idle from here on
+    r.admit()  # an empty batch starts the clock, so the change input is idle from here on
     assert r.feed(fact(1, NOBODY, "RET_IVA", "5.00", "1000.00", "50.00", s(10))) == set()
     assert r.feed(tick(2, s(15))) == {(NOBODY, "RET_IVA", "5.00", M, None, "1000.00", "50.00")}
     r.feed(fact(3, NOBODY, "RET_IVA", "5.00", "500.00", "25.00", s(13)))
@@ -93,6 +98,14 @@ def test_enrichment_is_decided_once(run):
     assert r.feed(tick(7, s(90))) == second | {(ANDINO, "RET_IVA", "2.50", s(60), None, "800.00", "20.00")}
 
 
+def test_each_column_of_a_line_keeps_its_own_last_value(run):
+    r = run()
+    r.admit(changes=[(PLATA, "Plata", "10001", "r", s(0), 1), (PLATA, None, "10999", "u", s(20), 2)])
+    r.admit(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10)), fact(2, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(30)))
+    r.feed(tick(3, s(100)))
+    assert [(x.merchant_name, x.establishment) for x in r.target.read().collect()] == [("Plata", "10999")]
+
+
 def test_an_enriched_line_keeps_its_name_when_bare_facts_follow(run):
     r = run()
     r.feed(changes=[(PLATA, "Plata", "10001", "r", s(0), 1)])
@@ -107,16 +120,28 @@ def test_an_active_dimension_holds_facts_back_and_an_idle_one_does_not(run):
     change = (PLATA, "Plata", "10001", "r", s(0), 1)
     rows = (fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10)), tick(2, s(60)))
     active = run("active", pace=1.0)
-    assert active.feed(*rows, changes=[change]) == set()  # watermark s(0) - 5 s
-    assert active.feed(tick(3, s(61))) == set()
+    active.admit(*rows, changes=[change])  # watermark s(0) - 5 s
+    active.admit(tick(3, s(61)))
     assert active.feed(tick(4, s(62))) == set()
     assert len(active.feed(tick(5, s(63)))) == 1  # silent for more than 2 s
     assert active.job.progress().watermark == s(58)
     idle = run("idle")
-    idle.feed(*rows, changes=[change])
+    idle.admit(*rows, changes=[change])
     assert len(idle.feed(tick(3, s(61)))) == 1
 
 
+def test_an_idle_dimension_is_found_out_without_records(run):
+    r = run("beats", pace=1.0)
+    r.admit(changes=[(PLATA, "Plata", "10001", "r", s(0), 1)])
+    r.admit(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10)), tick(2, s(60)))
+    assert r.feed() == set()  # heartbeats alone from here on
+    assert len(r.feed()) == 1  # the dimension is idle, the facts are not yet
+    both = run("both", pace=3.0)
+    both.admit(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10)), tick(2, s(60)), changes=[(PLATA, "Plata", "10001", "r", s(0), 1)])
+    both.admit()
+    assert both.feed() == set()  # both went idle at once: nothing moves
+
+
 def test_progress_rules():
     a = Progress().advance(0, s(10), None, 5, 2)
     assert a.watermark is None  # the dimension may still deliver
@@ -134,18 +159,31 @@ def test_progress_rules():
 def test_replaying_a_batch_changes_nothing(run):
     r = run()
     rows = [fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10)), tick(2, s(20))]
-    r.feed(changes=[(PLATA, "Plata", "10001", "r", s(0), 1)])
+    r.admit(changes=[(PLATA, "Plata", "10001", "r", s(0), 1)])
     before = r.feed(*rows)
-    held = r.job._held(1).count()
     r.now += 1000
     r.number = 1
     assert r.feed(*rows) == before
-    assert r.job._held(1).count() == held
     assert r.feed(fact(3, PLATA, "RET_IVA", "3.50", "2.00", "0.07", s(21)), tick(4, s(40))) == {
         (PLATA, "RET_IVA", "3.50", M, "Plata", "3.00", "0.11")
     }
 
 
+def test_a_replay_that_was_cut_off_admits_what_was_decided(run):
+    r = run()
+    r.admit()
+    change = (PLATA, "Plata", "10001", "r", s(0), 1)
+    batch = r.job.admission.tagged(r.facts_of(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10)), tick(2, s(20))), r.log_of(change))
+    admission = r.job.admission
+    admission._advance(batch, 1)  # recorded, and then the driver was lost
+    decided = admission.progress()
+    r.now += 1000
+    admission.process(batch, 1)
+    assert admission.progress() == decided
+    r.number = 2
+    assert len(r.feed(tick(3, s(60)))) == 1
+
+
 def random_history(seed):
     rng = random.Random(seed)
     keys = [PLATA, ANDINO, SUR, NOBODY]
@@ -158,19 +196,41 @@ def random_history(seed):
     return facts, changes
 
 
-@pytest.mark.parametrize("cuts", [[40], [3, 4, 100]])
-def test_any_split_into_micro_batches_gives_the_batch_result(spark, run, facts_of, log_of, cuts):
+@pytest.mark.parametrize("cuts, shards", [([40, 41], 3)])
+def test_any_split_into_micro_batches_gives_the_batch_result(spark, run, facts_of, log_of, cuts, shards):
     facts, changes = random_history(len(cuts))
-    r = run(pace=10.0)
-    r.feed(changes=changes)
+    r = run(pace=10.0, shards=shards)
+    r.admit(changes=changes)
     for a, b in zip([0, *cuts], [*cuts, len(facts)]):
         r.feed(*facts[a:b])
-    expected = consolidate(facts_of(*facts), log_of(*changes))
-    got = r.job.lines(flush=True)
-    assert got.columns == expected.columns and got.count() > 10
-    assert differences(expected, got, KEYS).collect() == []
     unflushed = consolidate(facts_of(*facts), log_of(*changes), flush=False)
     assert differences(unflushed, r.target.read(), KEYS).collect() == []
+    # the state holds what can still change, and nothing else
+    held = r.job.state().collect()
+    mark = micros(r.job.progress().watermark)
+    assert all(w.at > mark for h in held for w in h.waiting)
+    mark -= 5_000_000
+    assert all(x.end > mark for h in held for x in h.lines)
+    assert all(sum(max(v.at, v.before) <= mark for v in h.versions) <= 1 for h in held)
+    r.job.finish(attempts=1)
+    got, expected = r.target.read(), consolidate(facts_of(*facts), log_of(*changes))
+    assert got.columns == expected.columns and got.count() > 10
+    assert differences(expected, got, KEYS).collect() == []
+    with pytest.raises(StateMismatch, match="finished"):
+        r.admit(*facts[:1])
+
+
+def test_all_admitted_at_once_gives_the_same(spark, run, facts_of, log_of):
+    """The second query lags: it sees changes before the facts that were out before them."""
+    facts, changes = random_history(5)
+    one, other = run("one"), run("other")
+    for r, step in ((one, one.feed), (other, other.admit)):
+        step(changes=changes[:4])
+        step(*facts[:60])
+        step(changes=changes[4:])
+        step(*facts[60:])
+        r.job.finish(attempts=1)
+    assert one.lines() == other.lines() and len(one.lines()) > 10
 
 
 class Flaky:
@@ -196,85 +256,60 @@ def test_outage_restart_and_cold_run(spark, tmp_path, facts_of, log_of):
 
     def job(name, target):
         clock = iter(range(0, 10_000, 10))
-        c = Consolidation(spark, f"{tmp_path}/state-{name}", target, clock=lambda: float(next(clock)))
-
-        def start():
-            return c.start(
-                spark.readStream.schema(FACTS).parquet(f"{tmp_path}/facts"),
-                spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/changes"),
-                f"{tmp_path}/checkpoint-{name}",
-                trigger=None,
-            )
+        return Consolidation(spark, f"{tmp_path}/checkpoint-{name}", target, clock=lambda: float(next(clock)))
 
-        return c, start
+    def catch_up(c):
+        # stopped between the waves; each start goes on from the checkpoint
+        c.catch_up(spark.readStream.schema(FACTS).parquet(f"{tmp_path}/facts"), spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/changes"), attempts=4, delay=0)
 
-    first, start = job("first", Flaky(table, ["before", "after", "after"]))
+    first = job("first", Flaky(table, ["before", "after", "after"]))
     for a, b in ((0, 50), (50, 90), (90, 120)):
         facts_of(*facts[a:b]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/facts")
-        # stopped between the waves; each start goes on from the checkpoint
-        run_with_restarts(start, attempts=4, delay=0)
+        catch_up(first)
     expected = consolidate(facts_of(*facts), log_of(*changes), flush=False)
     after_outage = table.read().collect()
     assert differences(expected, table.read(), KEYS).collect() == []
     assert len(after_outage) == len({tuple(r[k] for k in KEYS) for r in after_outage})
 
-    # a state object made anew finds its place
-    again, _ = job("first", table)
-    assert again.progress() == first.progress()
+    # a job object made anew finds its place
+    assert job("first", table).progress() == first.progress()
 
-    # fresh state and checkpoint, same target
-    _, start = job("second", table)
-    run_with_restarts(start, attempts=1)
+    # fresh checkpoint, same target
+    catch_up(job("second", table))
     assert sorted(map(tuple, table.read().collect()), key=repr) == sorted(map(tuple, after_outage), key=repr)
 
 
-def test_state_and_checkpoint_belong_together(spark, tmp_path, facts_of, log_of):
+def test_the_inputs_place_and_what_was_admitted_belong_together(spark, tmp_path, facts_of, log_of):
     table = KeyedTable(spark, f"{tmp_path}/t", KEYS)
     log_of((PLATA, "P", "1", "r", s(0), 1)).write.parquet(f"{tmp_path}/c")
-    for wave in range(2):
-        facts_of(fact(wave, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10 + wave))).write.mode("append").parquet(f"{tmp_path}/f")
-
-        def start(state, checkpoint):
-            return Consolidation(spark, f"{tmp_path}/{state}", table, emit="eager").start(
-                spark.readStream.schema(FACTS).parquet(f"{tmp_path}/f"),
-                spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/c"),
-                f"{tmp_path}/{checkpoint}",
-                trigger=None,
-            )
-
-        run_with_restarts(lambda: start("state", "checkpoint"), attempts=1)
-    before = sorted(map(tuple, table.read().collect()), key=repr)
+    job = Consolidation(spark, f"{tmp_path}/checkpoint", table, emit="eager")
+
+    def admit(place):
+        facts_of(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10))).write.mode("append").parquet(f"{tmp_path}/f")
+        rows = job.admission.tagged(spark.readStream.schema(FACTS).parquet(f"{tmp_path}/f"), spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/c"))
+        run_with_restarts(lambda: job.admission.start(rows, f"{tmp_path}/{place}", None), attempts=1)
+
+    admit("inputs")
     # facts would be counted twice, or the earlier ones not at all
     with pytest.raises(Exception, match=StateMismatch.__name__):
-        run_with_restarts(lambda: start("state", "another-checkpoint"))
-    facts_of(fact(9, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(30))).write.mode("append").parquet(f"{tmp_path}/f")
-    with pytest.raises(Exception, match=StateMismatch.__name__):
-        run_with_restarts(lambda: start("empty-state", "checkpoint"))
-    assert sorted(map(tuple, table.read().collect()), key=repr) == before
+        admit("other-inputs")
 
 
-def test_a_checkpoint_is_required(run):
+def test_a_checkpoint_is_required(spark):
     assert TRIGGER == "10 seconds"
-    r = run()
     with pytest.raises(ValueError, match="checkpoint"):
-        r.job.start(r.facts_of(), r.log_of(), "")
+        Consolidation(spark, "", None)
 
 
 def test_restarts_give_up_after_the_attempts(spark, tmp_path, facts_of, log_of):
     target = Flaky(KeyedTable(spark, f"{tmp_path}/t", KEYS), ["before"] * 9)
     c = Consolidation(spark, f"{tmp_path}/s", target, emit="eager")
-    facts_of(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10))).write.parquet(f"{tmp_path}/f")
-    log_of((PLATA, "P", "1", "r", s(0), 1)).write.parquet(f"{tmp_path}/c")
+    c.admission.process(c.admission.tagged(facts_of(fact(1, PLATA, "RET_IVA", "3.50", "1.00", "0.04", s(10))), log_of()), 0)
     starts = []
 
     def start():
         starts.append(1)
-        return c.start(
-            spark.readStream.schema(FACTS).parquet(f"{tmp_path}/f"),
-            spark.readStream.schema(CHANGES).parquet(f"{tmp_path}/c"),
-            f"{tmp_path}/cp",
-            trigger=None,
-        )
+        return c.consolidate(None)
 
     with pytest.raises(Exception, match="unreachable"):
         run_with_restarts(start, attempts=2, delay=0)
