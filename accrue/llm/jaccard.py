@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrue.llm.components import components
+from accrue.llm.frequent import most_frequent
 from accrue.llm.words import Words, blocks, counted, list_array, mixed, rolling
 from accrue.sources.shared import discard, written
 
@@ -236,7 +237,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     often = rows.select("text").mapInArrow(lambda it: _frequent(it, size), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    best = often.orderBy(F.desc("n"), "gram").limit(MAX_FREQUENT).toArrow()
+    often = written(often, "frequent")
+    best = most_frequent(often, MAX_FREQUENT, "gram").toArrow()
+    discard(often)
     grams, n = best["gram"].to_numpy().view(np.uint64), best["n"].to_numpy()
     place = np.empty(len(grams), np.uint64)
     place[np.lexsort((grams, n))] = np.arange(len(grams), dtype=np.uint64)
@@ -251,6 +254,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     heads = written(heads.dropDuplicates(["id", "s1", "s2", "n"]).drop("s2"), "heads")
     keys = written(profiles.select("id", "n", "s1", "s2"), "keys")
     discard(profiles)
+    classes = keys.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("class"))
+    # an id that has rows of several sets is one node: it links the classes of its rows
+    differ = keys.where("id IS NOT NULL").groupBy("id").agg(F.min(F.xxhash64("n", "s1", "s2")).alias("low"), F.max(F.xxhash64("n", "s1", "s2")).alias("high"))
+    several = keys.join(differ.where("low != high").select("id"), "id", "left_semi").where("n > 0")
+    own = written(several.join(classes, ["s1", "s2", "n"]).where("id != class").select(F.least("id", "class").alias("a"), F.greatest("id", "class").alias("b")).distinct(), "own")
     sketches = written(heads.select("id", "n", "sketch"), "sketches")
     entries = _listed(heads, percent, longest)
 
@@ -262,14 +270,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         discard(sets, pairs)
         return found
 
-    first = links(_stars(entries, percent))
+    first = links(_stars(entries, percent)).union(own)
     found = components(first.union(links(_candidates(entries, components(first), percent))))
     discard(entries, sketches)
 
-    classes = keys.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("id").alias("class"))
     out = keys.join(classes, ["s1", "s2", "n"], "left")
-    out = out.join(found.withColumnRenamed("node", "class"), "class", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class", "id"))
+    out = out.withColumn("node", F.coalesce("class", "id")).join(found, "node", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "node"))
     groups = written(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "groups")
-    discard(keys)
+    discard(keys, own)
     return groups

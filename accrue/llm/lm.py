@@ -9,7 +9,7 @@ training texts, starting from the same parameters, and Spark averages the parame
 Normalisation is exact and needs one matrix product for all contexts: the score is a sum over the two places, so the
 sum over symbols of exp(score) is exp(first + bias) @ exp(second).T.
 
-Every word of `LEAST` training occurrences has a vector of its own, at any number of them. Outside the head it is a leaf
+Every word of `LEAST` training occurrences has a vector of its own, up to `OWN` words. Outside the head it is a leaf
 of its class's binary tree, in which each inner node divides its probability by a logistic function of the context, so
 that normalisation stays exact. The node's vector is the linear discriminant between the mean contexts below its two
 children, drawn to their common mean where they are rare; Spark adds up the contexts of each word. As context of the
@@ -17,8 +17,8 @@ trees a word stands with its own vector, which a linear map takes from its mean
 words. Rarer and unseen words of a class share its leaf 0, with (c + 1) / (N' + V' + 1) of it each over the training
 words there, so that one place is left for words never seen.
 
-Word counts cover all training texts and stay in Spark. The words with vectors, and the `COMMON` most frequent at least,
-are broadcast, all others are joined by their hash.
+Word counts cover all training texts and stay in Spark. Those of the `COMMON` most frequent words are broadcast, all
+others are joined by their hash; so what the driver holds and broadcasts does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -32,17 +32,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accrue.llm.words import Words, blocks, counted, list_array
+from accrue.llm.frequent import most_frequent
+from accrue.llm.words import Words, blocks, counted, list_array, text_bytes
 from accrue.sources.shared import discard, written
 
 HEAD = 1024
-COMMON = 1 << 18
-LEAST = 10  # training occurrences of a word with its own vector
+COMMON = 1 << 19  # words whose counts are broadcast
+LEAST, OWN = 10, 1 << 17  # training occurrences of a word with its own vector, and how many such words at most
 DRAWN = 30  # occurrences that the common mean counts for
 DIMS = 24
 ROUNDS = 2
 BATCH, NOISE = 2048, 64
-LEAST_STEPS = 60  # a task with fewer batches passes over them again
+STEPS = 60  # of a pass, however many contexts it has
 END_KEY = 0
 _STOP, _COMMA, _OTHER, _END, _BEGIN = range(5)  # after the head words
 _MAX_COUNTED = 1 << 20
@@ -132,10 +133,8 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return written(rows.mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counts")
 
 
-def vocabulary(counts: DataFrame, head: int = HEAD, common: int | None = None) -> Vocabulary:
-    if common is None:
-        common = max(COMMON, counts.where(F.col("n") >= LEAST).count())
-    best = counts.orderBy(F.desc("n"), "key").limit(common).toArrow()
+def vocabulary(counts: DataFrame, head: int = HEAD, common: int = COMMON) -> Vocabulary:
+    best = most_frequent(counts, common).toArrow().sort_by([("n", "descending"), ("key", "ascending")])
     keys, n = best["key"].to_numpy(), best["n"].to_numpy()
     kind = keys & 3
     words = np.flatnonzero(kind != _END)[:head]
@@ -174,7 +173,11 @@ class LogBilinear:
             at += p.size
 
     def fit(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, weight: np.ndarray, seed: int, rate: float = 0.01) -> None:
-        """A pass of noise-contrastive estimation (`LEAST_STEPS` at least); a batch shares its noise symbols, drawn by their shares."""
+        """`STEPS` steps of noise-contrastive estimation, which pass over all contexts (again, where they are few).
+
+        So the number of steps does not depend on how the texts are dealt to tasks, only the size of the batches does. A
+        batch shares its noise symbols, drawn by their shares.
+        """
         rng = np.random.default_rng(seed)
         n, dims = self.parts[0].shape
         order = rng.permutation(len(target))
@@ -185,9 +188,9 @@ class LogBilinear:
         def gathered(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
             return np.stack([np.bincount(at, weights=rows[:, d], minlength=n) for d in range(dims)], axis=1)
 
-        batches = range(0, len(order), BATCH)
-        for step, begin in enumerate([b for _ in range(-(-LEAST_STEPS // max(1, len(batches)))) for b in batches], 1):
-            rows = order[begin : begin + BATCH]
+        size = min(len(order), max(BATCH, -(-len(order) // STEPS)))
+        for step in range(1, STEPS + 1):
+            rows = order[np.arange((step - 1) * size, step * size) % len(order)]
             a, b, w = one[rows], two[rows], target[rows]
             share = weight[rows] / weight[rows].sum()
             noise = np.minimum(np.searchsorted(below, rng.random(NOISE) * below[-1], "right"), n - 2)
@@ -274,6 +277,34 @@ def fit(docs: DataFrame, known: Vocabulary, text: str = "text", rounds: int = RO
 
 
 _PART = 1 << 15
+_SUM = "at long, scale float, sums binary"
+
+
+def _packed(at: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """Rows of sums in two bytes a number, against the largest of their row."""
+    scale = np.maximum(np.abs(sums).max(axis=1, initial=0), 1e-30).astype(np.float32)
+    data = np.round(sums / scale[:, None] * 32767).astype("<i2").tobytes()
+    offsets = (np.arange(len(at) + 1, dtype=np.int32) * 2 * DIMS).tobytes()
+    raw = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(scale, pa.float32()), raw], names=["at", "scale", "sums"])
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    data = text_bytes(batch.column(2))[0].view("<i2").reshape(-1, DIMS)
+    return batch.column(0).to_numpy(), data * (batch.column(1).to_numpy().astype(np.float64) / 32767)[:, None]
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one place, which follow each other, as one row."""
+    last, held = np.zeros(0, np.int64), np.zeros((0, DIMS))
+    for batch in batches:
+        at, sums = _unpacked(batch)
+        at, sums = np.concatenate((last, at)), np.concatenate((held, sums))
+        begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(sums, begin, axis=0) if len(begin) else sums
+        last, held = at[begin][-1:], sums[-1:]
+        yield _packed(at[begin][:-1], sums[:-1])
+    yield _packed(last, held)
 
 
 def _parts(words: np.ndarray) -> list[np.ndarray]:
@@ -285,7 +316,10 @@ class Tails:
 
     def __init__(self, known: Vocabulary, model: LogBilinear):
         self.size, self.head = known.size, known.head
-        self.has = (known.counts >= LEAST) & (known.keys & 3 != _END)
+        many = (known.counts >= LEAST) & (known.keys & 3 != _END)
+        if many.sum() > OWN:  # those of one count have vectors or have not
+            many &= known.counts > np.sort(known.counts[many])[-OWN - 1]
+        self.has = many
         self.at = np.where(self.has, np.cumsum(self.has) - 1, -1)  # by place among the common words
         self.n, self.kind, self.symbols = known.counts[self.has], known.keys[self.has] & 3, known.symbols[self.has]
         self.outside = self.symbols >= known.head
@@ -323,7 +357,8 @@ class Tails:
                     total[n + 3 :] += context.T @ context
                     seen[n + 3 :] = True
         rows = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *(pa.array(total[rows, d], pa.float32()) for d in range(DIMS))], names=["at", *(f"v{d}" for d in range(DIMS))])
+        for begin in range(0, len(rows), _PART):
+            yield _packed(rows[begin : begin + _PART], total[rows[begin : begin + _PART]])
 
     def learn_vectors(self, total: np.ndarray) -> None:
         n, head = len(self.n), self.head
@@ -397,23 +432,19 @@ class Tails:
 
 def _fit_tails(rows: DataFrame, known: Vocabulary, words: object, model: LogBilinear) -> Tails:
     tails = Tails(known, model)
-    names = [f"v{d}" for d in range(DIMS)]
     for learn in (tails.learn_vectors, tails.learn_trees):
         now = rows.sparkSession.sparkContext.broadcast(tails)
 
         def task(batches: Iterator[pa.RecordBatch], now: object = now) -> Iterator[pa.RecordBatch]:
             yield from now.value.sums(batches, words.value)
 
-        parts = rows.mapInArrow(task, "at long, " + ", ".join(f"{v} float" for v in names)).groupBy("at").agg(*[F.sum(v).cast("float").alias(v) for v in names])
-        held = written(parts, "contexts")
-        found = held.toArrow()
-        discard(held)
+        parts = rows.mapInArrow(task, _SUM).repartition("at").sortWithinPartitions("at", "scale", "sums")
+        held = written(parts.mapInArrow(_add_up, _SUM), "contexts")
         total = np.zeros((len(tails.n) + 3 + DIMS, DIMS), np.float32)
-        if found.num_rows:
-            at = found["at"].to_numpy()
-            for d, v in enumerate(names):
-                total[at, d] = found[v].to_numpy()
-        del found
+        for batch in held.toArrow().to_batches(_PART):
+            at, sums = _unpacked(batch)
+            total[at] = sums
+        discard(held)
         learn(total)
         now.destroy()
     return tails

@@ -20,15 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from accrue.llm.frequent import most_frequent
 from accrue.llm.words import Words, blocks, list_array, mixed, ragged, text_bytes
 from accrue.sources.shared import written
 
 DIMS, MARKS, REACH = 32, 4, 2
-COMMON = 1 << 18
+COMMON = 1 << 19
 _WIDTHS = DIMS // 2, DIMS, 8 * DIMS
 _MAX_HELD = 1 << 19  # rows of sums in a task before they are merged; half as many distinct words before they are passed on
 FIT_ROWS = 20_000
 HIDDEN = 32
+_PART = 1 << 15
 _KINDS = np.full(256, 3, np.uint8)  # 0 space, 1 letter, 2 digit, 3 mark
 _KINDS[:33] = 0
 _KINDS[48:58] = 2
@@ -80,11 +82,13 @@ class _Tokens(Words):
 class Vectors(np.ndarray):
     """Unit context vectors of the most frequent words, one row a word; `keys` are their hashes in order.
 
-    `rest` holds the sums of all other words as a table (key, sums), or None where there are no others.
+    `rest` holds the sums of all other words as a table (key, sums), or None where there are no others; it reads `table`,
+    which is that of `written` with all words.
     """
 
     keys: np.ndarray
     rest: DataFrame | None
+    table: DataFrame
 
 
 def _packed(sums: np.ndarray) -> pa.Array:
@@ -177,9 +181,10 @@ def word_vectors(docs: DataFrame, text: str = "text", common: int = COMMON) -> V
     """Context vectors of all words of all rows of `docs`, one a word: the `common` most frequent here, the others as a table."""
     parts = docs.select(F.col(text).alias("text")).mapInArrow(_sum_neighbours, "key long, n long, sums binary")
     table = written(parts.repartition("key").sortWithinPartitions("key").mapInArrow(_add_up, "key long, n long, sums binary"), "vectors")
-    best = table.orderBy(F.desc("n"), "key").limit(common).toArrow().sort_by("key")
-    out = _units(_unpacked(best["sums"].combine_chunks())).reshape(-1, DIMS).view(Vectors)
-    out.keys, out.rest = best["key"].to_numpy(), None
+    best = most_frequent(table, common).toArrow().sort_by("key")
+    units = [_units(_unpacked(part["sums"])) for part in best.combine_chunks().to_batches(_PART)]
+    out = np.concatenate(units or [np.zeros((0, DIMS), np.float32)]).reshape(-1, DIMS).view(Vectors)
+    out.keys, out.rest, out.table = best["key"].to_numpy(), None, table
     if table.count() > best.num_rows:
         n = best["n"].to_numpy()
         lowest, edge = (int(n.min()), int(out.keys[n == n.min()].max())) if len(n) else (np.iinfo(np.int64).max, 0)

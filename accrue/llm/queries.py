@@ -22,7 +22,7 @@ from accrue.llm.split import held_out
 from accrue.llm.substring import remove_repeats
 from accrue.llm.tokenfile import read_token_files, write_token_files
 from accrue.llm.warc import deduplicate_archives, read_archives, resolve_revisits, write_archives
-from accrue.sources.shared import shared_folder, written
+from accrue.sources.shared import discard, shared_folder, written
 from accrue.sources.ship import ship_library
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -101,7 +101,9 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; labels are learned from the rows that are not held out, word vectors from all texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out"))
-    means = written(pooled(docs.withColumn("id", F.col("doc_id")), "text", word_vectors(docs), ["id", "held_out"]), "means")
+    vectors = word_vectors(docs)
+    means = written(pooled(docs.withColumn("id", F.col("doc_id")), "text", vectors, ["id", "held_out"]), "means")
+    discard(vectors.table)
     network = fit_pooled(means.where("NOT carried.held_out"), picked_labels(docs.where("NOT held_out"), table(spark, sf_dir, "labels")))
     scored = score_pooled(means, network).withColumnRenamed("id", "doc_id")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -29,6 +29,7 @@ from accrue.sources.shared import discard, written
 
 WINDOW = 50
 CELLS_PER_ANCHOR = 64
+HOT_HELD, MAX_HOT = 1000, 100_000
 
 
 def _anchors(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -70,8 +71,8 @@ def _runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             doc = words.doc[begin]
             held_windows = rolling(words.hashes(2), size)[hit].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(doc)), pa.array(begin - words.first[doc], pa.int64()), pa.array(anchors[begin], pa.int64()), list_array(held_windows, length, pa.int64())],
-                names=["id", "place", "anchor", "windows"],
+                [batch.column(0).take(pa.array(doc)), batch.column(3).take(pa.array(doc)), pa.array(begin - words.first[doc], pa.int64()), pa.array(anchors[begin], pa.int64()), list_array(held_windows, length, pa.int64())],
+                names=["id", "row", "place", "anchor", "windows"],
             )
 
 
@@ -80,9 +81,10 @@ def _cell(anchor: str, row: int, width: int) -> Column:
 
 
 def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(id, runs): of each document the runs (place, n) of windows that also begin in one of a smaller id.
+    """(id, row, runs): of each document the runs (place, n) of windows that also begin in one of a smaller id.
 
-    `docs` has the columns id and text. Rows without id or text are left out.
+    `docs` has the columns id and text. Rows without id or text are left out. `row` is a hash of the text (`row_hash`): an
+    id may have several, each with its own runs.
     """
     docs = docs.where("id IS NOT NULL AND text IS NOT NULL")
     kind = docs.schema["id"].dataType.simpleString()
@@ -96,28 +98,38 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         own = sketch.where(F.col("cell") >= width) if row else sketch.where(F.col("cell") < width)
         anchors = anchors.withColumn("cell", _cell("anchor", row, width)).join(own, "cell", "left_semi").drop("cell")
     wanted = anchors.groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
-    found = docs.join(wanted, "id").select("id", "text", "anchors")
-    runs = found.mapInArrow(lambda it: _runs(it, size), f"id {kind}, place long, anchor long, windows array<long>")
-    runs = written(runs.select("id", "place", "anchor", F.xxhash64("windows").alias("run"), F.size("windows").alias("n"), "windows"), "runs")
+    found = docs.join(wanted, "id").select("id", "text", "anchors", row_hash("text").alias("row"))
+    runs = found.mapInArrow(lambda it: _runs(it, size), f"id {kind}, row long, place long, anchor long, windows array<long>")
+    runs = written(runs.select("id", "row", "place", "anchor", F.xxhash64("windows").alias("run"), F.size("windows").alias("n"), "windows"), "runs")
     discard(profiles, sketch)
 
     # Equal runs are one: beyond the smallest id that has a run, all its windows are repeated.
-    same = runs.groupBy("anchor", "run").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    later = runs.drop("windows").join(same.where("least < most").drop("most"), ["anchor", "run"]).where("id > least")
-    later = later.select("id", "place", "n")
+    # The few runs that very many documents hold meet their holders without a shuffle of those.
+    same = written(runs.groupBy("anchor", "run").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("held")), "same")
+    repeated = same.where("least < most")
+    hot = F.col("held") >= max(HOT_HELD, runs.count() // MAX_HOT)
+    held = runs.select("id", "row", "place", "anchor", "run", "n")
+    few = F.broadcast(repeated.where(hot).select("anchor", "run", "least"))  # at most MAX_HOT rows
+    later = held.join(few, ["anchor", "run"]).unionByName(held.join(few, ["anchor", "run"], "left_anti").join(repeated.where(~hot).select("anchor", "run", "least"), ["anchor", "run"]))
+    later = later.where("id > least").select("id", "row", "place", "n")
     # Different runs of one anchor may share windows; those are compared one by one, for the first holder of each run.
     several = same.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     firsts = runs.join(same.join(several, "anchor", "left_semi").select("anchor", "run", F.col("least").alias("id")), ["anchor", "run", "id"])
-    firsts = firsts.select("id", "anchor", "place", F.posexplode("windows").alias("at", "window")).select("id", "anchor", "window", (F.col("place") + F.col("at")).alias("place"))
+    firsts = firsts.select("id", "row", "anchor", "place", F.posexplode("windows").alias("at", "window")).select("id", "row", "anchor", "window", (F.col("place") + F.col("at")).alias("place"))
     shared = firsts.groupBy("anchor", "window").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     partly = firsts.join(shared.select("anchor", "window", "least"), ["anchor", "window"]).where("id > least")
-    partly = partly.select("id", "place", F.lit(1).alias("n"))
-    found = later.union(partly).groupBy("id").agg(F.collect_list(F.struct("place", F.col("n").cast("long").alias("n"))).alias("runs"))
+    partly = partly.select("id", "row", "place", F.lit(1).alias("n"))
+    found = later.union(partly).groupBy("id", "row").agg(F.collect_list(F.struct("place", F.col("n").cast("long").alias("n"))).alias("runs"))
     found = written(found, "repeats")
-    discard(runs)
+    discard(runs, same)
     return found
 
 
+def row_hash(text: str) -> Column:
+    """By which rows of one id are told apart."""
+    return F.xxhash64(F.col(text))
+
+
 def _cut(batches: Iterator[pa.RecordBatch], size: int, text_at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     for held in batches:
         for batch in blocks(held, names[text_at]):
@@ -127,12 +139,10 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int, text_at: int, names: list
             flat = runs.flatten()
             place, n = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
             doc = np.repeat(np.arange(len(batch)), lengths)
-            # rows that repeat an id with a shorter text: a run counts where the row has such words
-            inside = place + n + size - 1 <= words.counts[doc]
             step = np.zeros(len(words) + 1, dtype=np.int64)
-            at = words.first[doc[inside]] + place[inside]
+            at = words.first[doc] + place
             np.add.at(step, at, 1)
-            np.add.at(step, at + n[inside] + size - 1, -1)
+            np.add.at(step, at + n + size - 1, -1)
             kept = np.cumsum(step)[:-1] == 0
             removed = np.bincount(words.doc[~kept], minlength=len(batch))
             yield pa.RecordBatch.from_arrays(
@@ -145,11 +155,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """(id, text, n_words, n_removed, kept[, carried]): every row with its number of words, how many go, and the kept words joined by one space.
 
     Windows are judged on the input. A null text has no words and stays null, its `kept` is empty. Rows without an id
-    keep all words and take none from others. Rows of equal ids take nothing from each other; if their texts differ,
-    what one has to lose by its places the other loses as well. `carried` is a struct of the columns named by `carry`.
+    keep all words and take none from others. Rows of equal ids take nothing from each other, and each is cut by itself.
+    `carried` is a struct of the columns named by `carry`.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), *[F.struct(*carry).alias("carried")] * bool(carry))
     names = rows.columns
-    out = rows.join(repeated_windows(rows.select("id", "text"), size), "id", "left").select(*names, "runs")
+    found = repeated_windows(rows.select("id", "text"), size)
+    out = rows.withColumn("row", row_hash("text")).join(found, ["id", "row"], "left").select(*names, "runs")
     schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     return out.mapInArrow(lambda it: _cut(it, size, 1, names), schema).withColumnRenamed("id", id_col)

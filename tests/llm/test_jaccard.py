@@ -60,6 +60,14 @@ def test_a_large_group_of_near_copies_and_a_common_line(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == expected(rows, 3, 90)
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(3, a), (7, a), (7, b), (9, b), (20, None), (20, a), (30, "quite alone"), (30, "and another text of it")]
+    got = similar_groups(docs_of(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=repr) == expected(rows, 5, 80)
+    assert {r.component_id for r in got} == {3, 30}
+
+
 def test_no_documents(spark):
     assert similar_groups(docs_of(spark, [])).count() == 0
     assert [tuple(r) for r in similar_groups(docs_of(spark, [(4, None)])).collect()] == [(4, 0, 4)]

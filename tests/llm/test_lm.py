@@ -44,6 +44,21 @@ def test_counts_and_scores(spark, corpus, common):
     assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out) + 0.1 * sum(r.n_tokens for r in held_out)
 
 
+def test_scores_do_not_depend_on_how_texts_are_dealt(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(text(rng) for _ in range(8))) for i in range(600)]
+    by_parts = []
+    for n in (1, 16):
+        docs = docs_of(spark, rows).repartition(n)
+        counts = word_counts(docs)
+        known = vocabulary(counts, head=40)
+        by_parts.append({r.doc_id: (r.score, r.n_tokens) for r in score(docs, counts, known, fit(docs, known)).collect()})
+    one, many = by_parts
+    tokens = sum(n for _, n in one.values())
+    assert abs(sum(s for s, _ in one.values()) - sum(s for s, _ in many.values())) < 0.02 * tokens
+    assert max(abs(one[i][0] - many[i][0]) / one[i][1] for i in one) < 0.06
+
+
 def test_probabilities_add_up_to_one(spark, corpus):
     counts = word_counts(docs_of(spark, corpus))
     known = vocabulary(counts, head=10)

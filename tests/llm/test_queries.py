@@ -83,6 +83,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     rows = [r for r in ODD if r[0] not in (8, 9, 11)] + [
         (200, f"first {long} one"), (201, "second " + " ".join(f"other{i}" for i in range(40)) + f" {long} two"), (202, long), (203, "quite another text"),
         (300, near), (301, near.replace("near50", "changed")), (302, near + " more"), (303, near),
+        (500, "mine " + near), (500, "the only text of its kind, under an id that another has"),
         (400, "It says: " + " ".join(f"Item{i}" for i in range(12)) + "!"), (401, "clean item0 item1 text"),
     ]
     table(spark, rows, tmp_path, "documents")
@@ -97,8 +98,9 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         if name == "language":
             kept = [r for r in kept if any(c.isalpha() for c in r[1] or "")]
         elif name == "near_duplicates":
-            head = {i for i, _, c in groups(kept, 5, 80) if i is not None and i == c}
-            kept = [*dict.fromkeys(r for r in kept if r[0] in head), *[r for r in kept if r[0] is None]]
+            held = sorted({r for r in kept if r[0] is not None}, key=lambda r: (r[0], r[1] or ""))
+            head = {k for k, _, c in groups([(k, text) for k, (_, text) in enumerate(held)], 5, 80) if k == c}
+            kept = [*[held[k] for k in sorted(head)], *[r for r in kept if r[0] is None]]
         elif name == "substring_dedup":
             kept = [(i, text if not gone else left) for i, text, _, gone, left in removed(kept, 50) if not gone or left]
         else:
@@ -108,7 +110,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         assert got == sorted(kept, key=repr), name
         assert all(r.n_chars == len(r.text) for r in docs.collect())
     ids = {i for i, _ in kept}
-    assert {200, 201, 203, 300, 401} <= ids and not {202, 301, 302, 303, 400} & ids
+    assert {200, 201, 203, 300, 401, 500} <= ids and not {202, 301, 302, 303, 400} & ids
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == ids
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "substring_dedup", "decontamination", "packing"]

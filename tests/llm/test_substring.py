@@ -49,6 +49,20 @@ def test_long_copies_and_carried_columns(spark):
     assert tuple(got[0].carried) == ("x", "x")
 
 
+def test_rows_of_one_id_are_cut_each_by_itself(spark):
+    a, c = (" ".join(f"{x}{i}" for i in range(120)) for x in "ac")
+    rows = [(1, a), (2, a), (2, c), (3, c + " " + a), (3, a)]
+    assert sorted(map(tuple, remove_repeats(docs_of(spark, rows)).collect()), key=repr) == expected(rows, 50)
+
+
+@pytest.mark.parametrize("hot", [1, 10**6])
+def test_hot_runs_are_met_either_way(spark, monkeypatch, hot):
+    monkeypatch.setattr("accrue.llm.substring.HOT_HELD", hot)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"own{i} {passage} end{i}") for i in range(40)] + [(100, passage), (101, " ".join(passage.split()[3:] + ["x"]))]
+    assert sorted(map(tuple, remove_repeats(docs_of(spark, rows)).collect()), key=repr) == expected(rows, 50)
+
+
 def test_no_documents(spark):
     assert remove_repeats(docs_of(spark, [])).count() == 0
     assert [tuple(r) for r in remove_repeats(docs_of(spark, [(1, None)])).collect()] == [(1, None, 0, 0, "")]
