@@ -10,34 +10,42 @@ from accrue.llm.decontaminate import contamination
 from accrue.llm.jaccard import similar_groups
 from accrue.llm.language import fit_profiles, identify
 from accrue.llm.packing import pack, pieces
-from accrue.llm.split import held_out
 from accrue.llm.substring import remove_repeats
-from accrue.sources.shared import written
+from accrue.sources.shared import discard, written
 from accrue.sources.ship import ship_library
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter, whether or not a language can be told; those without text or without a letter go."""
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """Documents with a letter, in one of `languages` by their text where these are given; the others go.
+
+    A row without `lang` gets the predicted one. Profiles are learned from all labelled documents.
+    """
     ship_library(spark)
     docs = docs.select(*COLUMNS)
-    profiles = fit_profiles(docs.where(~held_out("doc_id", 3, 1)))
-    return identify(docs, profiles, lettered=True).where("lettered").select(*COLUMNS)
+    found = identify(docs, fit_profiles(docs), lettered=True).where("lettered")
+    if languages is not None:
+        found = found.where(F.col("lang_pred").isin(*languages))
+    told = F.when(F.col("lang_pred") != "und", F.col("lang_pred"))
+    return found.withColumn("lang", F.coalesce("lang", told)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates; documents without id all stay.
 
-    Of rows of one id the one with the smallest text stays.
+    Rows are told apart by id and text, so that of several texts of one id each is judged by itself; of rows equal in both
+    the smallest stays.
     """
     ship_library(spark)
     docs = docs.select(*COLUMNS)
-    heads = similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in COLUMNS if c != "doc_id"]
-    one = docs.join(heads, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-    return one.select("doc_id", "row.*").select(*COLUMNS).union(docs.where("doc_id IS NULL"))
+    # in the order of the ids: below each id there is room for a hash of the text
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 59)).cast("decimal(20,0)")
+    keyed = docs.where("doc_id IS NOT NULL").withColumn("key", (F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 59).cast("decimal(18,0)") + place).cast("decimal(38,0)"))
+    heads = similar_groups(keyed.select("key", "text"), "key").where("key = component_id").select("key").distinct()
+    one = keyed.join(heads, "key").groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return one.select("row.*").select(*COLUMNS).union(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,6 +85,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    before = None
+    for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before is not None:
+            discard(before)
+        before = docs
+    return docs
