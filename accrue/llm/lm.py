@@ -329,13 +329,19 @@ class Tails:
         held = [self.outside & (self.kind == k) for k in range(3)]
         self.rare = np.array([known.class_tokens[k] - self.n[held[k]].sum() + known.class_words[k] - held[k].sum() + 1 for k in range(3)])
         self.trees: list[np.ndarray] = []
+        self.turned: tuple[np.ndarray, ...] = ()
 
     def contexts(self, tokens: _Tokens, symbol: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The word with a vector of each token, or -1, and each token's context."""
         word = np.where(place >= 0, self.at[place], -1) if len(self.at) else place
         seen = np.where((word >= 0) & (symbol >= self.head), self.size + word, symbol) if len(self.vectors) > self.size else symbol
         one, two = _contexts(tokens, seen, self.size - 1)
-        return word, self.vectors[one] @ self.near + self.vectors[two] @ self.far
+        if not self.turned:  # each vector through both matrices, once in a worker rather than for every token
+            self.turned = (self.vectors @ self.near, self.vectors @ self.far)
+        return word, self.turned[0][one] + self.turned[1][two]
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"turned": ()}
 
     def sums(self, batches: Iterator[pa.RecordBatch], known: Vocabulary) -> Iterator[pa.RecordBatch]:
         """Summed contexts by word, then by class for the words of its leaf 0, then the products of the dimensions."""
