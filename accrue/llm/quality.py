@@ -119,20 +119,21 @@ def _units(sums: np.ndarray) -> np.ndarray:
     return (sums / np.where(norm == 0, 1, norm)).astype(np.float32)
 
 
-def _grouped(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _grouped(keys: np.ndarray, n: np.ndarray, sums: np.ndarray, kind: type = np.int64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     if not len(begin):
-        return keys, n, sums.astype(np.int64)
-    return keys[begin], np.add.reduceat(n[order], begin), np.add.reduceat(sums[order], begin, axis=0, dtype=np.int64)
+        return keys, n, sums.astype(kind)
+    return keys[begin], np.add.reduceat(n[order], begin), np.add.reduceat(sums[order], begin, axis=0, dtype=kind)
 
 
 def _sum_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, waiting = [], 0
 
     def out() -> pa.RecordBatch:
-        keys, n, sums = _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        # the sums of one task's texts fit four bytes
+        keys, n, sums = _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)), np.int32)
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64()), _packed(sums)], names=["key", "n", "sums"])
 
     for whole in batches:
@@ -153,8 +154,8 @@ def _sum_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             held.append((words, n, np.add.reduceat(near[order], np.cumsum(n) - n, axis=0, dtype=np.int32)))
             waiting += len(words)
             if waiting > _MAX_HELD:
-                merged = _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                held, waiting = [(merged[0], merged[1], merged[2].astype(np.int32))], len(merged[0])
+                merged = _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)), np.int32)
+                held, waiting = [merged], len(merged[0])
                 if waiting > _MAX_HELD // 2:
                     yield out()
                     held, waiting = [], 0
