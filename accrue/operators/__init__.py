@@ -3,6 +3,7 @@ from accrue.operators.filters import in_family, pending, released
 from accrue.operators.intervals import to_intervals
 from accrue.operators.keyed import apply_changes, latest_per_key, upsert
 from accrue.operators.lateness import drop_late, mark_late, watermark
+from accrue.operators.reconcile import reconcile
 
 __all__ = [
     "apply_changes",
@@ -13,6 +14,7 @@ __all__ = [
     "mark_late",
     "measure",
     "pending",
+    "reconcile",
     "released",
     "to_intervals",
     "upsert",

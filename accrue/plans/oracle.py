@@ -134,6 +134,24 @@ grouped AS (
          CAST(sum(base_tax) AS DECIMAL(18,2)) AS total_base_tax, CAST(sum(tax_amount) AS DECIMAL(18,2)) AS total_tax_amount
   FROM enriched GROUP BY ALL)"""
 
+_DIFF = _with(_FACTS, _LOG, _lines_cte("a", "daily"), _lines_cte("b", "daily", delay=300), select=f"""
+SELECT CASE WHEN b.k IS NULL THEN 'only_left' WHEN a.k IS NULL THEN 'only_right'
+            WHEN {_CHANGED} THEN 'changed' ELSE 'equal' END AS status, count(*) AS n
+FROM (SELECT *, 1 AS k FROM lines_a) a FULL JOIN (SELECT *, 1 AS k FROM lines_b) b USING ({_KEYS}) GROUP BY ALL""")
+_NOW = """
+SELECT cuit, name, establishment FROM (
+  SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY cuit ORDER BY op_ts DESC, seq DESC) = 1) WHERE op <> 'd'"""
+# the state at the end of each chunk's reading, where nothing changed during it, and every change behind its beginning
+_CHUNKS = """
+spans AS (SELECT chunk, epoch(TIMESTAMP '2024-01-10 12:00:00') + 60 * low AS low, epoch(TIMESTAMP '2024-01-10 12:00:00') + 60 * high AS high
+          FROM (VALUES (0, 0, 110), (1, 120, 300), (2, 310, 500), (3, 13620, 13800), (4, 13630, 13790)) AS t(chunk, low, high)),
+width AS (SELECT max(c_custkey) // 5 + 1 AS w FROM customer),
+placed AS (SELECT l.*, CAST(low AS BIGINT) AS low, CAST(high AS BIGINT) AS high, CAST(epoch(op_ts) AS BIGINT) AS e
+           FROM log l, width JOIN spans s ON CAST(l.cuit AS BIGINT) // w = s.chunk),
+still AS (SELECT cuit, any_value(high) AS high, min(op_ts) FILTER (WHERE e > high) AS following,
+                 arg_max(struct_pack(op, name, establishment), (e, seq)) FILTER (WHERE e <= high) AS v
+          FROM placed GROUP BY cuit HAVING NOT bool_or(e > low AND e <= high))"""
+
 ORACLE: dict[str, str] = {
     "family_filter": _with(_FACTS, select="SELECT id, cuit, tax_id, base_tax FROM facts WHERE tax_id LIKE 'RET|_%' ESCAPE '|'"),
     "prefix_count": _with(_FACTS, select="SELECT tax_id, count(*) AS n FROM facts WHERE tax_id LIKE 'PER%' GROUP BY tax_id"),
@@ -161,6 +179,11 @@ SELECT id, cuit, tax_id, base_tax, created_at FROM (
   SELECT *, 0 AS src FROM facts WHERE created_at < TIMESTAMP '2024-01-16'
   UNION ALL SELECT *, 1 FROM facts WHERE created_at >= TIMESTAMP '2024-01-14')
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC) = 1"""),
+    "incremental_snapshot": _with(_LOG_OF_ALL, _CHUNKS, select="""
+SELECT cuit, name, establishment, op, op_ts, e * 10000000 + seq AS seq FROM placed WHERE e > low
+UNION ALL SELECT cuit, v.name, v.establishment, 'r', least(make_timestamp(high * 1000000), coalesce(following, TIMESTAMP '9999-01-01')),
+       high * 10000000 + 9999999 FROM still WHERE v.op <> 'd'"""),
+    "incremental_snapshot_state": _with(_LOG_OF_ALL, select=_NOW),
     "asof_interval": _with(_FACTS, _LOG, _ASOF, select=_ASOF_ROWS),
     "asof_union": _with(_FACTS, _LOG, _ASOF, select=_ASOF_ROWS),
     "asof_null_keys": _with(
@@ -204,9 +227,7 @@ SELECT * FROM lines_a WHERE cuit = '11' AND tax_id = 'RET_IVA' AND tax_rate = 3.
     "enriched_keys": _lines("daily", "SELECT DISTINCT cuit FROM lines_a WHERE establishment IS NOT NULL OR merchant_name IS NOT NULL"),
     "upsert_latest": _ITEMS,
     "keyed_table_upsert": _ITEMS,
-    "apply_changes": _with(_LOG_OF_ALL, select="""
-SELECT cuit, name, establishment FROM (
-  SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY cuit ORDER BY op_ts DESC, seq DESC) = 1) WHERE op <> 'd'"""),
+    "apply_changes": _with(_LOG_OF_ALL, select=_NOW),
     "crossjoin_fanout": """
 SELECT p_partkey, tax_id, CAST(tax_rate AS DECIMAL(5,2)) AS tax_rate
 FROM part CROSS JOIN (VALUES ('RET_IVA', 3.50), ('RET_IVA', 5.00), ('RET_GANANCIAS', 3.00)) AS t(tax_id, tax_rate)""",
@@ -217,10 +238,11 @@ FROM lines_a WHERE cuit NOT IN (SELECT cuit FROM log)"""),
     "qa_family_leak": _lines("daily", """
 SELECT (SELECT count(*) FROM lines_a WHERE tax_id LIKE 'PER%') AS leaked_lines,
        (SELECT count(*) FROM facts WHERE tax_id LIKE 'PER%') AS family_facts"""),
-    "qa_diff": _with(_FACTS, _LOG, _lines_cte("a", "daily"), _lines_cte("b", "daily", delay=300), select=f"""
-SELECT CASE WHEN b.k IS NULL THEN 'only_left' WHEN a.k IS NULL THEN 'only_right'
-            WHEN {_CHANGED} THEN 'changed' ELSE 'equal' END AS status, count(*) AS n
-FROM (SELECT *, 1 AS k FROM lines_a) a FULL JOIN (SELECT *, 1 AS k FROM lines_b) b USING ({_KEYS}) GROUP BY ALL"""),
+    "qa_diff": _DIFF,
+    "qa_reconcile": _DIFF,
+    "qa_reconcile_planted": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 1009 = 5 THEN 'only_left' ELSE 'changed' END AS status
+FROM orders WHERE o_orderkey % 1009 = 5 OR (o_orderkey % 997 = 3 AND o_custkey IS NOT NULL)""",
     "qa_amounts": _with(_FACTS, select="""
 SELECT count(*) AS facts,
        count(*) FILTER (WHERE tax_amount <> CAST(base_tax * tax_rate * 0.01 AS DECIMAL(18,2))) AS wrong FROM facts"""),

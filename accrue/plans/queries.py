@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +23,15 @@ from accrue.operators.filters import in_family, pending, released
 from accrue.operators.intervals import to_intervals
 from accrue.operators.keyed import apply_changes, latest_per_key, upsert
 from accrue.operators.lateness import drop_late, watermark
+from accrue.operators.reconcile import reconcile
 from accrue.plans import views
 from accrue.plans.consolidate import consolidate, on_time_facts
 from accrue.sources import sample
 from accrue.sources.changelog import decode_changes, encode_changes, merge_snapshot_and_log, stamp_snapshot
+from accrue.sources.incremental import ChunkedSnapshot
 from accrue.sources.landing import fan_out, land_in_waves
 from accrue.sources.schemas import FACTS, MERCHANT
-from accrue.sources.shared import shared_folder
+from accrue.sources.shared import shared_folder, written
 from accrue.streaming.keyed_table import KeyedTable
 from accrue.streaming.run import LINES_BY_DAY, Consolidation
 
@@ -143,6 +145,46 @@ def snapshot_log_merge(spark, sf):
     return merge_snapshot_and_log(snapshot, log, ["id"])
 
 
+#: Minutes from 2024-01-10 12:00 at which a chunk's reading begins, the table is read, and it ends: updates, then deletes fall inside.
+_READINGS = [(0, 50, 110), (120, 130, 300), (310, 500, 500), (13620, 13650, 13800), (13630, 13760, 13790)]
+
+
+def _read_in_chunks(spark, sf) -> DataFrame:
+    """Master data read in five chunks while it changes, stopped after two and taken up again."""
+    began = datetime(2024, 1, 10, 12)
+    log = sample.changelog(spark, sf, everyone=True)
+    log = written(log.withColumn("seq", F.unix_timestamp("op_ts") * 10_000_000 + F.col("seq")), "log")
+    width = log.agg(F.max(F.col("cuit").cast("long"))).first()[0] // len(_READINGS) + 1
+    chunk = F.floor(F.col("cuit").cast("long") / width)
+
+    def at(minutes: int) -> tuple[int, datetime]:
+        now = began + timedelta(minutes=minutes)
+        return int((now - datetime(1970, 1, 1)).total_seconds()) * 10_000_000 + 9_999_999, now
+
+    folder = shared_folder(spark, "chunks")
+    for stop in (2, len(_READINGS)):
+        snapshot = ChunkedSnapshot(spark, folder, MERCHANT, KEY)
+        for number in snapshot.missing(range(len(_READINGS)))[: stop]:
+            low, middle, high = _READINGS[number]
+            seen = log.where((chunk == number) & (F.col("seq") <= at(middle)[0]))
+            rows = latest_per_key(seen, KEY, ["seq"]).where(F.col("op") != "d")
+            times = iter([at(low), at(high)])
+            snapshot.take(number, rows, lambda times=times: next(times))
+    return ChunkedSnapshot(spark, folder, MERCHANT, KEY).changes(log, chunk)
+
+
+def incremental_snapshot(spark, sf):
+    """The change log that chunks and log give together."""
+    return _read_in_chunks(spark, sf)
+
+
+def incremental_snapshot_state(spark, sf):
+    """The table at the log's end, from chunks read at different times."""
+    changes = _read_in_chunks(spark, sf)
+    snapshot = changes.where(F.col("op") == "r").select("cuit", *TEXTS)
+    return apply_changes(snapshot, changes.where(F.col("op") != "r"), KEY, ["seq"])
+
+
 def asof_snapshot(spark, sf):
     """Versions that begin when the snapshot was read: older facts find none."""
     customers = _table(spark, sf, "customer").select(
@@ -319,6 +361,23 @@ def qa_diff(spark, sf):
     return _statuses(quality.differences(left, right, LINE_KEYS, same=True))
 
 
+def qa_reconcile(spark, sf):
+    """The same by bucket sums: only what differs is joined."""
+    left, right = written(_lines(spark, sf), "left"), written(_lines(spark, sf, delay=300), "right")
+    found = reconcile(left, right, LINE_KEYS).select("status", F.lit(1).alias("n"))
+    unequal = found.where(F.col("status") != "only_right").select(F.lit("equal").alias("status"), F.lit(-1).alias("n"))
+    counted = found.unionByName(unequal).unionByName(left.select(F.lit("equal").alias("status"), F.lit(1).alias("n")))
+    return counted.groupBy("status").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
+
+
+def qa_reconcile_planted(spark, sf):
+    """All orders against a copy with some changed, some missing."""
+    orders = _table(spark, sf, "orders")
+    copy = orders.where(F.col("o_orderkey") % 1009 != 5)
+    copy = copy.withColumn("o_custkey", F.when(F.col("o_orderkey") % 997 != 3, F.col("o_custkey")))
+    return reconcile(orders, copy, ["o_orderkey"])
+
+
 def qa_amounts(spark, sf):
     facts = sample.facts(spark, sf)
     return _counts(facts=facts, wrong=quality.wrong_amounts(facts))
@@ -541,6 +600,8 @@ QUERIES: dict[str, Query] = {
     "change_records": change_records,
     "fact_records": fact_records,
     "snapshot_log_merge": snapshot_log_merge,
+    "incremental_snapshot": incremental_snapshot,
+    "incremental_snapshot_state": incremental_snapshot_state,
     "asof_interval": _asof("interval"),
     "asof_union": _asof("union"),
     "asof_null_keys": asof_null_keys,
@@ -569,6 +630,8 @@ QUERIES: dict[str, Query] = {
     "qa_orphans": qa_orphans,
     "qa_family_leak": qa_family_leak,
     "qa_diff": qa_diff,
+    "qa_reconcile": qa_reconcile,
+    "qa_reconcile_planted": qa_reconcile_planted,
     "qa_amounts": qa_amounts,
     "qa_closed_stable": qa_closed_stable,
     "qa_span": qa_span,
