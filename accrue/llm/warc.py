@@ -9,10 +9,12 @@ aggregation, joined back, and the archives are written anew, with payloads for r
 
 from __future__ import annotations
 
-import zlib
+import gzip
+import io
 from base64 import b32encode
 from collections.abc import Iterator
 from hashlib import sha1
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,29 +102,46 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", uri: s
 _FIELDS = {"type": "WARC-Type", "record_id": "WARC-Record-ID", "date": "WARC-Date", "uri": "WARC-Target-URI", "digest": "WARC-Payload-Digest", "page_id": "Page-ID", "refers_record": "WARC-Refers-To"}
 
 
-def _records(content: bytes) -> Iterator[tuple[dict[str, str], memoryview, int]]:
-    """Header fields, payload and declared payload length of each record of a file."""
-    held, at = memoryview(content), 0
-    while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        lines = content[at:end].decode("utf-8", "replace").split("\r\n")
-        if lines[0] != "WARC/1.1":
-            raise ValueError(f"no record begins at byte {at}")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
-        block, length = end + 4, int(fields["Content-Length"])
-        inner = content.index(b"\r\n\r\n", block)
-        declared = int(content[block:inner].decode("latin-1").rsplit("Content-Length: ", 1)[1])
-        yield fields, held[inner + 4 : block + length], declared
-        at = block + length
-        if content[at : at + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record before byte {at} has another length than it says")
-        at += 4
+def _head(stream: IO[bytes]) -> dict[str, str]:
+    """Fields up to the empty line; names in lower case."""
+    fields = {}
+    while (line := stream.readline().rstrip(b"\r\n")):
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        fields[name.strip().lower()] = value.strip()
+    return fields
+
+
+def _records(stream: IO[bytes]) -> Iterator[tuple[dict[str, str], bytes, int]]:
+    """Header fields, payload and declared payload length of each response and revisit; other records are passed over.
+
+    One record is held at a time. A payload is what follows the HTTP head; a block that is no HTTP message is one as a whole.
+    """
+    while line := stream.readline():
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/1."):
+            raise ValueError(f"no record begins with {line[:20]!r}")
+        fields = _head(stream)
+        length = int(fields["content-length"])
+        block = stream.read(length)
+        if len(block) != length or stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {fields.get('warc-record-id')} has another length than it says")
+        if fields.get("warc-type") not in ("response", "revisit"):
+            continue
+        body = io.BytesIO(block)
+        declared = None
+        if block.startswith(b"HTTP/"):
+            declared = _head(body).get("content-length")
+        payload = block[body.tell() :]
+        yield fields, payload, int(declared) if declared else len(payload)
 
 
 def read_archives(spark: SparkSession, path: str, kind: T.DataType | str = "long", with_payload: bool = False) -> DataFrame:
     """One row per record: type, record_id, date, uri, digest, page_id, refers_record, payload_bytes[, payload].
 
-    Payloads are checked against their digests. A revisit has no payload; its payload_bytes are those of the original.
+    Payloads are checked against their digests (SHA-1; where there is none or one of another kind, it is computed). A revisit
+    has no payload; its payload_bytes are those of the original, as far as it tells them. Files are gzip of one member or of
+    one for each record; records of other types are passed over, and a record of another writer has no page_id.
     """
     names = [*_FIELDS, "payload_bytes", *["payload"] * with_payload]
     schema = pa.schema([*((n, pa.string()) for n in _FIELDS), ("payload_bytes", pa.int64()), *[("payload", pa.binary())] * with_payload])
@@ -132,11 +151,15 @@ def read_archives(spark: SparkSession, path: str, kind: T.DataType | str = "long
             for file in batch.column(0):
                 rows: list[tuple[object, ...]] = []
                 size = 0
-                for fields, payload, declared in _records(zlib.decompress(file.as_buffer(), 47)):
-                    told = {k: fields.get(v) for k, v in _FIELDS.items()}
-                    digest = (told["digest"] or "").removeprefix("sha1:")
-                    if told["type"] == "response" and (b32encode(sha1(payload).digest()).decode() != digest or len(payload) != declared):
-                        raise ValueError(f"record {told['record_id']} is damaged")
+                # one member for the whole file, or one for each record
+                for fields, payload, declared in _records(gzip.GzipFile(fileobj=pa.BufferReader(file.as_buffer()))):
+                    told = {k: fields.get(v.lower()) for k, v in _FIELDS.items()}
+                    method, _, digest = (told["digest"] or "").rpartition(":")
+                    if told["type"] == "response":
+                        own = b32encode(sha1(payload).digest()).decode()
+                        if method in ("", "sha1") and digest and digest.upper() != own or len(payload) != declared and "page-id" in fields:
+                            raise ValueError(f"record {told['record_id']} is damaged")
+                        digest, declared = own, len(payload)
                     told |= {"digest": digest, "record_id": (told["record_id"] or "")[1:-1], "refers_record": told["refers_record"] and told["refers_record"][1:-1]}
                     rows.append((*told.values(), declared, *[bytes(payload)] * with_payload))
                     size += len(payload) * with_payload

@@ -60,3 +60,28 @@ def test_damage_is_found(spark, tmp_path):
     (tmp_path / "a" / f".{file.name}.crc").unlink()
     with pytest.raises(Exception, match="is damaged"):
         read_archives(spark, f"{tmp_path}/a").collect()
+
+
+def record(kind, block, **fields):
+    head = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in fields.items())
+    return f"WARC/1.0\r\nwarc-type: {kind}\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    page = b"HTTP/1.1 200 OK\r\ncontent-length: 99\r\n\r\n<p>page</p>"
+    records = [
+        record("warcinfo", b"software: x\r\n\r\nmore", WARC_Record_ID="<urn:uuid:0>"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", WARC_Record_ID="<urn:uuid:1>"),
+        record("response", page, WARC_Record_ID="<urn:uuid:2>", WARC_Target_URI="http://a", WARC_Payload_Digest="md5:x"),
+        record("response", b"\r\n\r\nplain", WARC_Record_ID="<urn:uuid:3>", WARC_Target_URI="dns:a"),
+        record("revisit", b"", WARC_Record_ID="<urn:uuid:4>", WARC_Refers_To="<urn:uuid:2>"),
+    ]
+    (tmp_path / "members.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    got = {r.record_id: r for r in read_archives(spark, str(tmp_path), with_payload=True).collect()}
+    assert {k: (r.type, r.payload, r.payload_bytes) for k, r in got.items()} == {
+        "urn:uuid:2": ("response", b"<p>page</p>", 11), "urn:uuid:3": ("response", b"\r\n\r\nplain", 9), "urn:uuid:4": ("revisit", b"", 0),
+    }
+    assert got["urn:uuid:2"].digest == base64.b32encode(hashlib.sha1(b"<p>page</p>").digest()).decode()
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(records[2][:-20]))
+    with pytest.raises(Exception, match="another length"):
+        read_archives(spark, str(tmp_path)).collect()
