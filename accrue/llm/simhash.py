@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accrue.sources.shared import written
 
@@ -68,6 +70,14 @@ def within_radius(queries: DataFrame, table: DataFrame, radius: int = RADIUS, bl
     return met.where(F.bit_count(F.col("query").bitwiseXOR(F.col("found"))) <= radius).select("query", F.col("found").alias("fingerprint")).distinct()
 
 
+def _cuts(docs: DataFrame, n: int) -> list[Any]:
+    """At most n - 1 ids at equal distances among some 20 n distinct ones, for types that have no percentiles."""
+    ids = docs.select("id").where("id IS NOT NULL").distinct()
+    every = max(1, ids.agg(F.approx_count_distinct("id")).first()[0] // (20 * n))
+    chosen = [r.id for r in ids.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).orderBy("id").collect()]
+    return [chosen[k * len(chosen) // n] for k in range(1, n)] if len(chosen) >= n else chosen
+
+
 def _in_buckets(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
     """Adds `bucket`: ranges of ids in order, of about `bucket_bytes` text each; null ids are in the first."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -75,7 +85,10 @@ def _in_buckets(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
     cuts = []
     if n > 1:
         shares = [k / n for k in range(1, n)]
-        cuts = sorted(set(docs.agg(F.percentile_approx("id", shares, max(10_000, 20 * n))).first()[0] or []))
+        if isinstance(docs.schema["id"].dataType, T.NumericType):
+            cuts = sorted(set(docs.agg(F.percentile_approx("id", shares, max(10_000, 20 * n))).first()[0] or []))
+        else:
+            cuts = _cuts(docs, n)
     bounds = F.array(*[F.lit(c) for c in cuts])
     rows = docs.withColumn("bucket", F.lit(0))
     step = 1 << max(0, len(cuts).bit_length() - 1)
@@ -86,17 +99,20 @@ def _in_buckets(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
     return rows, len(cuts) + 1
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES, radius: int = RADIUS, blocks: int = BLOCKS, probe: Column | None = None) -> DataFrame:
     """Fingerprints of all texts and of their edited versions, and what they have in common.
 
     The edited text of a document has its last half (rounded down, in code points) replaced by as many first code points
     of the next document, ascending id; after the last comes the first. Rows of one id are in order of their texts,
-    null ids (numbers) come first, a null text is empty.
+    null ids come first, a null text is empty. Ids are numbers or texts.
 
-    (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, near_documents): near_* are
-    shares of equal bits; near_documents counts the documents within `radius` bits of the edited fingerprint.
+    (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, near_documents, near_own): near_edited
+    and near_next are shares of equal bits; near_documents counts the documents within `radius` bits of the edited fingerprint,
+    near_own those within it of the document's own one, itself included, where the condition `probe` on columns of `docs`
+    holds (else null; without `probe`, everywhere).
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    probed = F.lit(True) if probe is None else F.coalesce(probe, F.lit(False))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), probed.alias("probed"))
     spark = docs.sparkSession
     rows, n = _in_buckets(rows, bucket_bytes)
     filled = sorted(r.bucket for r in rows.select("bucket").distinct().collect())  # at most MAX_BUCKETS
@@ -113,20 +129,23 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     half = F.floor(F.length("text") / 2).cast("int")
     following = F.coalesce("next", "border")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring(following, F.lit(1), half))
-    both = placed.select("bucket", "place", "id", "text", edited.alias("edited"))
+    both = placed.select("bucket", "place", "id", "probed", "text", edited.alias("edited"))
     sides = both.select("bucket", "place", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))).alias("x"))
     prints = simhash(sides.select("bucket", "place", "x.side", "x.text"), ["bucket", "place", "side"])
     prints = prints.groupBy("bucket", "place").agg(F.max(F.when(F.col("side") == 0, F.col("fingerprint"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("fingerprint"))).alias("changed"))
-    told = both.select("bucket", "place", "id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    told = both.select("bucket", "place", "id", "probed", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     known = written(told.join(prints, ["bucket", "place"]), "fingerprints")
 
     beside = known.where("place = 1").select(F.col("bucket").alias("following"), F.col("own").alias("border")).join(F.broadcast(after), "following").select("bucket", "border")
     known = known.withColumn("next", F.lead("own").over(Window.partitionBy("bucket").orderBy("place"))).join(beside, "bucket")
-    near = within_radius(known.select(F.col("changed").alias("fingerprint")), known.select(F.col("own").alias("fingerprint")), radius, blocks)
+    asked = known.select(F.explode(F.array("changed", F.when(F.col("probed"), F.col("own")))).alias("fingerprint"))
+    near = within_radius(asked, known.select(F.col("own").alias("fingerprint")), radius, blocks)
     holders = known.groupBy(F.col("own").alias("fingerprint")).agg(F.count("*").alias("n"))
-    found = near.join(holders, "fingerprint").groupBy(F.col("query").alias("changed")).agg(F.sum("n").alias("near_documents"))
+    found = written(near.join(holders, "fingerprint").groupBy("query").agg(F.sum("n").alias("n")), "near")
+    of_edited = found.select(F.col("query").alias("changed"), F.col("n").alias("near_documents"))
+    of_own = found.select(F.col("query").alias("own"), F.col("n").alias("near_own"))
     text_of = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    return known.join(found, "changed", "left").select(
+    return known.join(of_edited, "changed", "left").join(of_own, "own", "left").select(
         F.col("id").alias(id_col),
         "n_chars",
         "edited_sha256",
@@ -135,4 +154,5 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "te
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), F.coalesce("next", "border")).alias("near_next"),
         F.coalesce("near_documents", F.lit(0)).alias("near_documents"),
+        F.when(F.col("probed"), F.col("near_own")).alias("near_own"),
     )

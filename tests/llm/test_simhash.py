@@ -26,7 +26,7 @@ def fingerprint(text):
 def test_edited_texts(spark, bucket_bytes):
     rng = random.Random(1)
     rows = [r for r in ODD if r[0] not in (8, 9)] + [(20 + 3 * i, " ".join(rng.choice(["alpha", "Beta", "é", "of"]) for _ in range(rng.randrange(60)))) for i in range(60)]
-    got = edited_fingerprints(docs_of(spark, rows), bucket_bytes=bucket_bytes).collect()
+    got = edited_fingerprints(docs_of(spark, rows), bucket_bytes=bucket_bytes, probe=F.col("doc_id") % 20 == 0).collect()
     ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     prints = [fingerprint(t) for _, t in ordered]
     truth = []
@@ -37,10 +37,24 @@ def test_edited_texts(spark, bucket_bytes):
         changed = fingerprint(edited)
         near = sum((changed ^ p).bit_count() <= 3 for p in prints)
         shares = [1 - (prints[k] ^ p).bit_count() / 64 for p in (changed, prints[following])]
-        truth.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), f"{prints[k]:016x}", f"{changed:016x}", *shares, near))
+        own = sum((prints[k] ^ p).bit_count() <= 3 for p in prints) if i is not None and i % 20 == 0 else None
+        truth.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), f"{prints[k]:016x}", f"{changed:016x}", *shares, near, own))
     assert sorted(map(tuple, got), key=repr) == sorted(truth, key=repr)
 
 
+@pytest.mark.parametrize("bucket_bytes", [60, 1 << 20])
+def test_ids_that_are_texts(spark, bucket_bytes):
+    rows = [(f"doc-{i:03d}é", f"words of number {i} and {i * i}") for i in range(40)] + [(None, "without"), ("", "empty"), ("doc-007é", "again")]
+    got = edited_fingerprints(spark.createDataFrame(rows, "name string, body string"), "name", "body", bucket_bytes=bucket_bytes).collect()
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    truth = []
+    for k, (name, text) in enumerate(ordered):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + ordered[(k + 1) % len(ordered)][1][:half]
+        truth.append((name, hashlib.sha256(edited.encode()).hexdigest(), sum((fingerprint(text) ^ fingerprint(t)).bit_count() <= 3 for _, t in rows)))
+    assert sorted([(r.name, r.edited_sha256, r.near_own) for r in got], key=repr) == sorted(truth, key=repr)
+
+
 def test_one_document_and_none(spark):
     one = edited_fingerprints(docs_of(spark, [(1, "abcdef")])).first()
     assert one.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and one.near_next == 1
