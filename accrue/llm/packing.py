@@ -107,7 +107,8 @@ def pack(rows: DataFrame, size: int = SIZE, group_rows: int = GROUP_ROWS, rounds
 
     Lengths are from 1 to `size`. Pieces of a group are placed longest first, ties by id and piece.
     """
-    rows = written(rows, "pieces")
+    # a number of its own for each piece: pieces of one id, or without any, are dealt as evenly as others
+    rows = written(rows.withColumn("_number", F.monotonically_increasing_id()), "pieces")
     n_groups = max(1, -(-rows.count() // group_rows))
     fields = [*rows.schema.fields, T.StructField("group", T.LongType()), T.StructField("bin", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("bins", T.LongType()), T.StructField("bound", T.LongType())]
 
@@ -121,7 +122,7 @@ def pack(rows: DataFrame, size: int = SIZE, group_rows: int = GROUP_ROWS, rounds
         return group
 
     def deal(of: DataFrame, salt: int, n: int, first: int) -> DataFrame:
-        group = F.pmod(F.xxhash64("id", "piece", F.lit(salt)), F.lit(n)) + first
+        group = F.pmod(F.xxhash64("_number", F.lit(salt)), F.lit(n)) + first
         return written(of.withColumn("group", group.cast("long")).groupBy("group").applyInArrow(packed, T.StructType(fields)), "packed")
 
     def gaps(of: DataFrame) -> tuple[int, int]:
@@ -140,4 +141,4 @@ def pack(rows: DataFrame, size: int = SIZE, group_rows: int = GROUP_ROWS, rounds
             break
         closed, now = sure if closed is None else closed.union(sure), again
     out = now if closed is None else closed.union(now)
-    return out.withColumn("sequence_id", F.shiftleft("group", 32) + F.col("bin")).drop("group", "bin")
+    return out.withColumn("sequence_id", F.shiftleft("group", 32) + F.col("bin")).drop("group", "bin", "_number")

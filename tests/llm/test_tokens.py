@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 import zstandard
 from cases import ODD, docs_of
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -133,6 +134,14 @@ def test_exchange_mends_gaps(spark):
     assert sum(lengths) / 10 <= mended.select("sequence_id").distinct().count() <= apart
 
 
+def test_rows_of_one_id_spread_over_groups(spark):
+    rows = spark.range(4000).selectExpr("CAST(NULL AS LONG) AS id", "0 AS piece", "0L AS start", "CAST(1 + id % 7 AS LONG) AS length", "0L AS ids_crc32")
+    got = pack(rows, 10, group_rows=500, rounds=0)
+    groups = [r["count"] for r in got.groupBy((F.col("sequence_id") / 2**32).cast("int").alias("g")).count().collect()]
+    assert set(got.columns) == {*rows.columns, "offset", "bins", "bound", "sequence_id"}
+    assert sum(groups) == 4000 and len(groups) == 8 and max(groups) < 700
+
+
 def test_pieces_of_rows_that_repeat_or_have_no_id(spark, tokenizer):
     got = pack(pieces(docs_of(spark, ODD), PATH)).collect()
     assert sum(r.length for r in got) == sum(len(direct(tokenizer, r[1])) for r in ODD)
