@@ -283,6 +283,7 @@ SELECT * FROM (
     "stream_idle_inputs": _with(_FACTS, _SNAPSHOT, _lines_cte("a", "daily", where=f"created_at <= {_WM}"), select="SELECT * FROM lines_a"),
     "last_value_nulls": _with(_FACTS, _OF_GAPS, _lines_cte("a", "monthly"), select="SELECT * FROM lines_a"),
     "stream_last_value_nulls": _with(_FACTS, _OF_GAPS, _lines_cte("a", "monthly"), select="SELECT * FROM lines_a"),
+    "stream_landed_source": _lines("daily"),
     "stream_state": _lines("daily", where=f"created_at <= {_WM}", select=f"""
 SELECT cuit, 'line' AS kind, tax_id, tax_rate, window_start, total_base_tax AS base_tax FROM lines_a WHERE window_end > {_WM} - to_seconds(600)
 UNION ALL SELECT cuit, 'waiting', tax_id, tax_rate, {_START['daily']}, base_tax FROM marked_a

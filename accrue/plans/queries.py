@@ -29,11 +29,12 @@ from accrue.plans.consolidate import consolidate, on_time_facts
 from accrue.sources import sample
 from accrue.sources.changelog import decode_changes, encode_changes, merge_snapshot_and_log, stamp_snapshot
 from accrue.sources.incremental import ChunkedSnapshot
+from accrue.sources.landed import read_landed
 from accrue.sources.landing import fan_out, land_in_waves
 from accrue.sources.schemas import FACTS, MERCHANT
 from accrue.sources.shared import shared_folder, written
 from accrue.streaming.keyed_table import KeyedTable
-from accrue.streaming.run import LINES_BY_DAY, Consolidation
+from accrue.streaming.run import LINES_BY_DAY, Consolidation, run_with_restarts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -567,6 +568,36 @@ def stream_last_value_nulls(spark, sf):
     return _finished(job, target)
 
 
+def stream_landed_source(spark, sf):
+    """Both inputs by the source with offsets, a third of the rows a batch: stopped after one batch, taken up from the checkpoint."""
+    folder = shared_folder(spark, "source")
+    target, facts, log = _target(spark, folder), sample.facts(spark, sf), sample.changelog(spark, sf)
+    log = log.withColumn("lsn", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', op_ts)"))
+
+    def land(rows: DataFrame, name: str, position: str) -> None:
+        rows.repartitionByRange(9, position).sortWithinPartitions(position).write.parquet(f"{folder}/{name}")
+
+    land(facts, "facts", "arr")
+    land(log.where("op = 'r'"), "snapshot", "seq")
+    land(log.where("op != 'r'"), "changes", "lsn")
+    third = [-(-rows.count() // 3) for rows in (facts, log)]
+    ticks = itertools.count(0, 10)
+    job = Consolidation(spark, f"{folder}/checkpoint", target, "daily", delay=DELAY, model=MODEL, clock=lambda: float(next(ticks)))
+
+    def inputs() -> tuple[DataFrame, DataFrame]:
+        return (
+            read_landed(spark, f"{folder}/facts", facts.schema, "arr", limit=third[0]),
+            read_landed(spark, f"{folder}/changes", log.schema, "lsn", f"{folder}/snapshot", third[1]),
+        )
+
+    job.admit(*inputs(), trigger=None).awaitTermination()
+    rest = job.admit(*inputs(), trigger="0 seconds")
+    rest.processAllAvailable()
+    rest.stop()
+    run_with_restarts(lambda: job.consolidate(None), 3, 0)
+    return _finished(job, target)
+
+
 def stream_state(spark, sf):
     """What is left in the state when the input has paused: waiting facts, and totals of periods that a fact may still reach."""
     folder = shared_folder(spark, "state")
@@ -646,5 +677,6 @@ QUERIES: dict[str, Query] = {
     "stream_idle_inputs": stream_idle_inputs,
     "last_value_nulls": last_value_nulls,
     "stream_last_value_nulls": stream_last_value_nulls,
+    "stream_landed_source": stream_landed_source,
     "stream_state": stream_state,
 }

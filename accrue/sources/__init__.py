@@ -2,6 +2,7 @@ from accrue.sources.changelog import decode_changes, encode_changes, merge_snaps
 from accrue.sources.files import read_change_records, read_changelog, read_facts
 from accrue.sources.incremental import ChunkedSnapshot, merge_chunks
 from accrue.sources.jdbc import jdbc_options
+from accrue.sources.landed import read_landed
 
 __all__ = [
     "ChunkedSnapshot",
@@ -13,5 +14,6 @@ __all__ = [
     "read_change_records",
     "read_changelog",
     "read_facts",
+    "read_landed",
     "stamp_snapshot",
 ]
