@@ -223,6 +223,8 @@ FROM lines_a GROUP BY cuit, tax_id, window_start, window_end"""),
     "open_certificates": _lines("daily", "SELECT * FROM lines_a WHERE window_end >= TIMESTAMP '2024-01-16'"),
     "final_certificates": _lines("daily", f"SELECT * FROM lines_a WHERE window_end <= {_WM}"),
     "key_lookup": _lines("monthly", """
+SELECT * FROM lines_a WHERE cuit = '11' AND tax_id = 'RET_IVA' AND tax_rate = 3.50 AND window_start = TIMESTAMP '2024-01-01 03:00:00'"""),
+    "key_lookup_written": _lines("monthly", """
 SELECT * FROM lines_a WHERE cuit = '11' AND tax_id = 'RET_IVA' AND tax_rate = 3.50 AND window_start = TIMESTAMP '2024-01-01 03:00:00'"""),
     "enriched_keys": _lines("daily", "SELECT DISTINCT cuit FROM lines_a WHERE establishment IS NOT NULL OR merchant_name IS NOT NULL"),
     "upsert_latest": _ITEMS,
@@ -288,4 +290,9 @@ SELECT * FROM (
 SELECT cuit, 'line' AS kind, tax_id, tax_rate, window_start, total_base_tax AS base_tax FROM lines_a WHERE window_end > {_WM} - to_seconds(600)
 UNION ALL SELECT cuit, 'waiting', tax_id, tax_rate, {_START['daily']}, base_tax FROM marked_a
 WHERE NOT late AND starts_with(tax_id, 'RET_') AND created_at > {_WM}"""),
+    "stream_state_restored": _lines("daily", where=f"created_at <= {_WM}", select=f"""
+SELECT 'planted' AS against, cuit, CASE WHEN CAST(cuit AS BIGINT) % 7 = 0 THEN 'only_left' ELSE 'changed' END AS status FROM (
+SELECT cuit FROM lines_a WHERE window_end > {_WM} - to_seconds(600)
+UNION SELECT cuit FROM marked_a WHERE NOT late AND starts_with(tax_id, 'RET_') AND created_at > {_WM})
+WHERE CAST(cuit AS BIGINT) % 7 < 2"""),
 }

@@ -34,7 +34,7 @@ from accrue.sources.landing import fan_out, land_in_waves
 from accrue.sources.schemas import FACTS, MERCHANT
 from accrue.sources.shared import shared_folder, written
 from accrue.streaming.keyed_table import KeyedTable
-from accrue.streaming.run import LINES_BY_DAY, Consolidation, run_with_restarts
+from accrue.streaming.run import LINES_BY_DAY, Consolidation, run_with_restarts, state_differences
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -290,6 +290,15 @@ def key_lookup(spark, sf):
     return views.line(lines, cuit="11", tax_id="RET_IVA", tax_rate=Decimal("3.50"), window_start=datetime(2024, 1, 1, 3))
 
 
+def key_lookup_written(spark, sf):
+    """The same on a written target: one day's folder and the pages that can hold the key are read."""
+    target = _target(spark, shared_folder(spark, "lookup"))
+    target.upsert(_lines(spark, sf, "monthly"), token="a")
+    start = datetime(2024, 1, 1, 3)
+    lines = target.read(parts=["2024-01-01"])
+    return views.line(lines, cuit="11", tax_id="RET_IVA", tax_rate=Decimal("3.50"), window_start=start)
+
+
 def enriched_keys(spark, sf):
     return views.enriched_keys(_lines(spark, sf))
 
@@ -613,6 +622,26 @@ def stream_state(spark, sf):
     )
 
 
+def stream_state_restored(spark, sf):
+    """State of a job that failed in a micro-batch and was restored against that of one that was not, and against one with
+    planted differences: of open keys, every seventh gone and every seventh with another timer."""
+    states = []
+    for run, fails in (("a", 0), ("b", 2)):
+        folder = shared_folder(spark, "restored")
+        job = _stream(spark, sf, 2, folder, run, _FailsOnce(_target(spark, folder), at=fails))
+        states.append(written(job.state(), "state"))
+    steady, restored = states
+    is_open = F.expr("try_cast(key AS BIGINT) IS NOT NULL AND (size(waiting) > 0 OR size(lines) > 0)")
+    turn = F.expr("try_cast(key AS BIGINT) % 7")
+    other = F.when(is_open & (turn == 1), F.coalesce(F.col("timer"), F.lit(0)) + 1).otherwise(F.col("timer"))
+    planted = restored.where(~F.coalesce(is_open & (turn == 0), F.lit(False))).withColumn("timer", other)
+    found = [
+        state_differences(steady, state).select(F.lit(name).alias("against"), F.col("key").alias("cuit"), "status")
+        for name, state in (("restored", restored), ("planted", planted))
+    ]
+    return found[0].unionByName(found[1])
+
+
 QUERIES: dict[str, Query] = {
     "family_filter": family_filter,
     "prefix_count": prefix_count,
@@ -652,6 +681,7 @@ QUERIES: dict[str, Query] = {
     "open_certificates": open_certificates,
     "final_certificates": final_certificates,
     "key_lookup": key_lookup,
+    "key_lookup_written": key_lookup_written,
     "enriched_keys": enriched_keys,
     "upsert_latest": upsert_latest,
     "keyed_table_upsert": keyed_table_upsert,
@@ -679,4 +709,5 @@ QUERIES: dict[str, Query] = {
     "stream_last_value_nulls": stream_last_value_nulls,
     "stream_landed_source": stream_landed_source,
     "stream_state": stream_state,
+    "stream_state_restored": stream_state_restored,
 }

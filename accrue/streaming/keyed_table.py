@@ -4,6 +4,10 @@ An upsert writes only its own rows, as one more folder, and then a version recor
 that lists the folders in force; readers take the last row per key. Small folders are
 merged into larger ones by levels. Versions carry a token: writing the same token
 again replaces that version, so a replayed micro-batch changes nothing.
+
+Rows lie sorted by key, with a Bloom filter for keys that are texts or integers, so
+a filter on leading key columns reads the pages, and one on any such column the row
+groups, that can hold it.
 """
 
 from __future__ import annotations
@@ -121,8 +125,13 @@ class KeyedTable:
     def _write(self, rows: DataFrame) -> str:
         folder = uuid.uuid4().hex
         rows = rows.withColumn(_PART, F.expr(self.partition).cast("string"))
-        # few files per part, and a large part still split over tasks
-        rows.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/rows/_folder={folder}")
+        # few files per part, and a large part still split over tasks; sorted, so that a key is in few pages of a file
+        rows = rows.hint("rebalance", _PART).sortWithinPartitions(_PART, *self.keys)
+        writer = rows.write.partitionBy(_PART).option("parquet.bloom.filter.adaptive.enabled", "true")
+        for key in self.keys:
+            if isinstance(rows.schema[key].dataType, (T.StringType, T.IntegerType, T.LongType)):
+                writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer.parquet(f"{self.path}/rows/_folder={folder}")
         return folder
 
     def vacuum(self) -> None:

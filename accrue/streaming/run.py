@@ -13,9 +13,11 @@ from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from accrue.functions.periods import DEFAULT_PERIOD, DEFAULT_ZONE, Period, check_fixed_offset, parse_period
+from accrue.operators.reconcile import reconcile
 from accrue.plans.consolidate import DELAY_SECONDS
 from accrue.plans.model import TAXES, Model
 from accrue.sources.ship import send_library
@@ -124,6 +126,14 @@ class Consolidation:
         return held.select("key.*", "value.*")
 
 
+def state_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Keys and shards that two states (``Consolidation.state``) do not hold alike, with ``status`` only_left / only_right /
+    changed. What a state holds in another order is alike."""
+    lists = ["versions", "waiting", "lines"]
+    left, right = (df.withColumns({c: F.sort_array(c) for c in lists}) for df in (left, right))
+    return reconcile(left, right, ["key", "shard"])
+
+
 def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int | None = None, delay: float = 1.0) -> None:
     """Run a query to its end and start it again when it fails, ``delay`` seconds later.
 

@@ -112,3 +112,31 @@ def test_an_upsert_with_other_columns_raises(spark, tmp_path):
     with pytest.raises(ValueError, match="other columns"):
         table.upsert(rows(spark, ("b", 1)), "2")
     assert table.read().columns == ["k", "v", "w"]
+
+
+def _rows_scanned(df):
+    df.collect()
+    nodes, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            nodes.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().startswith("Scan"):
+            rows += node.metrics().apply("numOutputRows").value()
+    return rows
+
+
+def test_a_lookup_reads_the_pages_that_can_hold_its_key(spark, tmp_path):
+    rows = spark.range(400_000, numPartitions=4).selectExpr("CAST(hash(id) AS STRING) AS cuit", "id", "0 AS day")
+    table = KeyedTable(spark, str(tmp_path / "t"), ["cuit", "id"], "day")
+    table.upsert(rows, token="a", unique=True)
+    wanted = rows.where("id = 77").first().cuit
+    whole, found = table.read(), table.read().where(F.col("cuit") == wanted)
+    assert _rows_scanned(whole) == 400_000
+    assert _rows_scanned(found) <= 50_000  # pages of some 20,000 rows
+    assert [r.id for r in found.collect()] == [77]
+    assert _rows_scanned(table.read().where(F.col("cuit") == "no such key")) <= 50_000
