@@ -60,6 +60,7 @@ def asof_join(
     slice_rows: int = SLICE_ROWS,
     size: LogSize | None = None,
     gauge: DataFrame | None = None,
+    shuffle: bool = False,
 ) -> DataFrame:
     """LEFT join to the last change with ``time <= event_time`` of the same key.
 
@@ -69,7 +70,8 @@ def asof_join(
     raises. Both strategies give the same rows.
 
     ``interval`` broadcasts validity intervals and raises when their measured size
-    does not allow it. ``union`` sorts facts and changes together by key and time and cuts
+    does not allow it; with ``shuffle`` it goes on through the shuffle: intervals are joined by key, or, where a key has
+    more versions than a probe should visit, as ``union`` does. ``union`` sorts facts and changes together by key and time and cuts
     hot keys into slices. ``auto`` takes the first where it can broadcast. ``size``
     is the log's :func:`measure`, if already taken. ``gauge`` may stand in for the
     facts where hot keys are looked for, a cheaper plan with much the same rows.
@@ -79,11 +81,12 @@ def asof_join(
     if strategy != "union" and size is None:
         size = measure(log, on, attributes, op)
     small = strategy != "union" and size.fits_probe(broadcast_bytes, versions_per_key)
-    if strategy == "interval" and not small:
+    by_key = strategy == "interval" and shuffle and size.largest <= versions_per_key
+    if strategy == "interval" and not small and not shuffle:
         raise ValueError(f"the change log does not fit strategy 'interval': {size.bytes} bytes, {size.largest} versions of one key")
-    if small:
+    if small or by_key:
         intervals = to_intervals(log, on, attributes, time, seq, op, slice_rows, size.largest)
-        return _interval_join(facts, F.broadcast(intervals), on, attributes, event_time)
+        return _interval_join(facts, F.broadcast(intervals) if small else intervals, on, attributes, event_time)
     gauge = facts if gauge is None else gauge
     return _union_join(facts, log, on, attributes, event_time, time, seq, op, slice_rows, gauge)
 

@@ -201,7 +201,7 @@ def asof_snapshot(spark, sf):
 def _asof(strategy: str) -> Query:
     def query(spark, sf):
         facts, log = sample.facts(spark, sf), sample.changelog(spark, sf)
-        joined = asof_join(facts, log, KEY, TEXTS, strategy=strategy)
+        joined = asof_join(facts, log, KEY, TEXTS, strategy=strategy, shuffle=True)
         return joined.select("id", "cuit", "created_at", *TEXTS, VERSION)
 
     return query

@@ -108,6 +108,14 @@ def test_interval_refuses_a_log_it_cannot_broadcast(spark, log_of):
             asof_join(plain_facts(spark, FACTS), log_of(*LOG), ["cuit"], [], strategy="interval", **limit)
 
 
+@pytest.mark.parametrize("limit", [{"broadcast_bytes": 10}, {"broadcast_bytes": 10, "versions_per_key": 4}, {"versions_per_key": 4}])
+def test_intervals_of_a_log_too_large_to_broadcast_are_joined_through_the_shuffle(spark, log_of, limit):
+    facts = [*FACTS, (None, 50)]
+    joined = asof_join(plain_facts(spark, facts), log_of(*LOG), ["cuit"], ["name", "establishment"], strategy="interval", shuffle=True, **limit)
+    assert ("Union" in joined._jdf.queryExecution().toString()) == ("versions_per_key" in limit)
+    check(joined, facts, LOG)
+
+
 @pytest.mark.parametrize("strategy", ["interval", "union"])
 def test_facts_without_key_or_time_find_nothing(spark, log_of, strategy):
     facts = spark.createDataFrame([(0, None, at(50)), (1, "a", None), (2, "a", at(50)), (3, None, None)], "id int, cuit string, created_at timestamp_ntz")
