@@ -212,7 +212,7 @@ def asof_null_keys(spark, sf):
     facts, log = sample.facts(spark, sf), sample.changelog(spark, sf)
     facts = facts.withColumn("cuit", F.when(F.col("id") % 7 != 3, F.col("cuit")))
     found = [
-        asof_join(facts, log, KEY, ["name"], strategy=s).select(F.lit(s).alias("strategy"), "id", "cuit", "name", VERSION)
+        asof_join(facts, log, KEY, ["name"], strategy=s, shuffle=True).select(F.lit(s).alias("strategy"), "id", "cuit", "name", VERSION)
         for s in ("interval", "union")
     ]
     return found[0].unionByName(found[1])
