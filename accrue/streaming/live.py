@@ -1,10 +1,11 @@
 """The second query of the stream: versions, waiting facts and growing totals per key, in Spark's state store.
 
 A key's state holds its versions, the facts that the watermark has not passed, and the totals of its open periods. The
-key's event-time timer is the time of its oldest waiting fact, of its next version or of the first period to end: when the watermark reaches
+key's timer is the time of its oldest waiting fact, of its next version or of the first period to end: when the watermark reaches
 it, the fact is joined to the version valid at its time, once and for all, and the lines it touches come out with their new
-totals. Versions that no fact to come can find, and periods that have ended, leave the state. So the work of a micro-batch
-is its own rows and the keys whose timer has come, however long the history is.
+totals. Versions that no fact to come can find, and periods that have ended, leave the state. Keys are dealt to a fixed number
+of groups, which the state store holds; a group's event-time timer is the first of its keys'. So the work of a micro-batch
+is its own rows, the keys whose timer has come, and reading the groups of both, however long the history is.
 
 A version counts for a fact only if it was admitted before the fact was released, whichever micro-batches the state
 happened to see them in: that is decided from the numbers and watermarks of their admission.
@@ -15,7 +16,8 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,6 +32,7 @@ from accrue.streaming.admission import NEVER
 MONEY = T.DecimalType(18, 2)
 _TOO_LARGE = 10**MONEY.precision
 MARK = "_watermark"
+GROUPS = 4096  # of keys; each costs a few calls into the state store per micro-batch that touches it
 LAST_MS = 4_500_000_000_000  # the year 2112
 _FACT, _CHANGE, _MARK, _BARE = range(4)  # kinds of rows; a bare fact has no key and finds no version
 
@@ -47,22 +50,37 @@ def _clock(micros: Column) -> Column:
     return F.expr(_EPOCH) + F.make_dt_interval(secs=(micros * F.expr("0.000001BD")).cast("decimal(18,6)"))
 
 
-class KeyState(StatefulProcessor):
-    """One key's versions, waiting facts and open lines: a single value, read and written once per call."""
+def _timer(times: list[int]) -> int | None:
+    """Where the first of these times, in microseconds, is on the axis of the watermark."""
+    return min(2 * -(-min(times) // 1000), 2 * LAST_MS) if times else None
+
+
+def _plain(held: tuple) -> tuple:
+    """A key's part of the state as the state takes it back."""
+    return held if type(held) is tuple else (*held[:3], *([tuple(x) for x in part] for part in held[3:]))
+
+
+class GroupState(StatefulProcessor):
+    """Versions, waiting facts and open lines of a group of keys. Every call into the state store costs far more than a row,
+    so a group takes a fixed number of them however many keys it holds: its versions are one value and what is open in it
+    another, and a value is written only if it changed. Only keys that have rows or whose time has come are worked on."""
 
     def __init__(self, attributes: int, measures: int, eager: bool, delay: int):
         self.attributes, self.measures, self.eager, self.delay = attributes, measures, eager, delay
 
     @property
-    def schema(self) -> str:
+    def versions_schema(self) -> str:
         texts = "".join(f", a{i}:string" for i in range(self.attributes))
+        version = f"struct<at:bigint, seq:bigint, batch:bigint, before:bigint, alive:boolean{texts}>"
+        return f"keys array<struct<key:string, shard:bigint, timer:bigint, versions:array<{version}>>>"
+
+    @property
+    def open_schema(self) -> str:
         values = "".join(f", m{i}:bigint" for i in range(self.measures))
         held = "".join(f", a{i}:string, t{i}:bigint" for i in range(self.attributes))
-        return (
-            f"versions array<struct<at:bigint, seq:bigint, batch:bigint, before:bigint, alive:boolean{texts}>>, "
-            f"waiting array<struct<at:bigint, batch:bigint, keyed:boolean, line:string, start:bigint, end:bigint{values}>>, "
-            f"lines array<struct<line:string, start:bigint, end:bigint{values}{held}>>, timer bigint"
-        )
+        fact = f"struct<at:bigint, batch:bigint, keyed:boolean, line:string, start:bigint, end:bigint{values}>"
+        line = f"struct<line:string, start:bigint, end:bigint{values}{held}>"
+        return f"keys array<struct<key:string, shard:bigint, timer:bigint, waiting:array<{fact}>, lines:array<{line}>>>"
 
     @property
     def output(self) -> str:
@@ -72,34 +90,77 @@ class KeyState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.value = handle.getValueState("key", self.schema)
-        self.row = Row(*(column.split()[0] for column in self.output.split(", ")))
+        self.versions = handle.getValueState("versions", self.versions_schema)
+        self.open = handle.getValueState("open", self.open_schema)
+        self.columns = [column.split()[0] for column in self.output.split(", ")]
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         n = self.measures
-        facts, changes = [], []
-        for kind, at, batch, seq, before, alive, line, start, end, *rest in (tuple(r)[2:] for r in rows):
-            if kind in (_FACT, _BARE):
-                facts.append((at, batch, kind == _FACT, line, start, end, *rest[:n]))
-            elif kind == _CHANGE:
-                changes.append((at, seq, batch, before, alive, *rest[n : n + self.attributes]))
-        if facts or changes:
-            yield from self._advance(facts, changes, timerValues)
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance([], [], timerValues, expired=True)
+        new: dict[tuple, tuple[list, list]] = {}
+        for frame in rows:
+            cells = [frame.iloc[:, i].tolist() for i in range(1, frame.shape[1])]
+            for own, shard, kind, at, batch, seq, before, alive, line, start, end, *rest in zip(*cells):
+                if kind == _MARK:
+                    continue
+                facts, changes = new.setdefault((own, shard), ([], []))
+                if kind == _CHANGE:
+                    changes.append((at, seq, batch, before, alive, *rest[n : n + self.attributes]))
+                else:
+                    facts.append((at, batch, kind == _FACT, line, start, end, *rest[:n]))
+        if new:
+            yield from self._advance(new, timerValues)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance({}, timerValues, expired=True)
 
     def close(self) -> None:
         pass
 
-    def _advance(self, facts: list[tuple], changes: list[tuple], timers: TimerValues, expired: bool = False) -> Iterator[Row]:
-        n, k = self.measures, self.attributes
-        held = self.value.get()
-        versions, waiting, totals = ([tuple(x) for x in part] for part in held[:3]) if held else ([], [], [])
-        timer = held[3] if held and not expired else None
-        versions, waiting = versions + changes, waiting + facts
+    def _advance(self, new: dict[tuple, tuple[list, list]], timers: TimerValues, expired: bool = False) -> Iterator[pd.DataFrame]:
+        now = timers.getCurrentWatermarkInMs()
         # the axis of the watermark counts half milliseconds, so that a timer at twice a time fires exactly when it is reached
-        passed = max(0, (timers.getCurrentWatermarkInMs() - 1) // 2) * 1000
+        passed = max(0, (now - 1) // 2) * 1000
+        parts = [{(x[0], x[1]): x for x in (state.get() or ((),))[0]} for state in (self.versions, self.open)]
+        timer = None if expired else self._soonest(parts)
+        due = {own for part in parts for own, x in part.items() if x[2] is not None and x[2] <= now}
+        out, changed = [], [False, False]
+        for own in due | new.keys():
+            before = [_plain(part[own]) if own in part else None for part in parts]
+            facts, changes = new.get(own, ((), ()))
+            versions = [*before[0][3], *changes] if before[0] else list(changes)
+            waiting, totals = ([*before[1][3], *facts], before[1][4]) if before[1] else (list(facts), [])
+            lines, after = self._advance_key(own, versions, waiting, totals, passed)
+            out += lines
+            for i, (was, now_is) in enumerate(zip(before, after)):
+                if was != now_is:
+                    changed[i] = True
+                    if now_is is None:
+                        del parts[i][own]
+                    else:
+                        parts[i][own] = now_is
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+        for state, part, differs in zip((self.versions, self.open), parts, changed):
+            if differs and part:
+                state.update(([_plain(x) for x in part.values()],))
+            elif differs:
+                state.clear()
+        wanted = self._soonest(parts)
+        if timer != wanted:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+
+    @staticmethod
+    def _soonest(parts: list[dict]) -> int | None:
+        return min((x[2] for part in parts for x in part.values() if x[2] is not None), default=None)
+
+    def _advance_key(
+        self, own: tuple, versions: list[tuple], waiting: list[tuple], totals: list[tuple], passed: int
+    ) -> tuple[list[tuple], list[tuple | None]]:
+        """Lines touched, and what is held of the key now: its versions and what is open, None where there is nothing."""
+        n, k = self.measures, self.attributes
         # facts to come may be behind the watermark, where only changes moved it, but never by more than the delay
         settled = passed - self.delay
         ready = waiting if self.eager else [w for w in waiting if w[0] <= passed]
@@ -112,8 +173,8 @@ class KeyState(StatefulProcessor):
                 found = bisect_right(times, w[0]) - 1 if w[2] else -1
                 while found >= 0 and not self._counts(versions[found], w):
                     found -= 1
-                own = (w[3], w[4])
-                line = touched[own] = lines.setdefault(own, [*w[3:6], *[0] * n, *[None, NEVER] * k])
+                of = (w[3], w[4])
+                line = touched[of] = lines.setdefault(of, [*w[3:6], *[0] * n, *[None, NEVER] * k])
                 for i in range(n):
                     line[3 + i] += w[6 + i]
                     if not -_TOO_LARGE < line[3 + i] < _TOO_LARGE:
@@ -124,23 +185,14 @@ class KeyState(StatefulProcessor):
                         if text is not None and w[0] >= line[at + 1]:
                             line[at], line[at + 1] = text, w[0]
             waiting = [] if self.eager else [w for w in waiting if w[0] > passed]
-        for line in touched.values():
-            yield self.row(*line[: 3 + n], *line[3 + n :: 2])
+        out = [(*line[: 3 + n], *line[3 + n :: 2]) for line in touched.values()]
         versions = self._needed(versions, settled)
         left = [tuple(x) for x in lines.values() if x[2] > settled]
         # a version gives way as soon as the next one has settled
         replaced = [x for x in (max(v[0], v[3]) for v in versions) if x > settled] if len(versions) > 1 else []
-        soonest = min((*(w[0] for w in waiting), *(x + self.delay for x in (*(x[2] for x in left), *replaced))), default=None)
-        wanted = None if soonest is None else min(2 * -(-soonest // 1000), 2 * LAST_MS)
-        if timer != wanted:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            if wanted is not None:
-                self.handle.registerTimer(wanted)
-        if versions or waiting or left:
-            self.value.update((versions, waiting, left, wanted))
-        elif held:
-            self.value.clear()
+        known = (*own, _timer([x + self.delay for x in replaced]), versions) if versions else None
+        soonest = _timer([*(w[0] for w in waiting), *(x[2] + self.delay for x in left)])
+        return out, [known, (*own, soonest, waiting, left) if waiting or left else None]
 
     def _counts(self, version: tuple, fact: tuple) -> bool:
         """Whether the version was admitted before the fact was released."""
@@ -167,11 +219,12 @@ def live_lines(
     eager: bool = False,
     shards: int = 1,
     delay: float = DELAY_SECONDS,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """The streaming plan: admitted batches -> lines touched by each micro-batch, with their totals so far.
 
     ``shards`` spreads the lines of one key over so many groups, each with the key's versions: for keys that alone would
-    keep one task busy.
+    keep one task busy. ``groups`` is the number of groups of keys that the state holds.
     """
     m = model
     fact_type, change_type = admitted.schema["fact"].dataType, admitted.schema["change"].dataType
@@ -179,8 +232,8 @@ def live_lines(
     at = F.col(f"fact.{m.event_time}")
     start = period_start(at, period, zone, anchor)
     rows = admitted.withColumn("_start", F.when(is_fact, start))
-    groups = F.struct(*[F.col(f"fact.{c}").alias(c) for c in m.groups])
-    of_line = F.pmod(F.xxhash64(F.to_json(groups), F.col("_start")), F.lit(shards))
+    told = F.struct(*[F.col(f"fact.{c}").alias(c) for c in m.groups])
+    of_line = F.pmod(F.xxhash64(F.to_json(told), F.col("_start")), F.lit(shards))
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))
     whole = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     scaled = [(F.col(f"fact.{c}").cast(MONEY) * F.expr("100BD")) for c in m.measures]
@@ -194,18 +247,20 @@ def live_lines(
         whole(F.col("change.seq")).alias("seq"),
         whole(F.col("before")).alias("before"),
         F.coalesce(F.col("change.op") != DELETE, F.lit(False)).alias("alive"),
-        F.when(is_fact, F.to_json(groups)).alias("line"),
+        F.when(is_fact, F.to_json(told)).alias("line"),
         whole(_micros(F.col("_start"))).alias("start"),
         whole(_micros(F.when(is_fact, period_end(F.col("_start"), period, zone, anchor)))).alias("end"),
         *[whole(c).alias(f"m{i}") for i, c in enumerate(scaled)],
         *[F.col(f"change.{c}").cast("string").alias(f"a{i}") for i, c in enumerate(m.attributes)],
         F.when(F.col("mark") > 0, F.timestamp_millis(2 * passed + 1)).alias(MARK),
     )
-    kept = KeyState(len(m.attributes), len(m.measures), eager, round(delay * 1_000_000))
+    kept = GroupState(len(m.attributes), len(m.measures), eager, round(delay * 1_000_000))
+    group = F.pmod(F.xxhash64("key", "shard"), F.lit(groups)).alias("group")
     out = (
-        rows.withWatermark(MARK, "0 seconds")
-        .groupBy("key", "shard")
-        .transformWithState(kept, kept.output, "Update", "EventTime")
+        rows.select(group, "*")
+        .withWatermark(MARK, "0 seconds")
+        .groupBy("group")
+        .transformWithStateInPandas(kept, kept.output, "Update", "EventTime")
     )
     line = F.from_json("line", T.StructType([fact_type[c] for c in m.groups]))
     return out.withColumn("line", line).select(

@@ -122,8 +122,13 @@ class Consolidation:
 
     def state(self) -> DataFrame:
         """What the second query's state holds now, by Spark's state data source: a row per key and shard."""
-        held = self.spark.read.format("statestore").option("stateVarName", "key").load(f"{self.checkpoint}/lines")
-        return held.select("key.*", "value.*")
+        def held(name: str) -> DataFrame:
+            groups = self.spark.read.format("statestore").option("stateVarName", name).load(f"{self.checkpoint}/lines")
+            return groups.select(F.inline("value.keys"))
+
+        both = held("versions").withColumnRenamed("timer", "_next").join(held("open"), ["key", "shard"], "full")
+        lists = [F.coalesce(c, F.array().cast(both.schema[c].dataType)).alias(c) for c in ("versions", "waiting", "lines")]
+        return both.select("key", "shard", *lists, F.least("_next", "timer").alias("timer"))
 
 
 def state_differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -3,13 +3,15 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 
 from accrue.operators.quality import differences
 from accrue.plans import TAXES, consolidate
 from accrue.sources.schemas import CHANGES, FACTS
 from accrue.streaming import TRIGGER, Consolidation, KeyedTable, Progress, StateMismatch, run_with_restarts
-from accrue.streaming.admission import micros
+from accrue.streaming.admission import NEVER, micros
+from accrue.streaming.live import GroupState
 from conftest import fact, line_set
 
 M = datetime(2024, 5, 6, 15, 0, 0)
@@ -220,6 +222,57 @@ def test_any_split_into_micro_batches_gives_the_batch_result(spark, run, facts_o
         r.admit(*facts[:1])
 
 
+class Store:
+    """State variables and timers of one group, counting the calls."""
+
+    def __init__(self):
+        self.values, self.timers, self.calls = {}, [], 0
+
+    def getValueState(self, name, schema):
+        store = self
+
+        class Value:
+            def get(self):
+                store.calls += 1
+                return store.values.get(name)
+
+            def update(self, value):
+                store.calls += 1
+                store.values[name] = value
+
+            def clear(self):
+                store.calls += 1
+                store.values.pop(name)
+
+        return Value()
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def test_a_group_takes_few_calls_into_the_state_however_many_keys_it_holds():
+    store, second = Store(), 1_000_000
+    group = GroupState(1, 1, eager=False, delay=5 * second)
+    group.init(store)
+    now = type("Now", (), {"ms": 0, "getCurrentWatermarkInMs": lambda self: self.ms})()
+    change = [(0, str(i), 0, 1, 10 * second, 0, i, NEVER, True, None, 0, 0, 0, f"n{i}", None) for i in range(500)]
+    fact = [(0, str(i), 0, 0, (20 + i) * second, 1, 0, 0, False, "x", 0, 3600 * second, i, None, None) for i in range(100)]
+    assert list(group.handleInputRows((0,), iter([pd.DataFrame(change[:250]), pd.DataFrame(change[250:] + fact)]), now)) == []
+    assert store.calls <= 5 and store.timers == [2 * 20_000]
+    assert [len(value[0]) for value in store.values.values()] == [500, 100]
+    # 31 of the facts are out at second 50; the versions have not changed and are not written again
+    versions, store.calls, now.ms = store.values["versions"], 0, 2 * 50_000 + 1
+    store.timers.clear()  # Spark takes back a timer that fires
+    [out] = group.handleExpiredTimer((0,), now, None)
+    assert sorted(zip(out["m0"], out["a0"])) == [(i, f"n{i}") for i in range(31)]
+    assert store.calls <= 4 and store.values["versions"] is versions and store.timers == [2 * 51_000]
+
+
 def test_all_admitted_at_once_gives_the_same(spark, run, facts_of, log_of):
     """The second query lags: it sees changes before the facts that were out before them."""
     facts, changes = random_history(5)
