@@ -322,8 +322,9 @@ def keyed_table_upsert(spark, sf):
     """The same through the keyed Parquet target."""
     early, late = _items(spark, sf)
     table = KeyedTable(spark, shared_folder(spark, "items"), ITEM_KEYS)
-    table.upsert(latest_per_key(early, ITEM_KEYS, ITEM_ORDER), "early")
-    table.upsert(latest_per_key(late, ITEM_KEYS, ITEM_ORDER), "late")
+    # one row a key already: looking for a second one would do the whole aggregation twice
+    table.upsert(latest_per_key(early, ITEM_KEYS, ITEM_ORDER), "early", unique=True)
+    table.upsert(latest_per_key(late, ITEM_KEYS, ITEM_ORDER), "late", unique=True)
     return table.read()
 
 

@@ -140,3 +140,23 @@ def test_a_lookup_reads_the_pages_that_can_hold_its_key(spark, tmp_path):
     assert _rows_scanned(found) <= 50_000  # pages of some 20,000 rows
     assert [r.id for r in found.collect()] == [77]
     assert _rows_scanned(table.read().where(F.col("cuit") == "no such key")) <= 50_000
+
+
+def test_the_query_aggregates_each_delta_once(spark, tmp_path, monkeypatch):
+    from accrue.plans import queries
+
+    items = spark.range(200).selectExpr(
+        "id % 150 AS l_orderkey", "1 AS l_linenumber", "TIMESTAMP_NTZ '1997-12-01 00:00:00' + INTERVAL '1' DAY * (id % 60) AS l_shipdate",
+        *[f"id AS {c}" for c in queries.ITEM_ORDER[1:]]
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    monkeypatch.setattr(queries, "_table", lambda *_: spark.read.parquet(f"{tmp_path}/lineitem.parquet").withColumn("l_tax", counted("l_tax")))
+    assert queries.keyed_table_upsert(spark, str(tmp_path)).count() == 150
+    assert seen.value == 200
