@@ -13,7 +13,9 @@ lists, but l shared n-grams drop more candidates before they are verified. Two d
    of both sets (whose differing bits never exceed the differing n-grams) still allow the similarity.
 4. Two rounds: first each class meets the leaders of its lists and is compared with the closest; then the lists are
    joined but for pairs of classes that are connected by now, so that the links of a large group of near copies are
-   not all expanded. Pairs that a 1024-bit sketch still allows are verified on whole sets.
+   not all expanded. Pairs that a 1024-bit sketch still allows, and then one of at least four bits for each n-gram, are
+   verified on whole sets. Texts, sketches and sets are sieved by a broadcast bitmap of the ids of the pairs before they
+   are joined, so that those of documents without a pair are not shuffled.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ SHINGLE, PERCENT = 5, 80
 LONGEST = 4
 FREQUENT_IN_TASK = 8
 MAX_FREQUENT = 1 << 17
-REMEMBERED = 32  # n-grams an entry knows before its own; a pair may come out again behind them
+REMEMBERED = 16  # n-grams an entry knows before its own; a pair may come out again behind them
 MAX_COUNTED = 1 << 21  # distinct n-grams a task counts at a time; beyond it those seen once are dropped
 SKETCH_BITS = 1024
+FINE_BITS = 4  # of the sketch of a whole set, for each n-gram
+SIEVE_BITS = 24  # of the hash of an id; the bitmap broadcast has at most 2^SIEVE_BITS bits
 VERIFY_COST = 0.05  # of comparing one n-gram of a candidate, against one entry of a list
 _TOP = np.uint64(1 << 63)
 _APART = "(" + " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(1, 5)) + ")"
@@ -123,7 +127,19 @@ def _shingles(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
     for held in batches:
         for batch in blocks(held, "text"):
             sets = _Sets(batch.column(1), size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "grams"])
+            fine, longs = _fine(sets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets.sizes, pa.int64()), list_array(fine, longs, pa.int64()), list_array(sets.key.view(np.int64), sets.sizes, pa.int64())], names=["id", "n", "sketch", "grams"]
+            )
+
+
+def _fine(sets: _Sets) -> tuple[np.ndarray, np.ndarray]:
+    """A parity sketch of each set in a power of two of 64-bit numbers, and how many; by the lowest bits, so that a longer one folds to a shorter."""
+    longs = 1 << np.ceil(np.log2(np.maximum(1, -(-FINE_BITS * sets.sizes // 64)))).astype(np.int64)
+    begin = 64 * (np.cumsum(longs) - longs)
+    cells = begin[sets.doc] + (sets.key & (64 * longs - 1).astype(np.uint64)[sets.doc]).astype(np.int64)
+    odd = np.bincount(cells, minlength=64 * int(longs.sum())) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64), longs
 
 
 def _entries(batches: Iterator[pa.RecordBatch], percent: int, longest: int) -> Iterator[pa.RecordBatch]:
@@ -156,7 +172,7 @@ def _may(percent: int) -> str:
 
 
 def _listed(heads: DataFrame, percent: int, longest: int) -> DataFrame:
-    """The list entries that meet another class of a fitting size and sketch, each with the n-grams before its own.
+    """Of each class the list entries that meet another class of a fitting size and sketch, as `all` in the order of their places.
 
     `heads`, a table of `written`, has one row per class and is discarded.
     """
@@ -174,28 +190,34 @@ def _listed(heads: DataFrame, percent: int, longest: int) -> DataFrame:
     discard(all_entries)
     grams = entries.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("all"))
     own = [*node, "n", "l", "b1", "b2", "b3", "b4"]
-    kept = entries.select(*own).distinct().join(grams, node).select(*own, F.col("all.gram").alias("grams"), F.posexplode("all").alias("k", "at"))
-    before = F.slice("grams", F.lit(1), F.least(F.col("k"), F.lit(REMEMBERED)))
-    kept = written(kept.select(*own, "at.place", "at.gram", before.alias("before"), (F.col("k") <= REMEMBERED).alias("all_before")), "entries")
+    kept = written(entries.select(*own).distinct().join(grams, node).select(*own, "all"), "entries")
     discard(entries)
     return kept
 
 
+def _posted(kept: DataFrame) -> DataFrame:
+    """The list entries of `_listed` as rows, each with the n-grams before its own."""
+    rows = kept.withColumn("grams", F.col("all.gram")).select("*", F.posexplode("all").alias("k", "at"))
+    before = F.slice("grams", F.lit(1), F.least(F.col("k"), F.lit(REMEMBERED)))
+    return rows.select(*kept.drop("all").columns, "at.place", "at.gram", before.alias("before"), (F.col("k") <= REMEMBERED).alias("all_before"))
+
+
 def _stars(entries: DataFrame, percent: int) -> DataFrame:
     """(a, b): for each class the leader of a list whose sketch is closest to its own; leaders are chosen by two hashes."""
-    found = None
-    for salt in (1, 2):
-        leader = F.min(F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "n", "b1", "b2", "b3", "b4"))
-        leaders = entries.groupBy("gram").agg(leader.alias("y")).select(F.col("gram").alias("of"), "y")
-        met = entries.alias("x").join(leaders, F.expr(f"x.gram = of AND x.id != y.id AND {_may(percent)}"))
-        best = met.groupBy(F.col("x.id").alias("a")).agg(F.min(F.struct(F.expr(_APART).alias("apart"), F.col("y.id").alias("b"))).alias("best")).select("a", "best.b")
-        found = best if found is None else found.union(best)
+    entries = entries.select("id", "n", "b1", "b2", "b3", "b4", F.explode("all.gram").alias("gram"))
+    leaders = [F.min(F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "n", "b1", "b2", "b3", "b4")) for salt in (1, 2)]
+    leaders = entries.groupBy("gram").agg(*(y.alias(f"y{k}") for k, y in enumerate(leaders))).select(F.col("gram").alias("of"), "y0", "y1")
+    met = entries.alias("x").join(leaders, F.expr("x.gram = of"))
+    fits = [F.when(F.expr(f"x.id != y.id AND {_may(percent)}".replace("y.", f"y{k}.")), F.struct(F.expr(_APART.replace("y.", f"y{k}.")).alias("apart"), F.col(f"y{k}.id").alias("b"))) for k in (0, 1)]
+    best = met.groupBy(F.col("x.id").alias("a")).agg(*(F.min(y).alias(f"best{k}") for k, y in enumerate(fits)))
+    found = best.select("a", F.explode(F.array("best0.b", "best1.b")).alias("b")).where("b IS NOT NULL")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _candidates(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of classes that may be similar enough and are not connected yet."""
     held = entries.join(labels.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    held = _posted(held)
     pairs = held.alias("x").join(
         held.alias("y"),
         F.expr(
@@ -213,14 +235,34 @@ def _need(x: str, y: str, percent: int) -> str:
     return f"(({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent})"
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
+def _sieved(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is in `ids`, and some others: by a bitmap of hashes, which is bounded however many ids there are."""
+    place = F.shiftrightunsigned(F.xxhash64("id"), 64 - SIEVE_BITS)
+    bit = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
+    bits = ids.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("long")).agg(F.bit_or(bit).alias("bits"))
+    found = rows.withColumn("place", place).withColumn("long", F.shiftright("place", 6)).join(F.broadcast(bits), "long")
+    return found.where(F.col("bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose larger parity sketches still allow the similarity; sketches are far smaller than sets."""
+    """Pairs whose larger parity sketches still allow the similarity; sketches are far smaller than sets.
+
+    Two of different lengths, which are powers of two, are compared in the shorter length.
+    """
+    sketches = _sieved(sketches.select("id", "n", "sketch"), _ends(pairs))
     met = pairs.join(sketches.withColumnsRenamed({"id": "a", "sketch": "xa", "n": "na"}), "a").join(sketches.withColumnsRenamed({"id": "b", "sketch": "xb", "n": "nb"}), "b")
-    apart = "aggregate(zip_with(xa, xb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    shorter = "least(size(xa), size(xb))"
+    folded = "IF(size({x}) = %s, {x}, transform(sequence(0, %s - 1), j -> aggregate(sequence(j, size({x}) - 1, %s), 0L, (s, i) -> s ^ {x}[i])))" % (shorter, shorter, shorter)
+    apart = f"aggregate(zip_with({folded.format(x='xa')}, {folded.format(x='xb')}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
     return met.where(f"{apart} <= na + nb - 2 * {_need('na', 'nb', percent)}").select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    sets = _sieved(sets.select("id", "grams"), _ends(pairs))
     left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both"))
     return met.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
@@ -263,11 +305,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     entries = _listed(heads, percent, longest)
 
     def links(pairs: DataFrame) -> DataFrame:
-        pairs = written(_possible(pairs, sketches, percent), "candidates")
-        met = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = written(rows.join(met, "id").select("id", "text").mapInArrow(lambda it: _shingles(it, size), f"id {kind}, grams array<long>"), "sets")
-        found = written(_verified(pairs, sets, percent), "verified")
-        discard(sets, pairs)
+        met = written(pairs, "pairs")
+        pairs = written(_possible(met, sketches, percent), "candidates")
+        ids = _ends(pairs)
+        held = _sieved(rows, ids)
+        if ids.count() > 1 << SIEVE_BITS - 3:  # the bitmap is getting full
+            held = held.join(ids, "id", "left_semi")
+        sets = held.mapInArrow(lambda it: _shingles(it, size), f"id {kind}, n long, sketch array<long>, grams array<long>")
+        sets = written(sets, "sets")
+        fine = written(_possible(pairs, sets, percent), "candidates")
+        found = written(_verified(fine, sets, percent), "verified")
+        discard(met, pairs, fine, sets)
         return found
 
     first = links(_stars(entries, percent)).union(own)

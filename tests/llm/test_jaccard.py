@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from cases import ODD, docs_of, words
 
 from accrue.llm.components import components
-from accrue.llm.jaccard import similar_groups
+from accrue.llm.jaccard import _possible, _prefixes, _shingles, _sieved, _verified, similar_groups
 
 
 def shingles(text, size):
@@ -91,3 +92,34 @@ def test_components(spark, seed):
         parent[max(a, b)] = min(a, b)
     got = components(spark.createDataFrame(links + links[:3], "a long, b long")).collect()
     assert {(r.node, r.component) for r in got} == {(x, root(x)) for link in links for x in link if link[0] != link[1]} and len(got) == len({r.node for r in got})
+
+
+def test_ids_of_pairs_are_sieved(spark):
+    rows = spark.range(20_000).selectExpr("IF(id % 1000 = 7, NULL, id) AS id", "CAST(id AS STRING) AS text")
+    ids = spark.createDataFrame([(5,), (11,), (19_999,)], "id long")
+    kept = {r.id for r in _sieved(rows, ids).collect()}
+    assert {5, 11, 19_999} <= kept and len(kept) < 10 and None not in kept
+    assert _sieved(rows, ids.limit(0)).count() == 0
+
+
+def test_sketches_as_long_as_the_sets_tell_long_texts_apart(spark):
+    words = [f"w{i}" for i in range(3600)]
+    texts = {1: words[:3000], 2: words[600:], 3: words[:2700] + words[3300:], 4: words[:2990]}
+    rows = spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()], "id long, text string")
+    sets = rows.mapInArrow(lambda it: _shingles(it, 1), "id long, n long, sketch array<long>, grams array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (3, 4)], "a long, b long")
+    # 1 and 2 share 2400 of 3600 words: 1024 bits can't tell, as they differ in more words than bits can show
+    coarse = rows.mapInArrow(lambda it: _prefixes(it, 1, 80, 4, (np.zeros(0, np.uint64), np.zeros(0, np.uint64))), "id long, n long, s1 long, s2 long, b1 long, b2 long, b3 long, b4 long, sketch array<long>, prefix array<long>")
+    assert {tuple(r) for r in _possible(pairs, coarse, 80).collect()} == {(1, 2), (1, 3), (1, 4), (3, 4)}
+    assert {tuple(r) for r in _possible(pairs, sets, 80).collect()} == {(1, 3), (1, 4), (3, 4)}
+    assert {tuple(r) for r in _verified(pairs, sets, 80).collect()} == {(1, 3), (1, 4), (3, 4)}
+
+
+def test_sketches_of_different_lengths_are_folded(spark):
+    # 1024 and 1050 n-grams have sketches of 64 and 128 numbers
+    texts = {1: range(1024), 2: range(1050), 3: range(1000, 2050), 4: []}
+    rows = spark.createDataFrame([(k, " ".join(f"w{i}" for i in v)) for k, v in texts.items()], "id long, text string")
+    sets = rows.mapInArrow(lambda it: _shingles(it, 1), "id long, n long, sketch array<long>, grams array<long>")
+    assert {r.id: len(r.sketch) for r in sets.collect()} == {1: 64, 2: 128, 3: 128, 4: 1}
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in _possible(pairs, sets, 80).collect()] == [(1, 2)]
