@@ -19,12 +19,16 @@ words there, so that one place is left for words never seen.
 
 Word counts cover all training texts and stay in Spark. Those of the `COMMON` most frequent words are broadcast, all
 others are joined by their hash; so what the driver holds and broadcasts does not grow with the corpus.
+
+The words of a text are found and looked up once (`encoded`): the passes that fit and score read their places among
+the common words, four bytes a token, from a written table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +71,18 @@ class _Tokens:
         self.kind[word] = np.where(final == 46, _STOP, np.where(final == 44, _COMMA, _OTHER))
 
 
+class _Codes:
+    """The tokens of a column of `encoded` texts: the place of each word among the common ones, or -1 less its class."""
+
+    def __init__(self, column: pa.Array):
+        data, at = text_bytes(column)
+        self.code = data.view("<i4").astype(np.int64)
+        n = np.diff(at) // 4
+        self.counts = n
+        self.doc = np.repeat(np.arange(len(n)), n)
+        self.last = np.cumsum(n) - 1
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts, pa.int64())], names=["key", "n"])
@@ -101,22 +117,27 @@ class Vocabulary:
     def size(self) -> int:
         return self.head + 5
 
+    def places(self, tokens: _Tokens) -> np.ndarray:
+        """The place of each word among the common ones; for other words and the end -1 less their class."""
+        if not len(self.keys):
+            return -1 - tokens.kind
+        key = tokens.key & ~3 | tokens.kind
+        distinct, _ = counted(key)  # far fewer than words, and in order: a block's words are sought among these
+        at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+        at = np.where((self.keys[at] == distinct) & (distinct & 3 != _END), at, -1 - (distinct & 3))
+        return at[np.searchsorted(distinct, key)]
+
+    @cached_property
+    def by_code(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbol, count and class by code: behind the common words stand the end and the classes, which codes below zero count from the back."""
+        behind = np.array([_END, _OTHER, _COMMA, _STOP])
+        return np.append(self.symbols, self.head + behind), np.append(self.counts, [self.ends, -1, -1, -1]), np.append(self.keys & 3, behind)
+
     def look_up(self, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key, symbol and count of each token; the count is -1 where the word is not common."""
-        return self.find(tokens)[:3]
-
-    def find(self, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """`look_up`, and the place of the word among the common ones, or -1."""
-        key = tokens.key & ~3 | tokens.kind
-        symbol, count = self.head + tokens.kind, np.full(len(key), -1)
-        place = np.full(len(key), -1)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[at] == key
-            symbol, count = np.where(known, self.symbols[at], symbol), np.where(known, self.counts[at], count)
-            place = np.where(known & (tokens.kind != _END), at, -1)
-        count = np.where(tokens.kind == _END, self.ends, count)
-        return key, np.where(tokens.kind == _END, self.head + _END, symbol), count, place
+        code = self.places(tokens)
+        symbols, counts, _ = self.by_code
+        return tokens.key & ~3 | tokens.kind, symbols[code], counts[code]
 
     def unigrams(self) -> np.ndarray:
         """Smoothed shares of the symbols; the begin of a text is never predicted."""
@@ -224,7 +245,7 @@ class LogBilinear:
         return np.log(np.exp(one - top_one) @ np.exp(two - top_two).T) + top_one + top_two.T
 
 
-def _contexts(tokens: _Tokens, symbol: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+def _contexts(tokens: _Codes, symbol: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
     """The symbol before each token, and the one before that."""
     one, two = np.roll(symbol, 1), np.roll(symbol, 2)
     start = tokens.last - tokens.counts + 1
@@ -234,12 +255,60 @@ def _contexts(tokens: _Tokens, symbol: np.ndarray, begin: int) -> tuple[np.ndarr
     return one, two
 
 
+CODES = "row long, id {kind}, n_tokens long, codes binary, rare array<long>, times array<int>"
+
+
+def encoded(docs: DataFrame, known: Vocabulary, id_col: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
+    """(row, id, n_tokens, codes, rare, times[, carried]): every text as the places of its words, written once for all passes.
+
+    `codes` holds four bytes a token; `rare` are the hashes of a text's words that are not common, `times` how often each
+    occurs; `row` tells rows apart. `carried` is the column named by `carry`. The table is one of `written`.
+    """
+    words = docs.sparkSession.sparkContext.broadcast(known)
+    rows = docs.select(F.col(text).alias("text"), F.col(id_col).alias("id"), *([] if carry is None else [F.col(carry).alias("carried")]))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
+        for held in batches:
+            for batch in blocks(held, "text"):
+                tokens = _Tokens(batch.column(0))
+                code = words.value.places(tokens)
+                raw = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer((4 * np.append(0, np.cumsum(tokens.counts))).astype(np.int64).tobytes()), pa.py_buffer(code.astype("<i4").tobytes())])
+                rare = (code < 0) & (tokens.kind != _END)
+                key, doc = tokens.key[rare] & ~3 | tokens.kind[rare], tokens.doc[rare]
+                order = np.lexsort((key, doc))
+                key, doc = key[order], doc[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+                times = np.diff(np.append(np.flatnonzero(new), len(key)))
+                per_row = np.bincount(doc[new], minlength=len(batch))
+                columns = [pa.array(np.arange(row, row + len(batch))), batch.column(1), pa.array(tokens.counts, pa.int64()), raw.cast(pa.binary())]
+                columns += [list_array(key[new], per_row, pa.int64()), list_array(times.astype(np.int32), per_row, pa.int32()), *batch.columns[2:]]
+                row += len(batch)
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_tokens", "codes", "rare", "times", *["carried"] * (carry is not None)])
+
+    schema = CODES.format(kind=rows.schema["id"].dataType.simpleString())
+    if carry is not None:
+        schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
+    table = written(rows.mapInArrow(encode, schema), "codes")
+    words.destroy()
+    return table
+
+
 def fit(docs: DataFrame, known: Vocabulary, text: str = "text", rounds: int = ROUNDS) -> LogBilinear:
     """The model after `rounds` passes over all texts, each averaged over the tasks."""
+    codes = encoded(docs.select(F.lit(0).alias("id"), F.col(text).alias("text")), known, "id")
+    model = fit_encoded(codes, known, rounds)
+    discard(codes)
+    return model
+
+
+def fit_encoded(codes: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
+    """`fit` over rows of `encoded`."""
     model = LogBilinear(known.unigrams())
-    n, spark = known.size, docs.sparkSession
+    n, spark = known.size, codes.sparkSession
     words = spark.sparkContext.broadcast(known)
-    rows = docs.select(F.col(text).alias("text"))
+    rows = codes.select("codes")
     for turn in range(rounds):
         now = spark.sparkContext.broadcast(model.flat)
 
@@ -253,9 +322,9 @@ def fit(docs: DataFrame, known: Vocabulary, text: str = "text", rounds: int = RO
 
             step = 0
             for held in batches:
-                for batch in blocks(held, "text"):
-                    tokens = _Tokens(batch.column(0))
-                    _, symbol, _ = words.value.look_up(tokens)
+                for batch in blocks(held, "codes"):
+                    tokens = _Codes(batch.column(0))
+                    symbol = words.value.by_code[0][tokens.code]
                     one, two = _contexts(tokens, symbol, n - 1)
                     seen += len(symbol)
                     more, count = counted((two * n + one) * n + symbol)
@@ -331,9 +400,9 @@ class Tails:
         self.trees: list[np.ndarray] = []
         self.turned: tuple[np.ndarray, ...] = ()
 
-    def contexts(self, tokens: _Tokens, symbol: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def contexts(self, tokens: _Codes, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The word with a vector of each token, or -1, and each token's context."""
-        word = np.where(place >= 0, self.at[place], -1) if len(self.at) else place
+        word = np.append(self.at, np.full(4, -1))[tokens.code]
         seen = np.where((word >= 0) & (symbol >= self.head), self.size + word, symbol) if len(self.vectors) > self.size else symbol
         one, two = _contexts(tokens, seen, self.size - 1)
         if not self.turned:  # each vector through both matrices, once in a worker rather than for every token
@@ -348,13 +417,14 @@ class Tails:
         n = len(self.n)
         total = np.zeros((n + 3 + DIMS, DIMS), np.float32)
         seen = np.zeros(len(total), bool)
+        symbols, _, kinds = known.by_code
         for held in batches:
-            for batch in blocks(held, "text"):
-                tokens = _Tokens(batch.column(0))
-                _, symbol, _, place = known.find(tokens)
-                word, context = self.contexts(tokens, symbol, place)
-                to = np.where(word >= 0, word, n + tokens.kind)
-                to, context = to[tokens.kind != _END], context[tokens.kind != _END]
+            for batch in blocks(held, "codes"):
+                tokens = _Codes(batch.column(0))
+                symbol, kind = symbols[tokens.code], kinds[tokens.code]
+                word, context = self.contexts(tokens, symbol)
+                to, inner = np.where(word >= 0, word, n + kind), kind != _END
+                to, context = to[inner], context[inner]
                 order = np.argsort(to, kind="stable")
                 at, count = counted(to)
                 if len(at):
@@ -462,19 +532,25 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, model: LogBilin
     A null text is an empty one, which has its end alone. base_score is that of the smoothed word counts. Rows that
     repeat are scored one by one.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    codes = encoded(docs, known, id_col, text)
+    scored = score_encoded(codes, counts, known, model)
+    discard(codes)
+    return scored.withColumnRenamed("id", id_col)
+
+
+def score_encoded(codes: DataFrame, counts: DataFrame, known: Vocabulary, model: LogBilinear) -> DataFrame:
+    """`score` over rows of `encoded`, which may be discarded afterwards."""
     one, two = model.tables()
-    shared = spark.sparkContext.broadcast((known, model.tails, one.astype(np.float32), two.astype(np.float32), model.log_total(one, two).astype(np.float32)))
+    shared = codes.sparkSession.sparkContext.broadcast((known, model.tails, one.astype(np.float32), two.astype(np.float32), model.log_total(one, two).astype(np.float32)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tails, by_one, by_two, total = shared.value
-        row, class_log = TaskContext.get().partitionId() << 36, np.log10(tails.rare)
+        class_log, (symbols, n_times, _) = np.log10(tails.rare), words.by_code
         for held in batches:
-            for batch in blocks(held, "text"):
-                tokens = _Tokens(batch.column(1))
-                key, symbol, count, place = words.find(tokens)
-                word, context = tails.contexts(tokens, symbol, place)
+            for batch in blocks(held, "codes"):
+                tokens = _Codes(batch.column(3))
+                symbol, count = symbols[tokens.code], n_times[tokens.code]
+                word, context = tails.contexts(tokens, symbol)
                 before, earlier = _contexts(tokens, symbol, words.size - 1)
                 log = (by_one[before, symbol] + by_two[earlier, symbol] - total[before, earlier]).astype(np.float64) / np.log(10)
                 own = np.log10(np.maximum(count, 0) + 1.0)
@@ -484,26 +560,18 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, model: LogBilin
                 tail &= word < 0
                 log[tail] += own[tail] - class_log[kind[tail]]
                 sums = [np.bincount(tokens.doc, weights=x, minlength=len(batch)) for x in (count > 0, own, log)]
-                rare = count < 0
-                order = np.lexsort((key[rare], tokens.doc[rare]))
-                rare_key, rare_doc = key[rare][order], tokens.doc[rare][order]
-                new = np.ones(len(rare_key), bool)
-                new[1:] = (rare_key[1:] != rare_key[:-1]) | (rare_doc[1:] != rare_doc[:-1])
-                times = np.diff(np.append(np.flatnonzero(new), len(rare_key)))
-                per_row = np.bincount(rare_doc[new], minlength=len(batch))
-                columns = [pa.array(np.arange(row, row + len(batch))), batch.column(0), pa.array(tokens.counts, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
-                columns += [list_array(rare_key[new], per_row, pa.int64()), list_array(times.astype(np.int32), per_row, pa.int32())]
-                row += len(batch)
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "n_tokens", "n_known", "base", "model", "rare", "times"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["row", "id", "n_tokens", "n_known", "base", "model"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    parts = written(rows.mapInArrow(measure, f"row long, id {kind}, n_tokens long, n_known long, base double, model double, rare array<long>, times array<int>"), "scores")
-    rare = parts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
+    kind = codes.schema["id"].dataType.simpleString()
+    rows = codes.select("row", "id", "n_tokens", "codes")
+    parts = written(rows.mapInArrow(measure, f"row long, id {kind}, n_tokens long, n_known long, base double, model double"), "scores")
+    rare = codes.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
     found = rare.join(counts, "key").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))
+    found = written(found, "rare")
     logs = F.coalesce("logs", F.lit(0.0))
     base = F.col("base") + logs - F.col("n_tokens") * F.lit(float(np.log10(known.tokens + known.distinct + 1)))
-    return parts.drop("rare", "times").join(found, "row", "left").select(
-        F.col("id").alias(id_col),
+    return parts.join(found, "row", "left").select(
+        "id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),

@@ -13,7 +13,7 @@ from accrue.llm.fim import fill_in_middle, restored
 from accrue.llm.hilbert import pack_along_curve
 from accrue.llm.jaccard import similar_groups
 from accrue.llm.language import fit_profiles, identify
-from accrue.llm.lm import fit, score, vocabulary, word_counts
+from accrue.llm.lm import encoded, fit_encoded, score_encoded, vocabulary, word_counts
 from accrue.llm.merkle import document_manifest, siblings
 from accrue.llm.packing import pack, pieces
 from accrue.llm.quality import fit_pooled, picked_labels, pooled, score_pooled, word_vectors
@@ -70,8 +70,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = docs.where("NOT held_out")
     counts = word_counts(training)
     known = vocabulary(counts)
-    scored = score(docs, counts, known, fit(training, known))
-    return scored.withColumn("held_out", held_out("doc_id", 7, 2))
+    codes = encoded(docs, known, carry="held_out")
+    scored = score_encoded(codes, counts, known, fit_encoded(codes.where("NOT carried"), known))
+    discard(codes)
+    return scored.withColumnRenamed("id", "doc_id").withColumn("held_out", held_out("doc_id", 7, 2))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,26 @@ def test_nothing_to_learn_from(spark):
     got = {r.doc_id: r for r in score(docs_of(spark, [(1, "a b"), (2, None)]), counts, known, fit(none, known)).collect()}
     assert (got[1].n_tokens, got[1].n_known, got[1].train_tokens, got[1].base_score, got[2].n_tokens) == (3, 0, 0, 0.0, 1)
     assert score(none, counts, known, fit(none, known)).count() == 0
+
+
+def test_words_are_found_once_for_all_passes(spark):
+    import numpy as np
+
+    from accrue.llm.lm import encoded, fit_encoded, score_encoded
+
+    docs = docs_of(spark, [(1, "a b, c. a"), (None, "a zz zz"), (3, None), (4, "")])
+    counts = word_counts(docs.where("doc_id = 1"))
+    known = vocabulary(counts, head=2, common=2)  # the two words behind, b, and c., are not common
+    codes = encoded(docs.selectExpr("*", "doc_id = 3 AS held"), known, carry="held")
+    got = {r.id: r for r in codes.collect()}
+    for key, n in ((1, 5), (None, 4), (3, 1), (4, 1)):
+        places = np.frombuffer(got[key].codes, "<i4")
+        assert got[key].n_tokens == len(places) == n and places[-1] == -4  # the end
+        assert all(-3 <= p < len(known.keys) for p in places[:-1])
+    zz = got[None]
+    assert list(np.frombuffer(zz.codes, "<i4"))[1:3] == [-3, -3] and zz.times == [2] and len(zz.rare) == 1
+    assert len({r.row for r in got.values()}) == 4 and got[3].carried is True
+    model = fit_encoded(codes.where("id = 1"), known)
+    a = {r.id: tuple(r)[1:] for r in score_encoded(codes, counts, known, model).collect()}
+    b = {r.doc_id: tuple(r)[1:] for r in score(docs, counts, known, model).collect()}
+    assert a == b and a[1][:2] == (5, 5)
